@@ -60,21 +60,23 @@ def localize(ts: Name, zone: str, ambiguous: str = "latest", nonexistent: str =
     """UTC time of a local time in ``zone``, both without zone.
 
     A repeated hour takes the ``latest`` or ``earliest`` of its two instants. A skipped hour fails
-    the job or gives null. The two candidate offsets are those in force some hours before and after.
+    the job or gives null. The candidates use the offset in force at the time itself and some hours
+    later; only near a change of offset do they differ and are checked by converting back.
     """
     ts = col(ts)
-    around = F.expr("INTERVAL 6 HOURS")
-
-    def candidate(near: Column) -> Column:
-        utc = ts - (near - F.convert_timezone(F.lit(zone), F.lit("UTC"), near))
-        back = F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
-        return F.when(back == ts, utc)
-
-    pick = {"latest": F.greatest, "earliest": F.least}[ambiguous]
-    found = pick(candidate(ts - around), candidate(ts + around))
+    later = ts + F.expr("INTERVAL 6 HOURS")
+    here = F.convert_timezone(F.lit(zone), F.lit("UTC"), ts)
+    after = ts - (later - F.convert_timezone(F.lit(zone), F.lit("UTC"), later))
+    fits_here = F.convert_timezone(F.lit("UTC"), F.lit(zone), here) == ts
+    fits_after = F.convert_timezone(F.lit("UTC"), F.lit(zone), after) == ts
+    found = F.when(here == after, here)
+    if ambiguous == "latest":
+        found = found.when(fits_after, after).when(fits_here, here)
+    elif ambiguous == "earliest":
+        found = found.when(fits_here, here).when(fits_after, after)
+    else:
+        raise ValueError(f"unknown choice {ambiguous!r}")
     if nonexistent == "null":
         return found
     message = F.concat(F.lit(f"no such local time in {zone}: "), ts.cast("string"))
-    return F.when(ts.isNull() | found.isNotNull(), found).otherwise(
-        F.raise_error(message).cast("timestamp_ntz")
-    )
+    return found.when(ts.isNotNull(), F.raise_error(message).cast("timestamp_ntz"))

@@ -10,6 +10,7 @@ from chartframes.operators.columns import pick
 from chartframes.operators.ordered import dense_rank
 from chartframes.operators.quantiles import group_quantiles
 from chartframes.operators.skew import attach
+from chartframes.session import pin
 
 
 def _by(df: DataFrame, keys) -> tuple[list[str], object]:
@@ -63,25 +64,30 @@ def latest(df: DataFrame, time: str, columns: list[str], keys=None) -> DataFrame
     )
 
 
-def value_counts(df: DataFrame, column: str, rank: bool = False) -> DataFrame:
-    """Rows per value, their share of all rows, and the dense rank of the count if wanted."""
-    total = df.agg(F.count("*").alias("n")).scalar()
-    out = counts(df.where(col(column).isNotNull()), column, name="total")
-    shared = out.withColumn("percentage", F.try_divide(F.col("total"), total))
-    return dense_rank(shared, "total", "rank") if rank else shared
+def value_counts(df: DataFrame, column: str, add: str | None = None, values: list[str] | None = None) -> DataFrame:
+    """Rows per value, their share of all rows, and the dense rank of the count.
+
+    With ``add``, also each (value, add) pair's share of the rows holding both, one column per entry
+    of ``values``. All counts come from one pass; what follows works on the counted table.
+    """
+    pairs = [F.count_if(col(add) == v).alias(v) for v in values or []]
+    known = F.count(F.lit(1) if add is None else col(add)).alias("__known")
+    grouped = df.where(col(column).isNotNull()).groupBy(col(column))
+    cells = pin(grouped.agg(F.count("*").alias("total"), known, *pairs))
+    total, both = cells.agg(F.sum("total"), F.sum("__known")).first()
+    shares = {"percentage": F.try_divide(F.col("total"), F.lit(total))}
+    shares |= {v: F.try_divide(col(v), F.lit(both)) for v in values or []}
+    return dense_rank(cells, "total", "rank").withColumns(shares).drop("__known")
 
 
 def crosstab_share(df: DataFrame, base: str, add: str, values: list[str]) -> DataFrame:
     """Each (base, add) pair as a share of all rows holding both, one column per value of ``add``."""
-    pairs = df.where(col(base).isNotNull() & col(add).isNotNull())
-    total = pairs.agg(F.count("*").alias("n")).scalar()
-    cells = pairs.groupBy(col(base)).agg(*[F.count_if(col(add) == v).alias(v) for v in values])
-    return cells.withColumns({v: F.try_divide(col(v), total) for v in values})
+    return value_counts(df, base, add, values).drop("total", "percentage", "rank")
 
 
 def group_shares(df: DataFrame, group: str, answer: str) -> DataFrame:
     """Rows of each answer in a group, the group's total and the percentage."""
-    cells = counts(df, [group, answer])
-    totals = counts(df, group, name="total")
-    shared = attach(cells, totals.withColumn("__rows", F.col("total")), group, "__rows").drop("__rows")
+    cells = pin(counts(df, [group, answer]))
+    totals = cells.groupBy(col(group)).agg(F.sum("n").alias("total"), F.count("*").alias("__rows"))
+    shared = attach(cells, totals, group, "__rows").drop("__rows")
     return shared.withColumn("pct", 100 * F.try_divide(F.col("n"), F.col("total")))

@@ -38,7 +38,7 @@ def _before(segments: DataFrame, keys: list[str], **totals: Column) -> DataFrame
     """One row per segment of a group: its first position, row count and what precedes it."""
     summary = segments.groupBy(*[col(k) for k in keys], "__seg").agg(
         F.min("__pos").alias("__first"),
-        F.count("*").alias("__rows"),
+        F.count("*").alias("__seg_rows"),
         *[total.alias(name) for name, total in totals.items()],
     )
     earlier = _partition(keys).orderBy("__seg").rowsBetween(Window.unboundedPreceding, -1)
@@ -54,16 +54,16 @@ def row_number(
     name: str = "row_number",
     limit: int | None = TASK_ROWS,
 ) -> DataFrame:
-    """Number the rows of each group from 1; ``limit=None`` states that groups are small by nature."""
+    """Number the rows of each group from 1; for ``limit`` see ``fits_one_task``."""
     keys = cols(keys)
-    if limit is None or fits_one_task(df, keys, limit):
+    if fits_one_task(df, keys, limit):
         return df.withColumn(name, F.row_number().over(_partition(keys).orderBy(*ordering(order_by))))
     segments = _segments(df, keys, order_by)
     before = _before(segments, keys, __earlier=F.count("*"))
-    numbered = attach(segments, before, [*keys, "__seg"], "__rows")
+    numbered = attach(segments, before, [*keys, "__seg"], "__seg_rows")
     return numbered.withColumn(
         name, F.col("__pos") - F.col("__first") + F.col("__earlier") + 1
-    ).drop("__pos", "__seg", "__first", "__rows", "__earlier")
+    ).drop("__pos", "__seg", "__first", "__seg_rows", "__earlier")
 
 
 def running_sum(
@@ -76,18 +76,18 @@ def running_sum(
 ) -> DataFrame:
     """Sum of ``value`` over the rows of the group up to this one, nulls counting as nothing."""
     keys = cols(keys)
-    df = df.withColumn("__value", col(value))
+    df = df.withColumn("__summand", col(value))
     upto = (Window.unboundedPreceding, Window.currentRow)
-    if limit is None or fits_one_task(df, keys, limit):
+    if fits_one_task(df, keys, limit):
         frame = _partition(keys).orderBy(*ordering(order_by)).rowsBetween(*upto)
-        return df.withColumn(name, F.sum("__value").over(frame)).drop("__value")
+        return df.withColumn(name, F.sum("__summand").over(frame)).drop("__summand")
     segments = _segments(df, keys, order_by)
-    before = _before(segments, keys, __earlier=F.coalesce(F.sum("__value"), F.lit(0)))
+    before = _before(segments, keys, __earlier=F.coalesce(F.sum("__summand"), F.lit(0)))
     frame = _partition([*keys, "__seg"]).orderBy("__pos").rowsBetween(*upto)
-    local = segments.withColumn("__local", F.coalesce(F.sum("__value").over(frame), F.lit(0)))
-    out = attach(local, before.drop("__first"), [*keys, "__seg"], "__rows")
+    local = segments.withColumn("__local", F.coalesce(F.sum("__summand").over(frame), F.lit(0)))
+    out = attach(local, before.drop("__first"), [*keys, "__seg"], "__seg_rows")
     return out.withColumn(name, F.col("__local") + F.col("__earlier")).drop(
-        "__value", "__pos", "__seg", "__local", "__rows", "__earlier"
+        "__summand", "__pos", "__seg", "__local", "__seg_rows", "__earlier"
     )
 
 
@@ -103,10 +103,10 @@ def _over_recent(df: DataFrame, keys: list[str], order_by, reach: int, limit: in
     A large group is numbered and cut into blocks; the last ``reach`` rows of a block are also copied
     into the next one, so that every block can be windowed alone.
     """
-    if limit is None or fits_one_task(df, keys, limit):
+    if fits_one_task(df, keys, limit):
         return df.withColumns(build(_partition(keys).orderBy(*ordering(order_by))))
-    size = max(limit, reach + 1)
-    numbered = row_number(df, keys, order_by, "__n", limit)
+    size = max(limit or TASK_ROWS, reach + 1)
+    numbered = row_number(df, keys, order_by, "__n", 0)
     block = F.floor((F.col("__n") - 1) / size)
     is_tail = F.pmod(F.col("__n") - 1, F.lit(size)) >= size - reach
     copies = F.when(is_tail, F.array(block, block + 1)).otherwise(F.array(block))
@@ -149,10 +149,10 @@ def relative_to_first(df: DataFrame, keys, time: str, value: str, name: str) ->
     """``value`` over the value at the earliest ``time`` of its group."""
     keys = cols(keys)
     base = df.groupBy(*[col(k) for k in keys]).agg(
-        F.min_by(col(value), col(time)).alias("__base"), F.count("*").alias("__rows")
+        F.min_by(col(value), col(time)).alias("__base"), F.count("*").alias("__base_rows")
     )
-    out = attach(df, base, keys, "__rows")
-    return out.withColumn(name, F.try_divide(col(value).cast("double"), F.col("__base").cast("double"))).drop("__base", "__rows")
+    out = attach(df, base, keys, "__base_rows")
+    return out.withColumn(name, F.try_divide(col(value).cast("double"), F.col("__base").cast("double"))).drop("__base", "__base_rows")
 
 
 def running_share(
@@ -192,6 +192,6 @@ def last_n(df: DataFrame, order_by: list[str], n: int) -> DataFrame:
 
 def dense_rank(df: DataFrame, value: str, name: str = "rank", limit: int | None = TASK_ROWS) -> DataFrame:
     """Rank of ``value`` over the whole table, largest first, equal values sharing a rank."""
-    values = df.groupBy(col(value)).agg(F.count("*").alias("__rows"))
+    values = df.groupBy(col(value)).agg(F.count("*").alias("__value_rows"))
     ranked = row_number(values, None, F.desc_nulls_last(col(value)), name, limit)
-    return attach(df, ranked, value, "__rows").drop("__rows")
+    return attach(df, ranked, value, "__value_rows").drop("__value_rows")

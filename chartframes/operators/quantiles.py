@@ -65,10 +65,8 @@ def _quantiles(df, keys, value, picks, count, rows, limit) -> DataFrame:
             {"__upto": F.sum("__count").over(upto), "__n": F.sum("__count").over(whole)}
         )
     else:
-        ranked = running_sum(counts, keys, ["__value"], "__count", "__upto", limit)
-        sizes = source.groupBy(*group).agg(
-            F.count("__value").alias("__n"), F.count("*").alias("__rows")
-        )
+        ranked = running_sum(counts, keys, ["__value"], "__count", "__upto", 0)
+        sizes = ranked.groupBy(*group).agg(F.max("__upto").alias("__n"), F.count("*").alias("__rows"))
         ranked = attach(ranked, sizes, keys, "__rows").drop("__rows")
     ranked = ranked.withColumns(
         {f"__place_{i}": F.lit(float(q)) * (F.col("__n") - 1) for i, (q, _) in enumerate(picks.values())}

@@ -38,7 +38,7 @@ def pivot_sum(df: DataFrame, index, on: str, value: str, values: list | None = N
 
 def pivot_count(df: DataFrame, index, on: str, values: list | None = None) -> DataFrame:
     """Rows per cell; absent cells are null."""
-    return _pivot(df, cols(index), on, values).agg(F.count("*"))
+    return _pivot(df, cols(index), on, values).agg(F.count(F.lit(1)))
 
 
 def unpivot(df: DataFrame, ids, values: list[str], variable: str = "variable", value: str = "value") -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chartframes.columns import col, cols
+from chartframes.operators.skew import attach
 from chartframes.sources.tables import literal_table, mapping_table
 
 
@@ -77,8 +78,10 @@ def members(df: DataFrame, keys: str | list[str], of: DataFrame) -> DataFrame:
 
 def in_groups(df: DataFrame, keys: str | list[str], test: Column) -> DataFrame:
     """Rows of the groups for which an aggregate test holds, such as ``F.count("*") >= 1000``."""
-    groups = df.groupBy(*[col(k) for k in cols(keys)]).agg(test.alias("__keep")).where("__keep")
-    return members(df, keys, groups)
+    keys = cols(keys)
+    groups = df.groupBy(*[col(k) for k in keys]).agg(test.alias("__keep"), F.count("*").alias("__rows"))
+    kept = groups.where("__keep").dropna(subset=keys).drop("__keep")
+    return attach(df, kept, keys, "__rows", "inner").drop("__rows")
 
 
 def distinct_rows(df: DataFrame, *names: str) -> DataFrame:

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from chartframes.columns import col, cols
 from chartframes.session import pin
 
-#: rows up to which a pinned and counted side is broadcast
-BROADCAST_ROWS = 100_000
+#: measured size up to which a pinned side is broadcast
+BROADCAST_BYTES = 64 * 1024 * 1024
 #: a group holding more than one in HOT_SHARE rows is hot, so there are fewer than HOT_SHARE hot groups
 HOT_SHARE = 1_000
 #: rows up to which a whole group may be ordered inside one task
@@ -29,9 +29,19 @@ def largest_group(df: DataFrame, keys: list[str]) -> int:
     return df.groupBy(*[col(k) for k in keys]).count().agg(F.max("count")).first()[0] or 0
 
 
-def fits_one_task(df: DataFrame, keys: list[str], limit: int | None = None) -> bool:
-    """Whether every group is proven small enough for a plain window."""
-    return largest_group(df, keys) <= (TASK_ROWS if limit is None else limit)
+def fits_one_task(df: DataFrame, keys: list[str], limit: int | None = TASK_ROWS) -> bool:
+    """Whether every group is small enough for a plain window.
+
+    Groups are counted against ``limit``; None states that they are small by nature and 0 that they
+    are not, both without counting.
+    """
+    return limit is None or (limit > 0 and largest_group(df, keys) <= limit)
+
+
+def _row_bytes(df: DataFrame) -> Column:
+    """Size of a row: the bytes of its texts and 16 for every other column, nulls included."""
+    texts = [F.coalesce(F.octet_length(col(n)), F.lit(0)) for n, kind in df.dtypes if kind == "string"]
+    return reduce(lambda a, b: a + b, texts, F.lit(16 * len(df.columns)))
 
 
 def _matching(df: DataFrame, other: DataFrame, keys: list[str]) -> tuple[DataFrame, Column]:
@@ -52,20 +62,20 @@ def attach(
     keys: str | list[str],
     rows: str,
     how: str = "left",
-    broadcast_rows: int | None = None,
+    limit: int | None = None,
 ) -> DataFrame:
     """Join ``stats`` (one row per key, null being a key) to ``df``; ``rows`` counts the rows per key.
 
-    ``stats`` is pinned and counted. While it is short it is broadcast, and ``df`` is not shuffled at
+    ``stats`` is pinned and measured. While it is small it is broadcast, and ``df`` is not shuffled at
     all. Otherwise the hot keys, fewer than ``HOT_SHARE`` by definition, are broadcast to their rows
     and only the remaining rows are shuffled on the key.
     """
     keys = cols(keys)
     stats = pin(stats)
-    found, total = stats.agg(F.count("*"), F.sum(rows)).first()
+    size, total = stats.agg(F.sum(_row_bytes(stats)), F.sum(rows)).first()
     if not keys:
         return _with_literals(df, stats)
-    if found <= (BROADCAST_ROWS if broadcast_rows is None else broadcast_rows):
+    if (size or 0) <= (BROADCAST_BYTES if limit is None else limit):
         return _join(df, F.broadcast(stats), keys, how)
     hot = stats.where(col(rows) * HOT_SHARE > F.lit(total))
     hot_rows = _join(df, F.broadcast(hot), keys, "inner")
@@ -85,12 +95,12 @@ def with_group_values(df: DataFrame, keys: str | list[str], **values: Column) ->
     """Aggregates of each group on each of its rows: ``with_group_values(df, "k", total=F.sum("x"))``."""
     keys = cols(keys)
     stats = df.groupBy(*[col(k) for k in keys]).agg(
-        *[value.alias(name) for name, value in values.items()], F.count("*").alias("__rows")
+        *[value.alias(name) for name, value in values.items()], F.count("*").alias("__group_rows")
     )
-    return attach(df, stats, keys, "__rows").drop("__rows")
+    return attach(df, stats, keys, "__group_rows").drop("__group_rows")
 
 
 def share_of_group(df: DataFrame, keys: str | list[str], value: str, name: str) -> DataFrame:
     """``value`` as a fraction of its group total; null where the total is zero."""
-    out = with_group_values(df, keys, __total=F.sum(col(value)))
-    return out.withColumn(name, F.try_divide(col(value).cast("double"), F.col("__total").cast("double"))).drop("__total")
+    out = with_group_values(df, keys, __group_total=F.sum(col(value)))
+    return out.withColumn(name, F.try_divide(col(value).cast("double"), F.col("__group_total").cast("double"))).drop("__group_total")

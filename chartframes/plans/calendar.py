@@ -83,10 +83,14 @@ def load_profiles(
     utc = localize(ts, zone, "latest", nonexistent)
     wide = df.select(
         key.alias(grain), utc.alias("__utc"), *[col(v).cast("double").alias(n) for n, v in columns.items()]
-    ).where("__utc IS NOT NULL")
-    totals = wide.groupBy(grain).agg(
-        *[(F.sum(col(n)) if _GRAINS[grain] == "sum" else F.avg(col(n))).alias(n) for n in columns]
     )
+    if nonexistent == "null":
+        wide = wide.where("__utc IS NOT NULL")
+    # counting the UTC times keeps them in the plan, so that every local time is checked
+    totals = wide.groupBy(grain).agg(
+        F.count("__utc").alias("__checked"),
+        *[(F.sum(col(n)) if _GRAINS[grain] == "sum" else F.avg(col(n))).alias(n) for n in columns],
+    ).where(F.col("__checked") >= 0)
     long = totals.unpivot(grain, list(columns), "series", "load")
     if rate is not None:
         long = long.join(rate.toDF("series", "__per"), "series", "left")

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chartframes.columns import col, cols
+from chartframes.columns import col
 from chartframes.functions.conditions import choose, flag
 from chartframes.operators.ordered import row_number, running_sum
 from chartframes.operators.reshape import pivot_strict
-from chartframes.operators.skew import TASK_ROWS
+from chartframes.operators.skew import fits_one_task
 from chartframes.session import pin
 
 
@@ -34,8 +34,9 @@ def running_totals(
 ) -> DataFrame:
     """Running total of each team by match number, in long form, starting from a zero row."""
     keys = [season, team]
-    numbered = row_number(df, keys, order_by, "match_num")
-    out = running_sum(numbered, keys, "match_num", value, "total")
+    limit = None if fits_one_task(df, keys) else 0
+    numbered = row_number(df, keys, order_by, "match_num", limit)
+    out = running_sum(numbered, keys, "match_num", value, "total", limit)
     rows = out.select(col(season), col(team), F.col("match_num").cast("bigint").alias("match_num"), "total")
     if not baseline:
         return rows
@@ -81,10 +82,11 @@ def two_party_margin(
     ``total`` is the column of all votes of the unit, the same on each of its rows; without it all
     votes are added up. ``names`` holds a name per party (columns ``a`` and ``b``) for each ``period``.
     """
-    def of(p):
-        return F.sum(F.when(col(party) == p, col(votes)))
+    whole = F.sum(col(votes)) if total is None else F.max(col(total))
     totals = df.groupBy(*[col(k) for k in keys]).agg(
-        of(a).alias("a_votes"), of(b).alias("b_votes"), (F.sum(col(votes)) if total is None else F.max(col(total))).alias("total_votes")
+        F.sum(F.when(col(party) == a, col(votes))).alias("a_votes"),
+        F.sum(F.when(col(party) == b, col(votes))).alias("b_votes"),
+        whole.alias("total_votes"),
     )
     shares = totals.withColumns(
         {

@@ -9,6 +9,7 @@ from chartframes.columns import col
 from chartframes.operators.columns import sort_columns
 from chartframes.operators.reshape import pivot_strict
 from chartframes.operators.rows import in_roles
+from chartframes.session import pin
 
 
 def flow_edges(edges: DataFrame, src: str, dst: str, weight: str, names: DataFrame | None = None) -> DataFrame:
@@ -44,8 +45,13 @@ def normalised_flow_matrix(
     values: list | None = None,
 ) -> DataFrame:
     """The flow matrix with 100 * weight / number of periods the source took part in, cut to whole numbers."""
-    cells = flow_edges(edges, src, dst, weight, names)
-    part = edges.select(col(src).alias("from"), col(period).alias("__period")).distinct()
+    by_period = pin(
+        edges.groupBy(col(src).alias("from"), col(dst).alias("to"), col(period).alias("__period")).agg(
+            F.sum(col(weight)).alias("weight")
+        )
+    )
+    cells = flow_edges(by_period, "from", "to", "weight", names)
+    part = by_period.select("from", "__period").distinct()
     if names is not None:
         part = in_roles(part, names.toDF("key", "label"), "key", {"from": "from_"})
         part = part.select(F.col("from_label").alias("from"), "__period").distinct()

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from chartframes.columns import col, cols, ordering
 from chartframes.functions.conditions import others
 from chartframes.operators import ordered
-from chartframes.operators.aggregate import crosstab_share, value_counts
+from chartframes.operators.aggregate import value_counts
 from chartframes.operators.rows import recode
 from chartframes.session import pin
 
@@ -55,5 +55,4 @@ def first_item_with_totals(df: DataFrame, key: str, order_by: list[str], columns
 
 def ranked_crosstab(df: DataFrame, base: str, add: str, values: list[str]) -> DataFrame:
     """Count, share and dense rank of each base value, and each (base, add) pair's share of all rows."""
-    counted = value_counts(df, base, rank=True)
-    return counted.join(crosstab_share(df, base, add, values), base, "left").orderBy("total", base)
+    return value_counts(df, base, add, values).orderBy("total", base)

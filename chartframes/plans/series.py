@@ -12,6 +12,7 @@ from chartframes.operators.ordered import lag_diff, moving_mean, relative_to_fir
 from chartframes.operators.quantiles import group_quantiles
 from chartframes.operators.reshape import pivot_strict
 from chartframes.operators.rows import in_groups
+from chartframes.session import pin
 
 latest = aggregate.latest
 
@@ -20,7 +21,7 @@ def smoothed_matrix(
     df: DataFrame, time: str, series: str, value: str, window: int, values: list | None = None
 ) -> DataFrame:
     """Moving mean of each series, one column per series; ``df`` holds one row per series and time."""
-    smooth = moving_mean(df, series, time, value, window, "__mean", limit=None)
+    smooth = moving_mean(pin(df), series, time, value, window, "__mean")
     return pivot_strict(smooth, time, series, "__mean", values).orderBy(time)
 
 
@@ -43,8 +44,8 @@ def pct_change_from_base(
 
 def yoy_changes(df: DataFrame, time: str, series: str, value: str, min_rise: float) -> DataFrame:
     """Change from one time to the next, for the series that once rose by ``min_rise`` or more."""
-    known = df.where(col(value).isNotNull())
-    changes = lag_diff(known, series, time, value, "diff", limit=None)
+    known = pin(df.where(col(value).isNotNull()))
+    changes = lag_diff(known, series, time, value, "diff")
     return in_groups(changes, series, F.max("diff") >= min_rise)
 
 

@@ -14,6 +14,7 @@ from chartframes.operators.quantiles import group_quantiles, iqr_fences, quartil
 from chartframes.operators.reshape import pivot_count, pivot_strict, pivot_sum
 from chartframes.operators.rows import recode
 from chartframes.operators.skew import attach, share_of_group
+from chartframes.session import pin
 
 group_share = group_shares
 iqr_summary = iqr_fences
@@ -53,10 +54,11 @@ def proportion_by_quartile(
     long = df.select(*[col(c).cast("string").alias(c) for c in columns]).unpivot([], list(columns), "cat", "percent")
     if marker is not None:
         long = long.where(F.col("percent") != marker)
-    known = long.withColumn("percent", F.col("percent").cast("double"))
-    parts = recode(known, "cat", {c: q for c, (q, _) in columns.items()}, "quartile")
+    percent = F.col("percent").cast("double")
+    totals = long.groupBy("cat").agg(F.sum(percent).alias("sum"), F.count(percent).alias("n"))
+    parts = recode(totals, "cat", {c: q for c, (q, _) in columns.items()}, "quartile")
     parts = recode(parts, "cat", {c: s for c, (_, s) in columns.items()}, "split")
-    means = parts.groupBy("quartile", "split").agg(F.avg("percent").alias("mean"))
+    means = parts.groupBy("quartile", "split").agg(F.try_divide(F.sum("sum"), F.sum("n")).alias("mean"))
     return pivot_strict(means, "quartile", "split", "mean", splits).orderBy("quartile")
 
 
@@ -96,7 +98,7 @@ def decade_share(df: DataFrame, year: Name, group: str, value: str, span: int =
     start = F.floor(col(year) / span) * span
     label = F.concat(start.cast("string"), F.lit("s"))
     totals = df.groupBy(label.alias("decade"), col(group)).agg(F.sum(col(value)).alias("__total"))
-    shares = share_of_group(totals, group, "__total", "__share")
+    shares = share_of_group(pin(totals), group, "__total", "__share")
     return pivot_sum(shares, "decade", group, "__share", values).orderBy("decade")
 
 

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from chartframes.columns import col
 from chartframes.functions.text import zero_pad
 from chartframes.operators.ordered import row_number
-from chartframes.operators.rows import members
 from chartframes.operators.skew import attach
 from chartframes.session import pin
 
@@ -20,18 +19,24 @@ def timeline(df: DataFrame, group: str, item: str, start: str, end: str, min_yea
     the item. Rows shorter than ``min_years`` are dropped after the numbering, so numbers may have
     gaps; groups left with their header alone are dropped. Ties in ``start`` go by item name.
     """
-    items = df.select(col(group).alias("group"), col(item).alias("item"), col(start).alias("start"), col(end).alias("end"))
+    items = df.select(
+        col(group).alias("group"), col(item).alias("item"), col(start).alias("start"), col(end).alias("end")
+    )
+    years = F.year("end") - F.year("start")
     spans = items.groupBy("group").agg(
-        F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("__rows")
+        F.min("start").alias("start"),
+        F.max("end").alias("end"),
+        F.max(years).alias("__longest"),
+        F.count("*").alias("__rows"),
     )
     headers = pin(row_number(pin(spans), None, "group", "group_num"))
     numbered = attach(items, headers.select("group", "group_num", "__rows"), "group", "__rows")
     numbered = row_number(numbered, "group", ["start", "item"], "item_num")
-    heads = headers.withColumns({"item": F.concat(F.lit("<b>"), F.upper("group"), F.lit("</b>")), "item_num": F.lit(0)})
+    heads = headers.where(F.col("__longest") >= min_years).withColumns(
+        {"item": F.concat(F.lit("<b>"), F.upper("group"), F.lit("</b>")), "item_num": F.lit(0)}
+    )
     names = ["group", "group_num", "item_num", "item", "start", "end"]
     rows = heads.select(*names).unionByName(numbered.select(*names))
-    years = F.year("end") - F.year("start")
-    label = F.concat(F.lit("  "), F.col("group_num").cast("string"), F.lit("."), zero_pad("item_num", 2), F.lit(": "), "item")
-    kept = rows.withColumns({"duration_years": years, "label": label}).where(F.col("duration_years") >= min_years)
-    filled = kept.where(F.col("item_num") > 0).select("group").distinct()
-    return members(kept, "group", filled)
+    number = F.concat(F.col("group_num").cast("string"), F.lit("."), zero_pad("item_num", 2))
+    label = F.concat(F.lit("  "), number, F.lit(": "), F.col("item"))
+    return rows.withColumns({"duration_years": years, "label": label}).where(F.col("duration_years") >= min_years)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,14 +76,13 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").options(header=True, escape='"').csv(path)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
-
-
 def cached_source(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """Read ``path`` if an earlier run has written it, otherwise build the table and keep it there."""
-    done = f"{path.rstrip('/')}/_SUCCESS"
-    if not _exists(spark, done):
+    """Read ``path`` if an earlier run has written it, otherwise build the table and keep it there.
+
+    Files appear there only when the writing job commits, so a broken run is built again.
+    """
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
         build().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

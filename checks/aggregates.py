@@ -137,8 +137,8 @@ def a10(t):
 
 @check(
     "a11_value_counts",
-    """SELECT event_type, count(*) AS total, round(count(*) / sum(count(*)) OVER (), 6) AS percentage
-       FROM events GROUP BY event_type""",
+    """SELECT event_type, count(*) AS total, round(count(*) / sum(count(*)) OVER (), 6) AS percentage,
+       dense_rank() OVER (ORDER BY count(*) DESC) AS rank FROM events GROUP BY event_type""",
 )
 def a11(t):
     return value_counts(t.events, "event_type").withColumns(rounded("percentage"))

@@ -78,12 +78,12 @@ def c04(t):
 
 
 STATUS_COUNTS = """SELECT o_custkey, nullif(count(*) FILTER (o_orderstatus = 'F'), 0) AS f,
-    CASE WHEN o_custkey % 2 = 0 THEN count(*) FILTER (o_orderstatus = 'P') ELSE 0 END AS p FROM orders GROUP BY o_custkey"""
+    count(*) FILTER (o_orderstatus = 'P' AND o_totalprice > 400000) AS p FROM orders GROUP BY o_custkey"""
 
 
 def status_counts(t):
     f = F.nullif(F.count_if(F.col("o_orderstatus") == "F"), F.lit(0))
-    p = F.when(F.col("o_custkey") % 2 == 0, F.count_if(F.col("o_orderstatus") == "P")).otherwise(F.lit(0))
+    p = F.count_if((F.col("o_orderstatus") == "P") & (F.col("o_totalprice") > 400000))
     return t.orders.groupBy("o_custkey").agg(f.alias("f"), p.alias("p"))
 
 
@@ -157,12 +157,12 @@ def t05(t):
 
 @check(
     "t06_degrees",
-    """SELECT s_suppkey, CAST(s_nationkey AS DOUBLE) + 0.25 AS lat, -(CAST(s_suppkey % 180 AS DOUBLE) + 0.5) AS long
+    """SELECT s_suppkey, CAST(s_nationkey AS DOUBLE) + 0.25 AS lat, -(CAST(s_nationkey AS DOUBLE) + 100.5) AS long
        FROM supplier""",
 )
 def t06(t):
     lat = F.concat((F.col("s_nationkey") + 0.25).cast("string"), F.lit("°N"))
-    long = F.concat((F.col("s_suppkey") % 180 + 0.5).cast("string"), F.lit("°W"))
+    long = F.concat((F.col("s_nationkey") + 100.5).cast("string"), F.lit("°W"))
     texts = t.supplier.select("s_suppkey", lat.alias("lat"), long.alias("long"))
     return texts.withColumns({c: degrees(c) for c in ("lat", "long")})
 

@@ -23,11 +23,11 @@ def m01(t):
 @check(
     "m01_residuals",
     """WITH f AS (SELECT regr_slope(o_totalprice, o_custkey) AS a, regr_intercept(o_totalprice, o_custkey) AS b FROM orders)
-       SELECT o_orderkey, round(o_totalprice - (a * o_custkey + b), 3) AS residual FROM orders, f""",
+       SELECT o_orderkey, round(o_totalprice - (a * o_custkey + b), 1) AS residual FROM orders, f""",
 )
 def m01_residuals(t):
     fit = poly_fit(t.orders, "o_custkey", "o_totalprice", 1)
-    return t.orders.select("o_orderkey", F.round(F.col("o_totalprice") - fit.at("o_custkey"), 3).alias("residual"))
+    return t.orders.select("o_orderkey", F.round(F.col("o_totalprice") - fit.at("o_custkey"), 1).alias("residual"))
 
 
 @check("m02_fit_degree_5")
