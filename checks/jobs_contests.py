@@ -144,7 +144,7 @@ VOTES = """SELECT year(o_orderdate) AS year, n_name AS state,
         SELECT year, state, a::DOUBLE AS a_votes, b::DOUBLE AS b_votes, total::DOUBLE AS total_votes, round(pa, 6) AS a_pct,
           round(pb, 6) AS b_pct, round(pa - pb, 6) AS diff_pct, round(abs(pa - pb), 6) AS abs_diff_pct,
           CASE WHEN pa > pb THEN 'F' ELSE 'O' END AS winning_party, CASE WHEN pa > pb THEN 'O' ELSE 'F' END AS losing_party,
-          round(greatest(pa, pb), 6) AS winning_pct, round(least(pa, pb), 6) AS losing_pct,
+          round(CASE WHEN pa > pb THEN pa ELSE pb END, 6) AS winning_pct, round(CASE WHEN pa > pb THEN pb ELSE pa END, 6) AS losing_pct,
           CASE WHEN pa > pb THEN "F" ELSE "O" END AS winner, CASE WHEN pa > pb THEN "O" ELSE "F" END AS loser
         FROM s JOIN n USING (year)""",
 )

@@ -137,8 +137,13 @@ def k21(t):
     return yearly_counts(nation_slices(t), "n_name", "slice", SLICES, {"2000": ["2000_F", "2000_OP"]})
 
 
+# a year whose parts are not both there is unknown, and shown as 0
+STRICT = f"""SELECT n_name, count(*) FILTER (year = 1998) AS "1998", count(*) FILTER (year = 1999) AS "1999",
+    CASE WHEN bool_or(year = 2000 AND o_orderstatus = 'F') AND bool_or(year = 2000 AND o_orderstatus <> 'F')
+      THEN count(*) FILTER (year = 2000) ELSE 0 END AS "2000" FROM ({NATION_YEARS}) GROUP BY n_name"""
+
 RATES = f"""SELECT n_name, round(1000.0 * "1998" / c, 6)::DOUBLE AS "1998", round(1000.0 * "1999" / c, 6)::DOUBLE AS "1999",
-    round(1000.0 * "2000" / c, 6)::DOUBLE AS "2000" FROM ({COUNTS}) JOIN (SELECT n_name, count(*)::DOUBLE AS c FROM customer
+    round(1000.0 * "2000" / c, 6)::DOUBLE AS "2000" FROM ({STRICT}) JOIN (SELECT n_name, count(*)::DOUBLE AS c FROM customer
     JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name) USING (n_name)"""
 
 
