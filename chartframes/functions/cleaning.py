@@ -8,17 +8,29 @@ from pyspark.sql import functions as F
 from chartframes.columns import Name, col
 
 
+# fixed values: unsigned types, the signed type that holds them, and their largest number
+UNSIGNED = {"uint8": ("smallint", 255), "uint16": ("int", 65535), "uint32": ("bigint", 4294967295)}
+
+
 def strict_cast(value: Name, kind: str) -> Column:
-    """Cast that fails the job on a bad cell, whatever the session's ANSI setting is."""
+    """Cast that fails the job on a bad cell, whatever the session's ANSI setting is.
+
+    Besides Spark's types, ``kind`` may be uint8, uint16 or uint32: the next wider signed type,
+    holding no number outside the unsigned range.
+    """
     value = col(value)
-    cast = value.try_cast(kind)
+    cast = safe_cast(value, kind)
     message = F.concat(F.lit(f"cannot cast to {kind}: "), value.cast("string"))
     return F.when(value.isNull() | cast.isNotNull(), cast).otherwise(F.raise_error(message))
 
 
 def safe_cast(value: Name, kind: str) -> Column:
-    """Cast that gives null on a bad cell."""
-    return col(value).try_cast(kind)
+    """Cast that gives null on a bad cell; kinds as for ``strict_cast``."""
+    if kind not in UNSIGNED:
+        return col(value).try_cast(kind)
+    wider, top = UNSIGNED[kind]
+    number = col(value).try_cast(wider)
+    return F.when(number.between(0, top), number)
 
 
 def checked_label(value: Name, labels: list[str]) -> Column:

@@ -115,6 +115,19 @@ def t01(t):
     return t.orders.select("o_orderkey", strict_cast(F.substring("o_orderpriority", 1, 1), "int").alias("priority"))
 
 
+@check(
+    "t01_unsigned",
+    """SELECT p_partkey, CAST(CASE WHEN p_size BETWEEN 0 AND 255 THEN p_size END AS DOUBLE) AS size,
+       CAST(CASE WHEN trunc(p_retailprice)::BIGINT - 950 BETWEEN 0 AND 65535 THEN trunc(p_retailprice)::BIGINT - 950 END AS DOUBLE) AS above FROM part""",
+)
+def t01_unsigned(t):
+    return t.part.select(
+        "p_partkey",
+        strict_cast("p_size", "uint8").cast("double").alias("size"),
+        safe_cast(F.col("p_retailprice").cast("int") - 950, "uint16").cast("double").alias("above"),
+    )
+
+
 @check("t02_safe_cast", "SELECT p_partkey, TRY_CAST(replace(p_brand, 'Brand#1', '') AS DOUBLE) AS number FROM part")
 def t02(t):
     return t.part.select("p_partkey", safe_cast(F.replace("p_brand", F.lit("Brand#1"), F.lit("")), "double").alias("number"))

@@ -30,6 +30,22 @@ def m01_residuals(t):
     return t.orders.select("o_orderkey", F.round(F.col("o_totalprice") - fit.at("o_custkey"), 1).alias("residual"))
 
 
+@check(
+    "m01_quadratic_fit",
+    """WITH p AS (SELECT (l_quantity - 25.5) / 24.5 AS t, l_extendedprice AS y FROM lineitem),
+       m AS (SELECT count(*)::DOUBLE AS a, sum(t) AS b, sum(t * t) AS c, sum(t * t * t) AS d, sum(t * t * t * t) AS e,
+         sum(y) AS u, sum(t * y) AS v, sum(t * t * y) AS w FROM p),
+       s AS (SELECT *, a * (c * e - d * d) - b * (b * e - c * d) + c * (b * d - c * c) AS det FROM m)
+       SELECT round((u * (c * e - d * d) - b * (v * e - d * w) + c * (v * d - c * w)) / det, 2) AS c0,
+         round((a * (v * e - d * w) - u * (b * e - c * d) + c * (b * w - v * c)) / det, 2) AS c1,
+         round((a * (c * w - v * d) - b * (b * w - v * c) + u * (b * d - c * c)) / det, 2) AS c2 FROM s""",
+)
+def m01_quadratic(t):
+    fit = poly_fit(t.lineitem, "l_quantity", "l_extendedprice", 2)
+    out = literal_table(t.spark, {f"c{i}": [c] for i, c in enumerate(fit.scaled)})
+    return out.withColumns(rounded("c0", "c1", "c2", digits=2))
+
+
 @check("m02_fit_degree_5")
 def m02(t):
     fit = poly_fit(t.lineitem, "l_quantity", "l_extendedprice", 5)

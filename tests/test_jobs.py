@@ -202,8 +202,9 @@ def test_timeline_numbers_before_it_filters(spark):
         ("BC", "one", day(1900), day(1901)), ("BC", "two", day(1905), day(1950)), ("AB", "short", day(1990), day(1991)),
         ("NS", "only", day(1800), day(1900)),
     ]
-    df = spark.createDataFrame(data, "p string, m string, o date, c date")
-    out = plans.timeline(df, "p", "m", "o", "c", 10).orderBy("group_num", "item_num")
+    df = spark.createDataFrame(data, "p string, m string, o date, c date").withColumn("town", F.lit(None).cast("string"))
+    out = plans.timeline(df, "p", "m", "o", "c", 10, {"town": "No Name Town"}).orderBy("group_num", "item_num")
+    assert [r.town for r in out.collect()] == ["", "No Name Town", "", "No Name Town"]
     assert [tuple(r) for r in out.select("label", "duration_years").collect()] == [
         ("  2.00: <b>BC</b>", 50), ("  2.02: two", 45), ("  3.00: <b>NS</b>", 100), ("  3.01: only", 100)
     ]

@@ -64,6 +64,15 @@ def test_strict_cast_fails_and_safe_cast_gives_null(spark):
         text.select(strict_cast("t", "int")).collect()
 
 
+def test_unsigned_kinds(spark):
+    data = [(0,), (255,), (256,), (-1,), (None,)]
+    assert values(spark, "x int", data, safe_cast("x", "uint8"), safe_cast("x", "uint16")) == [
+        (0, 0), (255, 255), (None, 256), (None, None), (None, None)
+    ]
+    with pytest.raises(PySparkException):
+        values(spark, "x int", [(-1,)], strict_cast("x", "uint16"))
+
+
 def test_float_to_int_truncates(spark):
     assert values(spark, "x double", [(-7.9,), (7.9,)], strict_cast("x", "int")) == [(-7,), (7,)]
 
