@@ -9,7 +9,7 @@ from chartframes.columns import col, cols
 from chartframes.operators.columns import pick
 from chartframes.operators.ordered import dense_rank
 from chartframes.operators.quantiles import group_quantiles
-from chartframes.operators.skew import attach
+from chartframes.operators.skew import attach, fits_one_task
 from chartframes.session import pin
 
 
@@ -40,7 +40,8 @@ def medians(df: DataFrame, keys, names: list[str]) -> DataFrame:
     long = df.select(*[col(k) for k in keys], *[col(n).cast("double").alias(n) for n in names]).unpivot(
         keys, names, "__measure", "__number"
     )
-    found = group_quantiles(long, [*keys, "__measure"], "__number", {"median": 0.5}, "linear")
+    limit = None if fits_one_task(df, keys) else 0  # a group has as many rows in each measure
+    found = group_quantiles(long, [*keys, "__measure"], "__number", {"median": 0.5}, "linear", limit=limit)
     return found.groupBy(*[col(k) for k in keys]).pivot("__measure", names).agg(F.first("median"))
 
 
@@ -64,25 +65,35 @@ def latest(df: DataFrame, time: str, columns: list[str], keys=None) -> DataFrame
     )
 
 
-def value_counts(df: DataFrame, column: str, add: str | None = None, values: list[str] | None = None) -> DataFrame:
+def value_counts(
+    df: DataFrame,
+    column: str,
+    add: str | None = None,
+    values: list[str] | None = None,
+    with_counts: bool = True,
+) -> DataFrame:
     """Rows per value, their share of all rows, and the dense rank of the count.
 
     With ``add``, also each (value, add) pair's share of the rows holding both, one column per entry
-    of ``values``. All counts come from one pass; what follows works on the counted table.
+    of ``values``; without ``with_counts`` these shares are all there is. The counts come from one
+    pass, and what follows works on the counted table.
     """
     pairs = [F.count_if(col(add) == v).alias(v) for v in values or []]
     known = F.count(F.lit(1) if add is None else col(add)).alias("__known")
     grouped = df.where(col(column).isNotNull()).groupBy(col(column))
     cells = pin(grouped.agg(F.count("*").alias("total"), known, *pairs))
     total, both = cells.agg(F.sum("total"), F.sum("__known")).first()
-    shares = {"percentage": F.try_divide(F.col("total"), F.lit(total))}
-    shares |= {v: F.try_divide(col(v), F.lit(both)) for v in values or []}
-    return dense_rank(cells, "total", "rank").withColumns(shares).drop("__known")
+    shares = {v: F.try_divide(col(v), F.lit(both)) for v in values or []}
+    if with_counts:
+        cells = dense_rank(cells, "total", "rank")
+        shares["percentage"] = F.try_divide(F.col("total"), F.lit(total))
+    out = cells.withColumns(shares).drop("__known")
+    return out if with_counts else out.drop("total")
 
 
 def crosstab_share(df: DataFrame, base: str, add: str, values: list[str]) -> DataFrame:
     """Each (base, add) pair as a share of all rows holding both, one column per value of ``add``."""
-    return value_counts(df, base, add, values).drop("total", "percentage", "rank")
+    return value_counts(df, base, add, values, with_counts=False)
 
 
 def group_shares(df: DataFrame, group: str, answer: str) -> DataFrame:

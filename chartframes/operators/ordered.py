@@ -57,7 +57,8 @@ def row_number(
     """Number the rows of each group from 1; for ``limit`` see ``fits_one_task``."""
     keys = cols(keys)
     if fits_one_task(df, keys, limit):
-        return df.withColumn(name, F.row_number().over(_partition(keys).orderBy(*ordering(order_by))))
+        number = F.row_number().over(_partition(keys).orderBy(*ordering(order_by)))
+        return df.withColumn(name, number.cast("bigint"))
     segments = _segments(df, keys, order_by)
     before = _before(segments, keys, __earlier=F.count("*"))
     numbered = attach(segments, before, [*keys, "__seg"], "__seg_rows")
@@ -170,10 +171,15 @@ def top_n(df: DataFrame, keys, order_by, n: int, rank: str | None = None) -> Dat
     ``row_number() <= n`` lets Spark keep only n rows per group before the shuffle, up to the n of
     ``spark.sql.optimizer.windowGroupLimitThreshold``; a larger n is numbered by ``row_number``.
     """
+    rank_name = rank or "__rank"
     pruned = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    ranked = row_number(df, keys, order_by, rank or "__rank", None if n <= pruned else TASK_ROWS)
-    kept = ranked.where(F.col(rank or "__rank") <= n)
-    return kept if rank else kept.drop("__rank")
+    if n <= pruned:
+        number = F.row_number().over(_partition(cols(keys)).orderBy(*ordering(order_by)))
+        ranked = df.withColumn(rank_name, number)
+    else:
+        ranked = row_number(df, keys, order_by, rank_name)
+    kept = ranked.where(F.col(rank_name) <= n)
+    return kept if rank else kept.drop(rank_name)
 
 
 def first_row(df: DataFrame, keys, order_by) -> DataFrame:

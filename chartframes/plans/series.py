@@ -12,6 +12,7 @@ from chartframes.operators.ordered import lag_diff, moving_mean, relative_to_fir
 from chartframes.operators.quantiles import group_quantiles
 from chartframes.operators.reshape import pivot_strict
 from chartframes.operators.rows import in_groups
+from chartframes.operators.skew import fits_one_task
 from chartframes.session import pin
 
 latest = aggregate.latest
@@ -36,7 +37,8 @@ def pct_change_from_base(
     measures |= {n: ratio_percent(a, b).cast("double") for n, (a, b) in (ratios or {}).items()}
     wide = df.select(col(period), *[m.alias(n) for n, m in measures.items()])
     long = wide.unpivot(period, list(measures), "measure", "__number")
-    medians = group_quantiles(long, [period, "measure"], "__number", {"median": 0.5}, "linear")
+    limit = None if fits_one_task(df, [period]) else 0  # a period has as many rows in each measure
+    medians = group_quantiles(long, [period, "measure"], "__number", {"median": 0.5}, "linear", limit=limit)
     changes = relative_to_first(medians, "measure", period, "median", "__ratio")
     percent = changes.withColumn("__pct", F.round((F.col("__ratio") - 1) * 100, 2))
     return pivot_strict(percent, period, "measure", "__pct", list(measures)).orderBy(period)

@@ -23,6 +23,15 @@ def tables(spark):
     return Tables(spark, "/root/testdata/sf0.001")
 
 
+@pytest.fixture(scope="session")
+def built(spark):
+    """Every query on the smallest tables, built once."""
+    import __spark_entry__ as entry
+
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    return {name: query(spark, "/root/testdata/sf0.001") for name, query in entry.queries().items()}
+
+
 def rows(df, *names):
     """Collected rows as a sorted list of tuples."""
     found = (df.select(*names) if names else df).collect()

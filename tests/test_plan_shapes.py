@@ -15,9 +15,8 @@ def plan_of(df):
 
 
 @pytest.fixture(scope="module")
-def plans(spark):
-    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
-    return {name: plan_of(query(spark, "/root/testdata/sf0.001")) for name, query in entry.queries().items()}
+def plans(built):
+    return {name: plan_of(df) for name, df in built.items()}
 
 
 def test_no_query_runs_python_per_row(plans):
