@@ -47,9 +47,9 @@ def calendar_parts(ts: Name) -> dict[str, Column]:
     return {
         "year": F.year(ts),
         "month": F.month(ts),
-        "month_name": F.date_format(ts, "MMM"),
+        "month_name": F.date_format(ts.cast("date"), "MMM"),
         "day": F.dayofmonth(ts),
-        "day_name": F.date_format(ts, "E"),
+        "day_name": F.date_format(ts.cast("date"), "E"),
         "day_num": weekday_number(ts),
         "hour": F.hour(ts),
         "week": iso_week(ts),

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chartframes.columns import col, cols
-from chartframes.operators.skew import attach
+from chartframes.operators.skew import attach, join_split
 from chartframes.sources.tables import literal_table, mapping_table
 
 
@@ -47,9 +47,14 @@ def with_total_row(df: DataFrame, label: str, text: str = "Total") -> DataFrame:
     return df.unionByName(df.agg(*sums))
 
 
-def lookup(df: DataFrame, table: DataFrame, on: str | list[str], how: str = "left") -> DataFrame:
-    """Equi-join with a table of names, codes or coordinates; null keys never match."""
-    return df.join(table, on, how)
+def lookup(
+    df: DataFrame, table: DataFrame, on: str | list[str], how: str = "left", split_hot: bool = False
+) -> DataFrame:
+    """Equi-join with a table of names, codes or coordinates; null keys never match.
+
+    ``split_hot`` is for a table too large to broadcast, joined on a key that few values dominate.
+    """
+    return join_split(df, table, on, how) if split_hot else df.join(table, on, how)
 
 
 def in_roles(df: DataFrame, table: DataFrame, key: str, roles: dict[str, str], how: str = "left") -> DataFrame:

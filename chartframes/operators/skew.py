@@ -72,9 +72,9 @@ def attach(
     """
     keys = cols(keys)
     stats = pin(stats)
-    size, total = stats.agg(F.sum(_row_bytes(stats)), F.sum(rows)).first()
     if not keys:
-        return _with_literals(df, stats)
+        return _with_scalars(df, stats)
+    size, total = stats.agg(F.sum(_row_bytes(stats)), F.sum(rows)).first()
     if (size or 0) <= (BROADCAST_BYTES if limit is None else limit):
         return _join(df, F.broadcast(stats), keys, how)
     hot = stats.where(col(rows) * HOT_SHARE > F.lit(total))
@@ -84,11 +84,41 @@ def attach(
     return hot_rows.unionByName(cold_rows)
 
 
-def _with_literals(df: DataFrame, stats: DataFrame) -> DataFrame:
-    """Statistics of the whole table are one row: put them on every row as literals."""
-    row = stats.first()
-    types = {f.name: f.dataType for f in stats.schema.fields}
-    return df.withColumns({name: F.lit(row[name]).cast(kind) for name, kind in types.items()})
+def _with_scalars(df: DataFrame, stats: DataFrame) -> DataFrame:
+    """Statistics of the whole table are one row: put them on every row as scalar subqueries."""
+    return df.withColumns({name: stats.select(col(name)).scalar() for name in stats.columns})
+
+
+def join_split(df: DataFrame, table: DataFrame, keys: str | list[str], how: str = "left", limit: int | None = None) -> DataFrame:
+    """Left or inner join of ``df`` with a large ``table`` on keys that few values may dominate.
+
+    The keys of ``df`` are counted first. Without hot ones it is a plain join. Otherwise the rows of
+    ``table`` with a hot key are pinned, measured and broadcast to their rows of ``df``, rows of
+    ``df`` without a key are set aside, and only the others are shuffled on the key. Should the rows
+    of ``table`` with a hot key be too many to broadcast, the plain join is left to AQE to split.
+    """
+    if how not in ("left", "inner"):
+        raise ValueError(f"cannot split a {how} join")
+    keys = cols(keys)
+    missing = reduce(lambda a, b: a | b, [col(k).isNull() for k in keys])
+    counts = pin(df.groupBy(*[col(k) for k in keys]).agg(F.count("*").alias("__key_rows")))
+    total = counts.agg(F.sum("__key_rows")).first()[0] or 0
+    hot = counts.where(F.col("__key_rows") * HOT_SHARE > F.lit(total)).drop("__key_rows")
+    if hot.isEmpty():
+        return df.join(table, keys, how)
+    hot = F.broadcast(hot)
+    few = pin(table.join(hot, keys, "left_semi"))
+    size = few.agg(F.sum(_row_bytes(few))).first()[0] or 0
+    if size > (BROADCAST_BYTES if limit is None else limit):
+        return df.join(table, keys, how)
+    known = df.where(~missing)
+    parts = [
+        known.join(hot, keys, "left_semi").join(F.broadcast(few), keys, how),
+        known.join(hot, keys, "left_anti").join(table, keys, how),
+    ]
+    if how == "left":
+        parts.append(df.where(missing).join(F.broadcast(few.limit(0)), keys, how))
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 def with_group_values(df: DataFrame, keys: str | list[str], **values: Column) -> DataFrame:

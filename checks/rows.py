@@ -106,6 +106,26 @@ def j02(t):
     return joined.groupBy("p_type").agg(F.count("*").alias("n"), F.sum(cents("l_quantity")).cast("double").alias("qty"))
 
 
+@check(
+    "j01_left_join_split",
+    """SELECT e.event_id, l.quality, l.toxic FROM events e LEFT JOIN labels l ON l.doc_id = e.user_id""",
+)
+def j01_split(t):
+    labels = t.labels.withColumnRenamed("doc_id", "user_id")
+    return lookup(t.events, labels, "user_id", split_hot=True).select("event_id", "quality", "toxic")
+
+
+@check(
+    "j02_inner_join_split",
+    """SELECT s_nationkey, count(*) AS n, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS qty
+       FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY s_nationkey""",
+)
+def j02_split(t):
+    suppliers = t.supplier.withColumnRenamed("s_suppkey", "l_suppkey")
+    joined = lookup(t.lineitem, suppliers, "l_suppkey", "inner", split_hot=True)
+    return joined.groupBy("s_nationkey").agg(F.count("*").alias("n"), F.sum(cents("l_quantity")).cast("double").alias("qty"))
+
+
 @check(
     "j03_right_join",
     """SELECT c_custkey, c_name, o_orderkey FROM (SELECT * FROM orders WHERE o_totalprice > 450000)

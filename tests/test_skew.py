@@ -73,3 +73,24 @@ def test_fits_one_task(skewed):
 
 def test_in_groups_never_keeps_null_keys(skewed):
     assert rows(in_groups(skewed, "k", F.count("*") >= 10).select("k").distinct()) == [(0,)]
+
+
+@pytest.mark.parametrize("limit", [None, 0])
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_join_split_is_a_join(spark, skewed, how, limit):
+    table = spark.range(0, 1500, 2).selectExpr("id AS k", "id * 10 AS x").union(spark.sql("SELECT NULL, 7"))
+    split = skew.join_split(skewed, table, "k", how, limit)
+    assert rows(split, "id", "k", "x") == rows(skewed.join(table, "k", how), "id", "k", "x")
+
+
+def test_join_split_broadcasts_hot_keys_only(spark, skewed):
+    table = spark.range(2000).selectExpr("id AS k", "id * 10 AS x")
+    plan = skew.join_split(skewed, table, "k")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan and "LeftAnti" in plan and "LeftSemi" in plan
+    even = skewed.where("k > 0")
+    assert "Union" not in skew.join_split(even, table, "k")._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_join_split_refuses_other_kinds(spark, skewed):
+    with pytest.raises(ValueError):
+        skew.join_split(skewed, skewed, "k", "full")
