@@ -45,10 +45,11 @@ def medians(df: DataFrame, keys, names: list[str]) -> DataFrame:
     return found.groupBy(*[col(k) for k in keys]).pivot("__measure", names).agg(F.first("median"))
 
 
-def counts(df: DataFrame, keys, column: str | None = None, name: str = "n") -> DataFrame:
-    """Rows per group, or its non-null values of ``column``."""
+def counts(df: DataFrame, keys, column: str | dict[str, str | None] | None = None, name: str = "n") -> DataFrame:
+    """Rows per group, or its non-null values of ``column``, or several counts from ``name: column``."""
     _, grouped = _by(df, keys)
-    return grouped.agg(F.count("*" if column is None else col(column)).alias(name))
+    wanted = column if isinstance(column, dict) else {name: column}
+    return grouped.agg(*[F.count("*" if c is None else col(c)).alias(n) for n, c in wanted.items()])
 
 
 def extent(df: DataFrame, keys, low: str, high: str | None = None) -> DataFrame:

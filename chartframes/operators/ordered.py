@@ -75,17 +75,19 @@ def running_sum(
     name: str = "running_sum",
     limit: int | None = TASK_ROWS,
 ) -> DataFrame:
-    """Sum of ``value`` over the rows of the group up to this one, nulls counting as nothing."""
+    """Sum of ``value`` over the rows of the group up to this one; null where ``value`` is null."""
     keys = cols(keys)
     df = df.withColumn("__summand", col(value))
     upto = (Window.unboundedPreceding, Window.currentRow)
     if fits_one_task(df, keys, limit):
         frame = _partition(keys).orderBy(*ordering(order_by)).rowsBetween(*upto)
-        return df.withColumn(name, F.sum("__summand").over(frame)).drop("__summand")
+        total = F.when(F.col("__summand").isNotNull(), F.sum("__summand").over(frame))
+        return df.withColumn(name, total).drop("__summand")
     segments = _segments(df, keys, order_by)
     before = _before(segments, keys, __earlier=F.coalesce(F.sum("__summand"), F.lit(0)))
     frame = _partition([*keys, "__seg"]).orderBy("__pos").rowsBetween(*upto)
-    local = segments.withColumn("__local", F.coalesce(F.sum("__summand").over(frame), F.lit(0)))
+    here = F.when(F.col("__summand").isNotNull(), F.sum("__summand").over(frame))
+    local = segments.withColumn("__local", here)
     out = attach(local, before.drop("__first"), [*keys, "__seg"], "__seg_rows")
     return out.withColumn(name, F.col("__local") + F.col("__earlier")).drop(
         "__summand", "__pos", "__seg", "__local", "__seg_rows", "__earlier"
@@ -159,7 +161,8 @@ def relative_to_first(df: DataFrame, keys, time: str, value: str, name: str) ->
 def running_share(
     df: DataFrame, order_by, value: str, name: str = "cum_pct", limit: int | None = TASK_ROWS
 ) -> DataFrame:
-    """Running percentage of the table total."""
+    """Running percentage of the table total. The table is pinned: aggregate it first."""
+    df = pin(df)
     total = df.agg(F.sum(col(value)).alias("total")).scalar()
     out = running_sum(df, None, order_by, value, "__running", limit)
     return out.withColumn(name, 100 * F.try_divide(F.col("__running").cast("double"), total.cast("double"))).drop("__running")

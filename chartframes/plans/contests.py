@@ -37,13 +37,18 @@ def running_totals(
     limit = None if fits_one_task(df, keys) else 0
     numbered = row_number(df, keys, order_by, "match_num", limit)
     out = running_sum(numbered, keys, "match_num", value, "total", limit)
-    rows = out.select(col(season), col(team), F.col("match_num").cast("bigint").alias("match_num"), "total")
-    if not baseline:
-        return rows
-    kind = rows.schema["total"].dataType
-    start = df.select(col(season), col(team)).distinct()
-    zero = start.withColumns({"match_num": F.lit(0).cast("bigint"), "total": F.lit(0).cast(kind)})
-    return rows.unionByName(zero)
+    row = F.struct("match_num", "total")
+    if baseline:
+        zero = F.struct(
+            F.lit(0).cast("bigint").alias("match_num"), F.lit(0).cast(out.schema["total"].dataType).alias("total")
+        )
+        first = F.col("match_num") == 1
+        steps = F.when(first, F.array(zero, row)).otherwise(F.array(row))
+    else:
+        steps = F.array(row)
+    return out.select(col(season), col(team), F.explode(steps).alias("__step")).select(
+        col(season), col(team), "__step.match_num", "__step.total"
+    )
 
 
 def running_matrix(

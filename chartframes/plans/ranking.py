@@ -10,14 +10,13 @@ from chartframes.functions.conditions import others
 from chartframes.operators import ordered
 from chartframes.operators.aggregate import value_counts
 from chartframes.operators.rows import recode
-from chartframes.session import pin
 
 
 def pareto(df: DataFrame, key: str | list[str], value: str, keep: list | None = None) -> DataFrame:
     """Total per key, largest first, with the running percentage; ``keep`` is applied after it."""
     keys = cols(key)
     totals = df.groupBy(*[col(k) for k in keys]).agg(F.sum(col(value)).alias("total"))
-    out = ordered.running_share(pin(totals), ["-total", *keys], "total")
+    out = ordered.running_share(totals, ["-total", *keys], "total")
     if keep is not None:
         out = out.where(col(keys[0]).isin(keep))
     return out.orderBy(*ordering(["-total", *keys]))

@@ -125,7 +125,7 @@ def percentile_matrix(
     for p in percentiles:
         percentile = percentile.when(col(label).contains(str(p)), F.lit(p))
     years = col(value).cast("double").cast("int") / F.lit(float(divisor))
-    rows = df.select(percentile.alias("percentile"), col(group), years.alias("years")).dropna()
+    rows = pin(df.select(percentile.alias("percentile"), col(group), years.alias("years")).dropna())
     complete = rows.groupBy(col(group)).agg(F.count("years").alias("n")).where(F.col("n") == len(percentiles))
     return rows.join(complete.select(col(group)), group, "left_semi")
 

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from chartframes.functions import flag
+from chartframes.operators.aggregate import sums
 from chartframes.operators.ordered import first_row
 from chartframes.operators.reshape import pivot_sum
 from chartframes.plans import (
@@ -14,6 +15,7 @@ from chartframes.plans import (
     winner_matrix,
 )
 from chartframes.plans.contests import running_totals, unit_winners
+from chartframes.session import pin
 from checks.registry import cents, check, double, rounded
 
 NATIONS = [f"NATION_{i}" for i in range(25)]
@@ -96,6 +98,13 @@ def k05_long(t):
     return running_totals(orders, "season", "team", "value", ["o_orderdate", "o_orderkey"]).withColumns(double("total"))
 
 
+@check("c10_baseline_row", "SELECT DISTINCT year(o_orderdate) AS season, o_custkey AS team, 0 AS match_num, 0.0::DOUBLE AS total FROM orders")
+def c10(t):
+    orders = t.orders.select(F.year("o_orderdate").alias("season"), F.col("o_custkey").alias("team"), "o_orderkey", cents("o_totalprice").alias("value"))
+    rows = running_totals(orders, "season", "team", "value", ["o_orderkey"])
+    return rows.where("match_num = 0").withColumns(double("total"))
+
+
 def votes(t):
     """An election per year: nations are the states, order statuses the parties, prices the votes."""
     joined = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).join(
@@ -154,14 +163,12 @@ def k12(t):
     return out.withColumns(double("a_votes", "b_votes", "total_votes") | rounded(*shares))
 
 
-def state_winners(t):
-    wide = pivot_sum(votes(t), ["year", "state"], "party", "votes", ["F", "O"])
-    return unit_winners(wide, "F", "O", "Filled", "Open")
+def state_votes(t):
+    return pivot_sum(votes(t), ["year", "state"], "party", "votes", ["F", "O"])
 
 
-def outcomes(t):
-    wide = pivot_sum(votes(t), ["year"], "party", "votes", ["F", "O"])
-    return unit_winners(wide, "F", "O", "Filled", "Open").select("year", F.col("unit_winner").alias("winner"))
+def winners(wide):
+    return unit_winners(wide, "F", "O", "Filled", "Open")
 
 
 WINNERS = f"""SELECT year, state, CASE WHEN a > b THEN 'Filled' ELSE 'Open' END AS unit_winner FROM ({VOTES})"""
@@ -174,7 +181,9 @@ WINNERS = f"""SELECT year, state, CASE WHEN a > b THEN 'Filled' ELSE 'Open' END
         FROM w JOIN o USING (year) GROUP BY state""",
 )
 def k13(t):
-    return win_loss_record(state_winners(t), "state", "year", "unit_winner", outcomes(t), "winner")
+    states = pin(state_votes(t))
+    years = winners(sums(states, "year", ["F", "O"])).select("year", F.col("unit_winner").alias("winner"))
+    return win_loss_record(winners(states), "state", "year", "unit_winner", years, "winner")
 
 
 @check(
@@ -184,4 +193,4 @@ def k13(t):
     + f" FROM ({WINNERS}) GROUP BY year",
 )
 def k14(t):
-    return winner_matrix(state_winners(t), "year", "state", "unit_winner", NATIONS)
+    return winner_matrix(winners(state_votes(t)), "year", "state", "unit_winner", NATIONS)

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from chartframes.functions import fill_from, same_text, within
+from chartframes.operators.aggregate import value_counts
 from chartframes.operators.ordered import row_number
 from chartframes.operators.rows import add_row, in_groups, in_roles, lookup, members, recode, stack, stack_tagged
 from checks.registry import cents, check
@@ -272,7 +273,5 @@ def u02(t):
        FROM events GROUP BY event_type""",
 )
 def u03(t):
-    n = t.events.groupBy("event_type").agg(F.count("*").alias("n"))
-    total = t.events.agg(F.count("*")).scalar()
-    share = t.events.groupBy("event_type").agg(F.round(F.count("*") / F.max(total), 6).alias("share"))
-    return lookup(n, share, "event_type")
+    both = value_counts(t.events, "event_type")
+    return both.select("event_type", F.col("total").alias("n"), F.round("percentage", 6).alias("share"))

@@ -65,6 +65,16 @@ def test_running_sum_and_count(skewed, limit):
     assert rows(found, "id", "s", "c") == sorted(expected)
 
 
+@pytest.mark.parametrize("limit", WAYS)
+def test_running_sum_is_null_where_the_value_is(skewed, limit):
+    total, expected = {}, []
+    for k, g in groups(skewed).items():
+        for r in g:
+            total[k] = total.get(k, 0) + (r.v or 0)
+            expected.append((r.id, None if r.v is None else total[k]))
+    assert rows(running_sum(skewed, "k", "id", "v", "s", limit), "id", "s") == sorted(expected)
+
+
 @pytest.mark.parametrize("limit", WAYS)
 def test_moving_mean(skewed, limit):
     expected = []
