@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chartframes.session import scratch_path
@@ -59,19 +59,20 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """Connected components of ``edges`` (a, b): one row (node, root) per node, root the smallest node.
+    """Connected components of ``edges`` (a, b): one row (node, root) per node, root one of the component's nodes.
 
-    Each round maps every node to its smallest neighbour and contracts the edges to the images, which at
-    least halves the nodes; the rounds' maps are then composed. Minima are combined before the shuffle, so a
-    hub with many edges costs no task more than others; joins read pinned tables, so AQE splits hubs there.
+    Each round maps every node to the one with the smallest hash among itself and its neighbours, and contracts the
+    edges to the images; the rounds' maps are then composed. As the hash differs by round, a constant
+    share of the nodes goes in each, also on long chains. Minima are combined before the shuffle, so a hub
+    with many edges costs no task more than others; joins read pinned tables, so AQE splits hubs there.
     """
-    edges = pin(edges.where("a <> b").distinct())
-    maps = []
+    edges = pin(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    maps: list[DataFrame] = []
     while not edges.isEmpty():
         both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        nearest = pin(
-            both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("up"))
-        )
+        rank = lambda name: F.struct(F.xxhash64(name, F.lit(len(maps))).alias("h"), F.col(name).alias("b"))  # noqa: E731, B023
+        least = F.least(F.min(rank("b")), F.min(rank("a")))
+        nearest = pin(both.groupBy(F.col("a").alias("node")).agg(least.alias("x")).select("node", F.col("x.b").alias("up")))
         maps.append(nearest)
         left = nearest.select(F.col("node").alias("a"), F.col("up").alias("a_up"))
         right = nearest.select(F.col("node").alias("b"), F.col("up").alias("b_up"))
@@ -84,7 +85,33 @@ def components(edges: DataFrame) -> DataFrame:
     found = maps[-1].select("node", F.col("up").alias("root"))
     for earlier in reversed(maps[:-1]):
         later = found.select(F.col("node").alias("up"), "root")
-        found = pin(
-            earlier.join(later, "up", "left").select("node", F.coalesce("root", "up").alias("root"))
-        )
+        found = pin(earlier.join(later, "up", "left").select("node", F.coalesce("root", "up").alias("root")))
     return found
+
+
+def labelled_sample(texts: DataFrame, labelled: DataFrame, rows: int) -> DataFrame:
+    """(doc_id, text, label) of at most ``rows`` labelled documents, equal shares of the labels, chosen by hash of the id.
+
+    ``texts`` is (doc_id, text), ``labelled`` (doc_id, label). The choice is made on ids alone, the chosen
+    ids are broadcast (their number is bounded), so no text is shuffled.
+    """
+    labels = labelled.where("label IS NOT NULL AND doc_id IS NOT NULL").groupBy("label").count()
+    share = max(rows // max(labels.count(), 1), 1)
+    first = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
+    chosen = (
+        labelled.where("label IS NOT NULL AND doc_id IS NOT NULL")
+        .withColumn("__n", F.row_number().over(first)).where(F.col("__n") <= share).drop("__n").limit(rows)
+    )
+    return texts.join(F.broadcast(chosen), "doc_id")
+
+
+def without_rows(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` without the rows named by ``gone`` (doc_id, text_hash), where text_hash is ``xxhash64(text)``.
+
+    A null doc_id matches a null one, so rows without an id are told apart by their texts.
+    """
+    gone = pin(gone.distinct().select(F.coalesce("doc_id", F.lit(-1 << 63)).alias("__id"), F.col("doc_id").isNull().alias("__no_id"), F.col("text_hash").alias("__hash")))
+    keyed = docs.withColumns(
+        {"__id": F.coalesce("doc_id", F.lit(-1 << 63)), "__no_id": F.col("doc_id").isNull(), "__hash": F.xxhash64("text")}
+    )
+    return join_small(keyed, gone, ["__id", "__no_id", "__hash"], 32, "left_anti").select(docs.columns)

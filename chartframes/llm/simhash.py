@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chartframes.llm.common import components, join_small, pin, take
+from chartframes.llm.common import components, pin, take, without_rows
 
 BITS = 64
 SEED = 42
@@ -50,14 +50,9 @@ def fingerprint(text: str | None, size: int = 3) -> int:
     return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row (doc_id, fp) per document; a null text counts as empty."""
-
-    @F.pandas_udf(T.LongType())
-    def of(texts: pd.Series) -> pd.Series:
-        return pd.Series([fingerprint(x) for x in texts], dtype="int64")
-
-    return take(docs, doc_id=id_column, text=text_column).select("doc_id", of("text").alias("fp"))
+@F.pandas_udf(T.LongType())
+def text_fingerprint(texts: pd.Series) -> pd.Series:
+    return pd.Series([fingerprint(x) for x in texts], dtype="int64")
 
 
 def walk(left: np.ndarray, right: np.ndarray, depth: int, used: int, budget: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -167,7 +162,8 @@ def trie_links(fps: DataFrame, budget: int = 2, rows: int = NODE_PAIR_ROWS) -> D
         masks = F.array(*[F.struct(F.lit(m).cast("long").alias("m"), F.lit(m.bit_count()).alias("bits")) for m in range(1 << STEP) if m.bit_count() <= budget])
         left = children.select(F.col("parent").alias("a"), F.col("c").alias("a2"), F.col("n").alias("n_a"))
         right = children.select(F.col("c").alias("b2"), F.col("n").alias("n_b"))
-        spread = pairs.join(left, "a").withColumn("mask", F.explode(F.filter(masks, lambda x: x["bits"] + F.col("used") <= budget)))
+        entered = pairs.join(left, "a") if depth else left.withColumns({"b": F.lit(0).cast("long"), "used": F.lit(0)})
+        spread = entered.withColumn("mask", F.explode(F.filter(masks, lambda x: x["bits"] + F.col("used") <= budget)))
         spread = spread.select(
             "a2", "n_a", (F.col("used") + F.col("mask.bits")).alias("used"),
             (F.shiftleft("b", STEP) + F.col("a2").bitwiseAND((1 << STEP) - 1).bitwiseXOR(F.col("mask.m"))).alias("b2"),
@@ -201,20 +197,38 @@ def trie_links(fps: DataFrame, budget: int = 2, rows: int = NODE_PAIR_ROWS) -> D
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", budget: int = 2) -> DataFrame:
-    """One row (doc_id, fingerprint, component_id) per document.
+    """One row (doc_id, fingerprint, component_id, text_hash) per document.
 
     Documents are linked if their fingerprints differ in at most ``budget`` bits; ``component_id`` is the
     smallest doc_id that can be reached. Equal fingerprints are joined as one before the trie is walked, so a
     group of copies costs one entry. Null and empty texts have fingerprint zero and are linked like any
     other. Repeated rows come out once each; a null doc_id is later than any other, and a component of null
-    doc_ids only has a null component_id. An empty table gives no rows.
+    doc_ids only has a null component_id. An empty table gives no rows; other columns are not read.
     """
-    marked = pin(fingerprints(docs, id_column, text_column))
+    plain = take(docs, doc_id=id_column, text=text_column)
+    marked = pin(plain.select("doc_id", text_fingerprint("text").alias("fp"), F.xxhash64("text").alias("text_hash")))
     fps = pin(marked.groupBy("fp").agg(F.min("doc_id").alias("first")))
     found = components(trie_links(fps, budget)).select(F.col("node").alias("fp"), "root")
     roots = fps.join(found, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     smallest = roots.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = pin(roots.join(smallest, "root").select("fp", "component_id"))
+    named = pin(roots.join(smallest, "root").select("fp", "component_id", "root"))
     return marked.join(named, "fp").select(
-        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "text_hash", "root"
     )
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text and others) that stay: of each group of near copies the smallest doc_id.
+
+    Of rows with that doc_id, or without any, the one with the smallest hash of its text stays, and once only.
+    """
+    found = pin(near_duplicates(docs).select("doc_id", "text_hash", "root"))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
+    best = pin(found.groupBy("root").agg(F.min(order).alias("best")).select("root", "best.doc_id", "best.text_hash"))
+    other = best.select("root", F.col("doc_id").alias("best_id"), F.col("text_hash").alias("best_hash"))
+    differs = ~(F.col("doc_id").eqNullSafe(F.col("best_id")) & F.col("text_hash").eqNullSafe(F.col("best_hash")))
+    gone = found.join(other, "root").where(differs).select("doc_id", "text_hash")
+    kept = without_rows(docs, gone)
+    if best.count() < found.join(other, "root").where(~differs).count():  # rows that are repeated as they are
+        kept = kept.dropDuplicates(["doc_id", "text"])
+    return kept
