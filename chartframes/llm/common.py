@@ -18,19 +18,25 @@ def take(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{source}`").alias(name) for name, source in columns.items()])
 
 
-def pin(df: DataFrame) -> DataFrame:
+def pin(df: DataFrame, compression: str = "snappy") -> DataFrame:
     """``df`` as a Parquet table in the shared checkpoint folder, computed once and read back.
 
     The folder goes when the session ends. Parquet is several times smaller than a checkpoint of rows.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, "table")
-    df.write.parquet(path)
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path.rsplit("/", 1)[0])
-    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
+    path = scratch_folder(spark)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """A fresh path below the shared checkpoint folder, deleted when the session ends."""
+    path = scratch_path(spark, "table")
+    parent = spark._jvm.org.apache.hadoop.fs.Path(path.rsplit("/", 1)[0])
+    parent.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(parent)
+    return path
+
+
 def join_small(df: DataFrame, small: DataFrame, on: Sequence[str], row_bytes: int, how: str = "left") -> DataFrame:
     """Join a pinned table, by broadcast if its counted rows fit ``BROADCAST_BYTES``, else by shuffle.
 

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartframes.llm import decontaminate, language, packing, simhash, suffix
-from chartframes.llm.common import held_out
+from chartframes.llm import binary, counts, decontaminate, language, licences, packing, quality, simhash, suffix, topk
+from chartframes.llm.common import held_out, scratch_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -82,3 +82,81 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
 @register("op5_best_fit_packing")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@register("op2_quality_classifier")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = quality.score(docs, quality.fit(docs, table(spark, folder, "labels"), ~held_out()))
+    return found.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def _canonical_sql(text: str) -> str:
+    """The canonical lines of a text column, in DuckDB."""
+    out = f"lower(coalesce({text}, ''))"
+    for old, new in licences.SPELLINGS:
+        out = f"replace({out}, '{old}', '{new}')"
+    out = f"regexp_replace({out}, '{licences.COPYRIGHT_LINE}', chr(10), 'g')"
+    out = f"regexp_replace({out}, '{licences.SIGNS}', ' ', 'g')"
+    return f"list_filter(list_transform(string_split({out}, chr(10)), lambda x: trim(x)), lambda x: x <> '')"
+
+
+def _licence_rows() -> str:
+    quoted = [f"('{name}', '{text.replace(chr(39), chr(39) * 2)}')" for name, text in licences.LICENCES]
+    return ", ".join(quoted)
+
+
+@register(
+    "op10_license_scan",
+    f"""
+WITH known AS (
+  SELECT array_to_string(lines, ' ') AS canonical, min(license_id) AS license
+  FROM (SELECT license_id, {_canonical_sql('text')} AS lines FROM (VALUES {_licence_rows()}) AS v(license_id, text))
+  WHERE len(lines) > 0 GROUP BY 1
+), d AS (
+  SELECT row_number() OVER () AS rid, doc_id, {_canonical_sql('text')} AS lines FROM documents
+), notes AS (
+  SELECT rid, string_agg(DISTINCT license, ',' ORDER BY license) AS notices, count(*) AS n_notices
+  FROM (SELECT rid, unnest(lines) AS canonical FROM d) JOIN known USING (canonical) GROUP BY rid
+)
+SELECT doc_id, sha256(array_to_string(lines, ' ')) AS text_sha256, license, coalesce(notices, '') AS notices,
+  coalesce(n_notices, 0) AS n_notices
+FROM d LEFT JOIN known ON canonical = array_to_string(lines, ' ') LEFT JOIN notes USING (rid)
+""",
+)
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return licences.scan(table(spark, folder, "documents"), licences.known_licences(spark))
+
+
+@register("op8_token_counts")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = counts.read_pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    return counts.token_counts(table(spark, folder, "documents"), pieces)
+
+
+@register("op9_training_order_shards")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_folder(spark)
+    binary.materialise(table(spark, folder, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
+    return binary.read_from(spark, path).select(
+        "slot", "shard", "at", "doc_id", "piece", "length", F.crc32("ids").alias("ids_crc32")
+    )
+
+
+@register(
+    "op1_exact_top_k",
+    """
+WITH codes AS (
+  SELECT vec_id, list_sum(list_transform(range(1, len(embedding) + 1), lambda i: CASE WHEN embedding[i] > 0 THEN CAST(1 AS UBIGINT) << (i - 1) ELSE 0 END))::UBIGINT AS code
+  FROM embeddings WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+), pairs AS (
+  SELECT q.vec_id AS query_id, t.vec_id AS id, bit_count(xor(q.code, t.code))::INTEGER AS distance
+  FROM codes q, codes t WHERE q.vec_id % 20 = 0
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, id, distance
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS rank FROM pairs) WHERE rank <= 10
+""",
+)
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    codes = table(spark, folder, "embeddings").select(F.col("vec_id").alias("id"), topk.sign_code(F.col("embedding")).alias("code"))
+    return topk.nearest(codes, codes.where("id % 20 = 0"), 10)
