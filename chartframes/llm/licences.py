@@ -27,7 +27,7 @@ def canonical_lines(text: Column) -> Column:
         out = F.replace(out, F.lit(old), F.lit(new))
     out = F.regexp_replace(out, COPYRIGHT_LINE, "\n")
     out = F.regexp_replace(out, SIGNS, " ")
-    return F.filter(F.transform(F.split(out, "\n"), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(out, "\n"), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def digest(lines: Column) -> Column:
