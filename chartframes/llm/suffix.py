@@ -36,6 +36,7 @@ PIECE = 1 << 18
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 _S31, _S29 = np.uint64(31), np.uint64(29)
+_LOW, _HALF = np.uint64(0xFFFFFFFF), np.uint64(32)
 
 
 def mix(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -151,7 +152,9 @@ def _joined(doc: np.ndarray, tie: np.ndarray, first: np.ndarray, stop: np.ndarra
     return doc[fresh], tie[fresh], first[fresh], (reach - base)[last]
 
 
-_SENT = pa.schema([("rank", pa.int64()), ("side", pa.int64()), ("whole", pa.int64()), ("doc", pa.int64()), ("tie", pa.int64()), ("first", pa.int64()), ("stop", pa.int64()), ("at", pa.int64())])
+#: ``place`` is first byte * 128 + windows; for a run of bytes that is settled it is -1 - first byte, and ``side`` its end.
+_SENT = pa.schema([(k, pa.int64()) for k in ("rank", "side", "whole", "doc", "tie", "place")])
+_PLACE = 128
 _RUN = "kind int, doc long, tie long, first long, stop long"
 
 
@@ -177,6 +180,13 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64) if x.dtype == np.uint64 else x
 
 
+def _sent_runs(doc: np.ndarray, tie: np.ndarray, first: np.ndarray, stop: np.ndarray) -> dict[str, np.ndarray]:
+    """Settled runs on their way past the sort, spread by a rank of their own."""
+    doc, tie, first, stop = _joined(doc, tie, first, stop)
+    rank = _signed(mix(doc.astype(np.uint64), first.astype(np.uint64)))
+    return {"rank": rank, "side": stop, "whole": first * 0, "doc": doc, "tie": tie, "place": -1 - first}
+
+
 def _send_anchors(width: int):
     """Anchors of whole texts; what an earlier document of the same portion settles is sent as runs, rank at random."""
 
@@ -193,17 +203,17 @@ def _send_anchors(width: int):
                     found.append(
                         {
                             "rank": _signed(a["rank"]), "whole": _signed(a["whole"]),
-                            "side": _signed((a["left"] & np.uint64(0xFFFFFFFF)) << np.uint64(32) | a["right"] & np.uint64(0xFFFFFFFF)) if len(part) else np.zeros(0, np.int64),
-                            "doc": docs[names[part]], "tie": ties[names[part]], "first": a["first"] + shift, "stop": a["last"] + shift + width, "at": a["at"] + shift,
+                            "side": _signed((a["left"] & _LOW) << _HALF | a["right"] & _LOW) if len(part) else np.zeros(0, np.int64),
+                            "doc": docs[names[part]], "tie": ties[names[part]], "first": a["first"] + shift, "count": a["last"] - a["first"] + 1,
                         }
                     )
                 if not found:
                     continue
-                c = {k: np.concatenate([f[k] for f in found]) for k in _SENT.names}
+                c = {k: np.concatenate([f[k] for f in found]) for k in found[0]}
+                c["place"] = c["first"] * _PLACE + c["count"]
                 low, _ = _earliest([c["whole"], c["rank"]], c["doc"])
                 done = c["doc"] > low
-                doc, tie, first, stop = _joined(*(c[k][done] for k in ("doc", "tie", "first", "stop")))
-                runs = {"rank": first * 31 + doc, "side": first * 0, "whole": first * 0, "doc": doc, "tie": tie, "first": first, "stop": stop, "at": first * 0 - 1}
+                runs = _sent_runs(*(c[k][done] for k in ("doc", "tie", "first")), (c["first"] + c["count"])[done] + width - 1)
                 yield from _batches({k: np.concatenate([c[k][~done], runs[k]]) for k in _SENT.names}, _SENT)
 
     return send
@@ -228,29 +238,44 @@ def _whole_ranks(batches, key: str) -> Iterator[dict[str, np.ndarray]]:
 _SETTLED = pa.schema([("kind", pa.int32()), ("doc", pa.int64()), ("tie", pa.int64()), ("first", pa.int64()), ("stop", pa.int64())])
 
 
-def _settle(batches):
+def _settle(width: int):
     """Kind 0: runs of bytes to remove. Kind 1: windows that must be ranked one by one."""
-    for c in _whole_ranks(batches, "rank"):
-        run = c["at"] < 0
-        q = {k: v[~run] for k, v in c.items()}
-        low, group = _earliest([q["whole"], q["rank"]], q["doc"])
-        done = q["doc"] > low
-        open_ = np.zeros(len(done), bool)
-        if len(done):
-            one = np.zeros(group.max() + 1, np.int64)
-            one[group] = np.arange(len(group))  # any row speaks for its group
-            again = np.zeros(len(one), bool)
-            rank, side = q["rank"][one].view(np.uint64), q["side"][one].view(np.uint64)
-            for part in (side >> np.uint64(32), side & np.uint64(0xFFFFFFFF)):
-                _, which, count = np.unique(mix(rank, part), return_inverse=True, return_counts=True)
-                again |= (count[which] > 1) & (part != 0)
-            open_ = again[group] & ~done
-        out = {k: np.concatenate([c[k][run], q[k][done], q[k][open_]]) for k in ("doc", "tie", "first", "stop")}
-        out["kind"] = np.repeat([0, 1], [run.sum() + done.sum(), open_.sum()]).astype(np.int32)
-        yield from _batches(out, _SETTLED)
-
-
-_WINDOW = pa.schema([("rank", pa.int64()), ("pair", pa.int64()), ("doc", pa.int64()), ("tie", pa.int64()), ("first", pa.int64()), ("settled", pa.int64())])
+
+    def settle(batches):
+        for c in _whole_ranks(batches, "rank"):
+            run = c["place"] < 0
+            q = {k: v[~run] for k, v in c.items()}
+            low, group = _earliest([q["whole"], q["rank"]], q["doc"])
+            done = q["doc"] > low
+            open_ = np.zeros(len(done), bool)
+            rank, side = q["rank"].view(np.uint64), q["side"].view(np.uint64)
+            for part in (side >> _HALF, side & _LOW):
+                # 33 bytes that are in two documents and in different surroundings
+                open_ |= (part != 0) & _differ(mix(rank, part), q["doc"]) & _differ(mix(rank, part), group)
+            open_ &= ~done
+            first = q["place"] // _PLACE
+            stop = first + q["place"] % _PLACE + width - 1
+            out = {"doc": c["doc"], "tie": c["tie"]}
+            out = {k: np.concatenate([v[run], v[~run][done], v[~run][open_]]) for k, v in out.items()}
+            out["first"] = np.concatenate([-1 - c["place"][run], first[done], first[open_]])
+            out["stop"] = np.concatenate([c["side"][run], stop[done], stop[open_]])
+            out["kind"] = np.repeat([0, 1], [run.sum() + done.sum(), open_.sum()]).astype(np.int32)
+            yield from _batches(out, _SETTLED)
+
+    return settle
+
+
+def _differ(key: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """For each row whether the rows with its key have more than one value."""
+    if not len(key):
+        return np.zeros(0, bool)
+    order = np.argsort(key)
+    sorted_ = key[order]
+    start = np.flatnonzero(np.r_[True, sorted_[1:] != sorted_[:-1]])
+    mixed = np.minimum.reduceat(value[order], start) != np.maximum.reduceat(value[order], start)
+    out = np.empty(len(key), bool)
+    out[order] = np.repeat(mixed, np.diff(np.r_[start, len(key)]))
+    return out
 
 
 def _send_windows(width: int):
@@ -275,22 +300,14 @@ def _send_windows(width: int):
                     continue
                 rank, pair, doc, tie, first = (np.concatenate(x) for x in zip(*found, strict=True))
                 low, _ = _earliest([pair, rank], doc)
-                yield from _batches({"rank": rank, "pair": pair, "doc": doc, "tie": tie, "first": first, "settled": (doc > low).astype(np.int64)}, _WINDOW)
+                done = doc > low
+                runs = _sent_runs(doc[done], tie[done], first[done], first[done] + width)
+                sent = {"rank": rank, "side": rank * 0, "whole": pair, "doc": doc, "tie": tie, "place": first * _PLACE + 1}
+                yield from _batches({k: np.concatenate([sent[k][~done], runs[k]]) for k in _SENT.names}, _SENT)
 
     return send
 
 
-def _settle_windows(width: int):
-    def settle(batches):
-        for c in _whole_ranks(batches, "rank"):
-            low, _ = _earliest([c["pair"], c["rank"]], c["doc"])
-            done = c["doc"] > low
-            doc, tie, first, stop = _joined(*(c[k][done] for k in ("doc", "tie", "first")), c["first"][done] + width)
-            yield from _batches({"kind": np.zeros(len(doc), np.int32), "doc": doc, "tie": tie, "first": first, "stop": stop}, _SETTLED)
-
-    return settle
-
-
 def _blobs(runs: DataFrame) -> DataFrame:
     """One row (doc, tie, runs) per document: its runs made one where they touch, packed as pairs of numbers."""
 
@@ -305,13 +322,16 @@ def _blobs(runs: DataFrame) -> DataFrame:
 
 def repeated_runs(docs: DataFrame, width: int = 50) -> DataFrame:
     """One row (doc, tie, runs) per document with bytes to remove; ``docs`` is (doc, tie, text)."""
-    anchors_ = docs.mapInArrow(_send_anchors(width), "rank long, side long, whole long, doc long, tie long, first long, stop long, at long")
-    settled = pin(anchors_.repartition("rank").sortWithinPartitions("rank", "whole", "doc").mapInArrow(_settle, _RUN))
+    sent = "rank long, side long, whole long, doc long, tie long, place long"
+
+    def ranked(rows: DataFrame) -> DataFrame:
+        return rows.repartition("rank").sortWithinPartitions("rank", "whole", "doc").mapInArrow(_settle(width), _RUN)
+
+    settled = pin(ranked(docs.mapInArrow(_send_anchors(width), sent)))
     open_ = pin(_blobs(settled.where("kind = 1").select("doc", "tie", "first", "stop")))
     left = join_small(docs, open_, ["doc", "tie"], payload_bytes(open_, "runs"), "inner")
-    windows = left.mapInArrow(_send_windows(width), "rank long, pair long, doc long, tie long, first long, settled long")
-    again = windows.repartition("rank").sortWithinPartitions("rank", "pair", "doc").mapInArrow(_settle_windows(width), _RUN)
-    runs = settled.where("kind = 0").unionByName(again).select("doc", "tie", "first", "stop")
+    again = ranked(left.mapInArrow(_send_windows(width), sent))
+    runs = settled.unionByName(again).where("kind = 0").select("doc", "tie", "first", "stop")
     return pin(_blobs(runs))
 
 
