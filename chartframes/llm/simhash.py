@@ -62,7 +62,6 @@ def walk(left: np.ndarray, right: np.ndarray, depth: int, used: int, budget: int
     differ above. A trie node is a range of a sorted array. If both are the same array, a pair comes once.
     """
     same = left is right
-    one = np.uint64(1)
     todo = [(depth, np.array([[0], [len(left)], [0], [len(right)], [used]], np.int64))]
     while todo:
         depth, node = todo.pop()
@@ -87,8 +86,8 @@ def walk(left: np.ndarray, right: np.ndarray, depth: int, used: int, budget: int
             a0, a1, b0, b1, used_ = node[:, ~small]
         if not len(a0):
             continue
-        bit = one << np.uint64(BITS - 1 - depth)
-        keep = ~((bit << one) - one)
+        bit = np.uint64(1 << (BITS - 1 - depth))
+        keep = np.uint64((1 << BITS) - (1 << (BITS - depth)))  # the bits above
         am = np.clip(np.searchsorted(left, (left[a0] & keep) | bit), a0, a1)
         bm = np.clip(np.searchsorted(right, (right[b0] & keep) | bit), b0, b1)
         mirrored = (a0 == b0) & (a1 == b1) if same else np.zeros(len(a0), bool)
