@@ -63,16 +63,28 @@ def poly_eval(spark: SparkSession, fit: Polynomial, n: int) -> DataFrame:
     return grid.withColumn("y", fit.at("x"))
 
 
-def histogram(df: DataFrame, column: str, low: float, high: float, bins: int) -> DataFrame:
-    """Counts in even bins of [low, high], the last one closed; empty bins are kept."""
-    width = (high - low) / bins
-    inside = df.where(col(column).between(low, high))
-    place = F.least(F.floor((col(column) - F.lit(low)) / F.lit(width)), F.lit(bins - 1))
-    counted = inside.groupBy(place.cast("bigint").alias("bin")).agg(F.count("*").alias("n"))
+def histogram(df: DataFrame, column: str, low: float | None = None, high: float | None = None, bins: int = 10) -> DataFrame:
+    """Counts in even bins of [low, high], the last one closed; empty bins are kept.
+
+    An end that is left out is the smallest or largest value. Values below ``low`` are counted in bin -1, whose
+    ``low`` is null, those above ``high`` in bin ``bins``, whose ``high`` is null; these two bins are there if they are
+    not empty. Nulls and NaN are not counted.
+    """
+    values = df.select(col(column).cast("double").alias("__x")).where("__x IS NOT NULL AND NOT isnan(__x)")
+    if low is None or high is None:
+        found = values.agg(F.min("__x"), F.max("__x")).first()
+        low = (found[0] or 0.0) if low is None else low
+        high = (found[1] or 0.0) if high is None else high
+    width = (high - low) / bins or 1.0
+    place = F.least(F.floor((F.col("__x") - F.lit(low)) / F.lit(width)), F.lit(bins - 1))
+    place = F.when(F.col("__x") < F.lit(low), -1).when(F.col("__x") > F.lit(high), bins).otherwise(place)
+    counted = values.groupBy(place.cast("bigint").alias("bin")).agg(F.count("*").alias("n"))
     grid = df.sparkSession.range(bins).withColumnRenamed("id", "bin")
-    filled = grid.join(counted, "bin", "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    edges = {"low": F.lit(low) + F.col("bin") * F.lit(width), "high": F.lit(low) + (F.col("bin") + 1) * F.lit(width)}
-    return filled.withColumns(edges)
+    filled = grid.join(counted, "bin", "full").withColumn("n", F.coalesce("n", F.lit(0)))
+    start = F.lit(float(low)) + F.col("bin") * F.lit(width)
+    return filled.withColumns(
+        {"low": F.when(F.col("bin") >= 0, start), "high": F.when(F.col("bin") < bins, start + F.lit(width))}
+    )
 
 
 def distribution(df: DataFrame, value: str, by) -> DataFrame:

@@ -78,18 +78,19 @@ def running_sum(
     """Sum of ``value`` over the rows of the group up to this one; null where ``value`` is null."""
     keys = cols(keys)
     df = df.withColumn("__summand", col(value))
+    kind = df.select(F.sum("__summand")).schema[0].dataType  # of either way
     upto = (Window.unboundedPreceding, Window.currentRow)
     if fits_one_task(df, keys, limit):
         frame = _partition(keys).orderBy(*ordering(order_by)).rowsBetween(*upto)
         total = F.when(F.col("__summand").isNotNull(), F.sum("__summand").over(frame))
-        return df.withColumn(name, total).drop("__summand")
+        return df.withColumn(name, total.cast(kind)).drop("__summand")
     segments = _segments(df, keys, order_by)
     before = _before(segments, keys, __earlier=F.coalesce(F.sum("__summand"), F.lit(0)))
     frame = _partition([*keys, "__seg"]).orderBy("__pos").rowsBetween(*upto)
     here = F.when(F.col("__summand").isNotNull(), F.sum("__summand").over(frame))
     local = segments.withColumn("__local", here)
     out = attach(local, before.drop("__first"), [*keys, "__seg"], "__seg_rows")
-    return out.withColumn(name, F.col("__local") + F.col("__earlier")).drop(
+    return out.withColumn(name, (F.col("__local") + F.col("__earlier")).cast(kind)).drop(
         "__summand", "__pos", "__seg", "__local", "__seg_rows", "__earlier"
     )
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from chartframes.columns import Name, col, cols
 from chartframes.operators.ordered import running_sum
 from chartframes.operators.skew import TASK_ROWS, attach, fits_one_task
+from chartframes.session import pin
 
 
 def _at_rank(rank: Column) -> Column:
@@ -58,7 +59,9 @@ def _quantiles(df, keys, value, picks, count, rows, limit) -> DataFrame:
     counts = source.groupBy(*group, "__value").agg(
         F.count("__value").alias("__count"), F.count("*").alias("__copies")
     )
-    if fits_one_task(source, keys, limit):
+    if limit:
+        counts = pin(counts)  # sized and then ranked; the input is read once
+    if fits_one_task(counts, keys, limit):
         whole = Window.partitionBy(*group)
         upto = whole.orderBy("__value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
         ranked = counts.withColumns(

@@ -2,43 +2,73 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chartframes.columns import col, cols
+from chartframes.session import pin
+
+
+#: name of the column for rows whose pivot key is null
+NULL_NAME = "null"
 
 
 def pivot_values(df: DataFrame, on: str) -> list:
-    """Distinct values of ``on``, sorted. They become columns, so the number is limited by the session."""
+    """Distinct values of ``on``, sorted, null last. They become columns, so the number is limited by the session."""
     limit = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues", "10000"))
-    rows = df.select(col(on).alias("v")).where("v IS NOT NULL").distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
+    found = [r.v for r in df.select(col(on).alias("v")).distinct().limit(limit + 1).collect()]
+    if len(found) > limit:
         raise ValueError(f"{on} has more than {limit} values; keep the long form")
-    return sorted(r.v for r in rows)
+    known = sorted(v for v in found if v is not None)
+    return known + [None] * (None in found)
 
 
-def _pivot(df: DataFrame, index: list[str], on: str, values: list | None):
-    values = pivot_values(df, on) if values is None else values
-    return df.groupBy(*[col(i) for i in index]).pivot(on, values)
+def _names(values: list) -> list[str]:
+    """Column names of pivot values, as a cast to text gives them."""
+    names = [NULL_NAME if v is None else str(v).lower() if isinstance(v, bool) else str(v) for v in values]
+    if len(set(names)) < len(names):
+        raise ValueError(f"two pivot values have the same name among {names}")
+    return names
 
 
-def pivot_strict(df: DataFrame, index, on: str, value: str, values: list | None = None) -> DataFrame:
-    """One cell per (index, on) pair; a pair occurring twice fails the job."""
-    index = cols(index)
+def _pivot(df: DataFrame, index: list[str], on: str, cell: Column, values: list | None, others: str) -> DataFrame:
+    """Cells first, one per (index, on), combined before the shuffle; then a column for each value.
+
+    Without ``values`` the cells are pinned, and the values are read from them, so ``df`` is computed once.
+    Values outside a given list fail the job, unless ``others`` is "drop".
+    """
+    if others not in ("fail", "drop"):
+        raise ValueError("others is 'fail' or 'drop'")
+    cells = df.groupBy(*[col(i) for i in index], col(on).alias("__on")).agg(cell.alias("__cell"))
+    if values is None:
+        cells = pin(cells)
+        values = pivot_values(cells, "__on")
+    names = _names(values)
+    name = F.coalesce(F.col("__on").cast("string"), F.lit(NULL_NAME))
+    if others == "drop":
+        cells = cells.where(name.isin(names))
+    else:
+        message = F.concat(F.lit(f"pivot: a value of {on} that is not in the list: "), name)
+        name = F.when(name.isin(names), name).otherwise(F.raise_error(message))
+    cells = cells.withColumn("__on", name)
+    return cells.groupBy(*[col(i) for i in index]).pivot("__on", names).agg(F.first("__cell"))
+
+
+def pivot_strict(df: DataFrame, index, on: str, value: str, values: list | None = None, others: str = "fail") -> DataFrame:
+    """One cell per (index, on) pair; a pair occurring twice fails the job. A null ``on`` is a column of its own."""
     twice = F.raise_error(F.lit(f"pivot: more than one row for a cell of {on}"))
     cell = F.when(F.count("*") == 1, F.first(col(value))).otherwise(twice)
-    cells = df.groupBy(*[col(i) for i in index], col(on)).agg(cell.alias("__cell"))
-    return _pivot(cells, index, on, values).agg(F.first("__cell"))
+    return _pivot(df, cols(index), on, cell, values, others)
 
 
-def pivot_sum(df: DataFrame, index, on: str, value: str, values: list | None = None) -> DataFrame:
-    """Sum per cell; absent cells are null."""
-    return _pivot(df, cols(index), on, values).agg(F.sum(col(value)))
+def pivot_sum(df: DataFrame, index, on: str, value: str, values: list | None = None, others: str = "fail") -> DataFrame:
+    """Sum per cell; absent cells are null. A null ``on`` is a column of its own."""
+    return _pivot(df, cols(index), on, F.sum(col(value)), values, others)
 
 
-def pivot_count(df: DataFrame, index, on: str, values: list | None = None) -> DataFrame:
-    """Rows per cell; absent cells are null."""
-    return _pivot(df, cols(index), on, values).agg(F.count(F.lit(1)))
+def pivot_count(df: DataFrame, index, on: str, values: list | None = None, others: str = "fail") -> DataFrame:
+    """Rows per cell; absent cells are null. A null ``on`` is a column of its own."""
+    return _pivot(df, cols(index), on, F.count(F.lit(1)), values, others)
 
 
 def unpivot(df: DataFrame, ids, values: list[str], variable: str = "variable", value: str = "value") -> DataFrame:

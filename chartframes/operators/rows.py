@@ -68,12 +68,19 @@ def in_roles(df: DataFrame, table: DataFrame, key: str, roles: dict[str, str], h
 
 
 def recode(df: DataFrame, column: str, mapping: dict[str, object] | DataFrame, name: str | None = None) -> DataFrame:
-    """Map values by a dictionary or a (key, value) table; unmatched values stay as they are."""
+    """Map values by a dictionary or a (key, value) table; a value may be null, unmatched ones stay as they are.
+
+    A key that is twice in the table fails the job.
+    """
     table = mapping if isinstance(mapping, DataFrame) else mapping_table(df.sparkSession, mapping)
-    table = table.toDF("__from", "__to")
+    table = table.toDF("__from", "__to").where("__from IS NOT NULL")
+    if isinstance(mapping, DataFrame):
+        twice = F.raise_error(F.lit("recode: a key is twice in the table"))
+        table = table.groupBy("__from").agg(F.when(F.count("*") == 1, F.first("__to")).otherwise(twice).alias("__to"))
+    table = table.withColumn("__met", F.lit(True))
     joined = df.join(table, col(column) == F.col("__from"), "left")
-    mapped = F.coalesce(F.col("__to"), col(column))
-    return joined.withColumn(name or column, mapped).drop("__from", "__to")
+    mapped = F.when(F.col("__met"), F.col("__to")).otherwise(col(column))
+    return joined.withColumn(name or column, mapped).drop("__from", "__to", "__met")
 
 
 def members(df: DataFrame, keys: str | list[str], of: DataFrame) -> DataFrame:

@@ -16,32 +16,53 @@ from chartframes.session import pin
 
 #: measured size up to which a pinned side is broadcast
 BROADCAST_BYTES = 64 * 1024 * 1024
+#: parts into which the rows of a hot key are dealt at most
+SALTS = 64
 #: a group holding more than one in HOT_SHARE rows is hot, so there are fewer than HOT_SHARE hot groups
 HOT_SHARE = 1_000
-#: rows up to which a whole group may be ordered inside one task
+#: rows and bytes up to which a whole group may be ordered inside one task
 TASK_ROWS = 2_000_000
+TASK_BYTES = 256 * 1024 * 1024
+#: rows up to which a table without keys may be
+KEYLESS_ROWS = 100_000
 
 
-def largest_group(df: DataFrame, keys: list[str]) -> int:
-    """Rows of the largest group; the count is combined before the shuffle."""
-    if not keys:
-        return df.count()
-    return df.groupBy(*[col(k) for k in keys]).count().agg(F.max("count")).first()[0] or 0
+def largest_group(df: DataFrame, keys: list[str]) -> tuple[int, int]:
+    """Rows of the largest group and bytes of the widest; both are combined before the shuffle."""
+    groups = df.groupBy(*[col(k) for k in keys]).agg(F.count("*").alias("rows"), F.sum(_row_bytes(df)).alias("bytes"))
+    found = groups.agg(F.max("rows"), F.max("bytes")).first()
+    return found[0] or 0, found[1] or 0
 
 
 def fits_one_task(df: DataFrame, keys: list[str], limit: int | None = TASK_ROWS) -> bool:
     """Whether every group is small enough for a plain window.
 
-    Groups are counted against ``limit``; None states that they are small by nature and 0 that they
-    are not, both without counting.
+    Groups are counted against ``limit`` and measured against ``TASK_BYTES``; None states that they are
+    small by nature and 0 that they are not, both without counting. Without keys the whole table is one
+    group, for which ``KEYLESS_ROWS`` is enough.
     """
-    return limit is None or (limit > 0 and largest_group(df, keys) <= limit)
+    if not limit:
+        return limit is None
+    rows, size = largest_group(df, keys)
+    return rows <= (limit if keys else min(limit, KEYLESS_ROWS)) and size <= TASK_BYTES
 
 
 def _row_bytes(df: DataFrame) -> Column:
-    """Size of a row: the bytes of its texts and 16 for every other column, nulls included."""
-    texts = [F.coalesce(F.octet_length(col(n)), F.lit(0)) for n, kind in df.dtypes if kind == "string"]
-    return reduce(lambda a, b: a + b, texts, F.lit(16 * len(df.columns)))
+    """Size of a row: the bytes of its texts and binaries, 16 for each element of a flat array and every other column.
+
+    Of other nested columns the size is not known; they count as more than may be broadcast.
+    """
+    sizes = []
+    for n, kind in df.dtypes:
+        if kind in ("string", "binary"):
+            sizes.append(F.octet_length(col(n)))
+        elif kind in ("array<string>", "array<binary>"):
+            sizes.append(F.aggregate(col(n), F.lit(0), lambda a, x: a + 16 + F.coalesce(F.octet_length(x), F.lit(0))))
+        elif kind.startswith("array<") and "<" not in kind[6:]:
+            sizes.append(16 * F.size(col(n)))
+        elif "<" in kind or kind == "variant":
+            sizes.append(F.lit(BROADCAST_BYTES + 1))
+    return reduce(lambda a, b: a + F.coalesce(b, F.lit(0)).cast("bigint"), sizes, F.lit(16 * len(df.columns)).cast("bigint"))
 
 
 def _matching(df: DataFrame, other: DataFrame, keys: list[str]) -> tuple[DataFrame, Column]:
@@ -95,7 +116,8 @@ def join_split(df: DataFrame, table: DataFrame, keys: str | list[str], how: str
     The keys of ``df`` are counted first. Without hot ones it is a plain join. Otherwise the rows of
     ``table`` with a hot key are pinned, measured and broadcast to their rows of ``df``, rows of
     ``df`` without a key are set aside, and only the others are shuffled on the key. Should the rows
-    of ``table`` with a hot key be too many to broadcast, the plain join is left to AQE to split.
+    of ``table`` with a hot key be too many to broadcast, the hot rows of ``df`` are dealt by a hash of the whole
+    row into as many parts as the counts ask for, and the rows of ``table`` they need are copied to each part.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"cannot split a {how} join")
@@ -109,11 +131,19 @@ def join_split(df: DataFrame, table: DataFrame, keys: str | list[str], how: str
     hot = F.broadcast(hot)
     few = pin(table.join(hot, keys, "left_semi"))
     size = few.agg(F.sum(_row_bytes(few))).first()[0] or 0
-    if size > (BROADCAST_BYTES if limit is None else limit):
-        return df.join(table, keys, how)
     known = df.where(~missing)
+    hot_rows = known.join(hot, keys, "left_semi")
+    if size <= (BROADCAST_BYTES if limit is None else limit):
+        met = hot_rows.join(F.broadcast(few), keys, how)
+    else:
+        largest = counts.agg(F.max("__key_rows")).first()[0]
+        salts = -(-largest * HOT_SHARE // total)  # a part is no larger than a key that is not hot
+        salts = min(max(salts, 2), SALTS)
+        dealt = hot_rows.withColumn("__salt", F.pmod(F.xxhash64(*[col(c) for c in df.columns]), F.lit(salts)).cast("int"))
+        copied = few.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        met = dealt.join(copied.hint("shuffle_merge"), [*keys, "__salt"], how).drop("__salt")
     parts = [
-        known.join(hot, keys, "left_semi").join(F.broadcast(few), keys, how),
+        met,
         known.join(hot, keys, "left_anti").join(table, keys, how),
     ]
     if how == "left":

@@ -35,7 +35,7 @@ def calendar_matrix(df: DataFrame, ts: str, value: str, years: list[int]) -> Dat
     days = df.select(
         *[parts[n].alias(n) for n in ("year", "month", "month_name", "day")], col(value).alias("__value")
     )
-    wide = pivot_strict(days, ["month", "month_name", "day"], "year", "__value", years)
+    wide = pivot_strict(days, ["month", "month_name", "day"], "year", "__value", years, others="drop")
     label = F.concat("month_name", F.lit(" "), F.col("day").cast("string"))
     return wide.withColumn("date", label).orderBy("month", "day")
 
@@ -50,8 +50,8 @@ def weekday_means(
     fences = iqr_fences(days, by, "__value", k, rows="__rows").select(*by, "fence_low", "fence_high", "__rows")
     inside = attach(days, fences, by, "__rows").where(F.col("__value").between(F.col("fence_low"), F.col("fence_high")))
     means = inside.groupBy(*by).agg((F.avg("__value") / F.lit(scale)).alias("__mean"))
-    numbered = means.join(weekdays(df.sparkSession), "day_name", "right")
-    return pivot_strict(numbered, ["day_name", "day_num"], "year", "__mean", years).orderBy("day_num")
+    wide = pivot_strict(means, "day_name", "year", "__mean", years, others="drop")
+    return weekdays(df.sparkSession).join(wide, "day_name", "left").orderBy("day_num")
 
 
 # fixed values: the grains of a load profile and the aggregate each one uses

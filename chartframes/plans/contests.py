@@ -36,7 +36,7 @@ def running_totals(
     keys = [season, team]
     limit = None if fits_one_task(df, keys) else 0
     numbered = row_number(df, keys, order_by, "match_num", limit)
-    out = running_sum(numbered, keys, "match_num", value, "total", limit)
+    out = running_sum(numbered, keys, order_by, value, "total", limit)  # the sort of the numbers
     row = F.struct("match_num", "total")
     if baseline:
         zero = F.struct(
@@ -85,12 +85,12 @@ def two_party_margin(
     """Votes and shares of two parties per unit, the margin, and who won and lost with what share.
 
     ``total`` is the column of all votes of the unit, the same on each of its rows; without it all
-    votes are added up. ``names`` holds a name per party (columns ``a`` and ``b``) for each ``period``.
+    votes are added up. A party without votes has 0, and ``a`` has to be ahead to win. ``names`` holds a name per party (columns ``a`` and ``b``) for each ``period``.
     """
     whole = F.sum(col(votes)) if total is None else F.max(col(total))
     totals = df.groupBy(*[col(k) for k in keys]).agg(
-        F.sum(F.when(col(party) == a, col(votes))).alias("a_votes"),
-        F.sum(F.when(col(party) == b, col(votes))).alias("b_votes"),
+        F.coalesce(F.sum(F.when(col(party) == a, col(votes))), F.lit(0)).alias("a_votes"),
+        F.coalesce(F.sum(F.when(col(party) == b, col(votes))), F.lit(0)).alias("b_votes"),
         whole.alias("total_votes"),
     )
     shares = totals.withColumns(
@@ -116,8 +116,8 @@ def two_party_margin(
 
 
 def unit_winners(df: DataFrame, a: str, b: str, a_label: str, b_label: str) -> DataFrame:
-    """Add the winning and losing label of each unit, party ``a`` having to be ahead to win."""
-    a_wins = col(a) > col(b)
+    """Add the winning and losing label of each unit; null votes are none, and party ``a`` has to be ahead to win."""
+    a_wins = F.coalesce(col(a), F.lit(0)) > F.coalesce(col(b), F.lit(0))
     return df.withColumns(
         {
             "unit_winner": choose(a_wins, F.lit(a_label), F.lit(b_label)),

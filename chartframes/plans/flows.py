@@ -9,6 +9,7 @@ from chartframes.columns import col
 from chartframes.operators.columns import sort_columns
 from chartframes.operators.reshape import pivot_strict
 from chartframes.operators.rows import in_roles
+from chartframes.operators.skew import attach
 from chartframes.session import pin
 
 
@@ -56,7 +57,8 @@ def normalised_flow_matrix(
         part = in_roles(part, names.toDF("key", "label"), "key", {"from": "from_"})
         part = part.select(F.col("from_label").alias("from"), "__period").distinct()
     years = part.groupBy("from").agg(F.count("__period").alias("__years"))
-    scaled = cells.join(years, "from", "left").withColumn(
+    years = years.withColumn("__rows", F.col("__years"))  # a source's cells grow with its years
+    scaled = attach(cells, years, "from", "__rows").drop("__rows").withColumn(
         "weight", F.floor(F.try_divide(100 * F.col("weight").cast("double"), F.col("__years")))
     )
     return _matrix(scaled, "weight", values)

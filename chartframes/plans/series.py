@@ -12,7 +12,6 @@ from chartframes.operators.ordered import lag_diff, moving_mean, relative_to_fir
 from chartframes.operators.quantiles import group_quantiles
 from chartframes.operators.reshape import pivot_strict
 from chartframes.operators.rows import in_groups
-from chartframes.operators.skew import fits_one_task
 from chartframes.session import pin
 
 latest = aggregate.latest
@@ -22,7 +21,7 @@ def smoothed_matrix(
     df: DataFrame, time: str, series: str, value: str, window: int, values: list | None = None
 ) -> DataFrame:
     """Moving mean of each series, one column per series; ``df`` holds one row per series and time."""
-    smooth = moving_mean(pin(df), series, time, value, window, "__mean")
+    smooth = moving_mean(pin(df.select(col(time), col(series), col(value))), series, time, value, window, "__mean")
     return pivot_strict(smooth, time, series, "__mean", values).orderBy(time)
 
 
@@ -37,16 +36,15 @@ def pct_change_from_base(
     measures |= {n: ratio_percent(a, b).cast("double") for n, (a, b) in (ratios or {}).items()}
     wide = df.select(col(period), *[m.alias(n) for n, m in measures.items()])
     long = wide.unpivot(period, list(measures), "measure", "__number")
-    limit = None if fits_one_task(df, [period]) else 0  # a period has as many rows in each measure
-    medians = group_quantiles(long, [period, "measure"], "__number", {"median": 0.5}, "linear", limit=limit)
-    changes = relative_to_first(medians, "measure", period, "median", "__ratio")
+    medians = group_quantiles(long, [period, "measure"], "__number", {"median": 0.5}, "linear")
+    changes = relative_to_first(pin(medians), "measure", period, "median", "__ratio")
     percent = changes.withColumn("__pct", F.round((F.col("__ratio") - 1) * 100, 2))
     return pivot_strict(percent, period, "measure", "__pct", list(measures)).orderBy(period)
 
 
 def yoy_changes(df: DataFrame, time: str, series: str, value: str, min_rise: float) -> DataFrame:
     """Change from one time to the next, for the series that once rose by ``min_rise`` or more."""
-    known = pin(df.where(col(value).isNotNull()))
+    known = pin(df.where(col(value).isNotNull()).select(col(time), col(series), col(value)))
     changes = lag_diff(known, series, time, value, "diff")
     return in_groups(changes, series, F.max("diff") >= min_rise)
 

@@ -12,7 +12,7 @@ from chartframes.operators.aggregate import group_shares
 from chartframes.operators.fit import distribution
 from chartframes.operators.quantiles import group_quantiles, iqr_fences, quartiles_and_median
 from chartframes.operators.reshape import pivot_count, pivot_strict, pivot_sum
-from chartframes.operators.rows import recode
+from chartframes.operators.rows import in_groups, recode
 from chartframes.operators.skew import attach, share_of_group
 from chartframes.session import pin
 
@@ -88,7 +88,7 @@ def yearly_counts(
 
 def per_million(df: DataFrame, unit: str, columns: list[str], population: DataFrame, scale: float = 1e6) -> DataFrame:
     """Counts per ``scale`` residents; ``population`` is a table (unit, residents)."""
-    joined = df.join(population.toDF(unit, "__residents"), unit, "left")
+    joined = df.join(pin(population.toDF(unit, "__residents")), unit, "left")  # a plain side, which AQE can split
     rates = {c: F.try_divide(F.lit(float(scale)) * col(c), F.col("__residents")) for c in columns}
     return joined.withColumns(rates).select(col(unit), *[col(c) for c in columns])
 
@@ -119,15 +119,17 @@ def percentile_matrix(
 ) -> DataFrame:
     """Percentile rows as published: the percentile is read from the label, the value is days to years.
 
-    Only groups with all percentiles are kept; long form ``(percentile, group, years)``.
+    It is the label's whole number with an ordinal ending, or else its first whole number. Only groups with all
+    percentiles are kept, two rows for one percentile of a group fail the job; long form ``(percentile, group, years)``.
     """
-    percentile: Column = F
-    for p in percentiles:
-        percentile = percentile.when(col(label).contains(str(p)), F.lit(p))
+    ordinal, first = (F.regexp_extract(col(label), p, 1) for p in (r"(\d+)(?:st|nd|rd|th)\b", r"(\d+)"))
+    number = F.coalesce(F.nullif(ordinal, F.lit("")), first).try_cast("int")
+    percentile = F.when(number.isin(percentiles), number)
     years = col(value).cast("double").cast("int") / F.lit(float(divisor))
     rows = pin(df.select(percentile.alias("percentile"), col(group), years.alias("years")).dropna())
-    complete = rows.groupBy(col(group)).agg(F.count("years").alias("n")).where(F.col("n") == len(percentiles))
-    return rows.join(complete.select(col(group)), group, "left_semi")
+    kinds = F.size(F.collect_set("percentile"))  # no more than the percentiles asked for
+    twice = F.raise_error(F.lit("percentiles: two rows for one percentile of a group"))
+    return in_groups(rows, group, F.when(F.count("*") == kinds, kinds == len(percentiles)).otherwise(twice))
 
 
 def percentile_table(

@@ -9,7 +9,7 @@ from chartframes.columns import col
 from chartframes.functions.text import zero_pad
 from chartframes.operators.columns import select
 from chartframes.operators.ordered import row_number
-from chartframes.operators.skew import attach
+from chartframes.operators.skew import TASK_ROWS, attach
 from chartframes.session import pin
 
 
@@ -45,8 +45,9 @@ def timeline(
         F.count("*").alias("__rows"),
     )
     headers = pin(row_number(pin(spans), None, "group", "group_num"))
-    numbered = attach(items, headers.select("group", "group_num", "__rows"), "group", "__rows")
-    numbered = row_number(numbered, "group", ["start", "item"], "item_num")
+    largest = headers.agg(F.max("__rows")).first()[0] or 0  # groups are counted already
+    numbered = attach(items, pin(headers.select("group", "group_num", "__rows")), "group", "__rows")
+    numbered = row_number(numbered, "group", ["start", "item"], "item_num", None if largest <= TASK_ROWS else 0)
     heads = headers.where(F.col("__longest") >= min_years).withColumns(
         {"item": F.concat(F.lit("<b>"), F.upper("group"), F.lit("</b>")), "item_num": F.lit(0)}
         | {n: F.lit("") for n in carry}

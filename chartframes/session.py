@@ -37,7 +37,7 @@ def shared_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not named:
-        if not context.master.startswith("local"):
+        if not (context.master == "local" or context.master.startswith("local[")):
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         named = tempfile.mkdtemp(prefix="chartframes-")
     if context.getCheckpointDir() is None:
@@ -46,9 +46,16 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def pin(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the checkpoint folder, so that later branches read the same rows."""
+    """Compute ``df`` once into the checkpoint folder, so that later branches read the same rows.
+
+    A table that is pinned already stays as it is.
+    """
+    if getattr(df, "_pinned", False):
+        return df
     shared_dir(df.sparkSession)
-    return df.checkpoint()
+    pinned = df.checkpoint()
+    pinned._pinned = True
+    return pinned
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -9,7 +9,7 @@ from chartframes.sources.files import (
     read_two_row_header,
     write_csv,
 )
-from chartframes.sources.profile import profile, sample_rows
+from chartframes.sources.profile import profile, sample_n, sample_rows
 from chartframes.sources.tables import literal_table, mapping_table, unpack_list, weekdays
 
 __all__ = [
@@ -22,6 +22,7 @@ __all__ = [
     "read_parquet",
     "read_tagged",
     "read_two_row_header",
+    "sample_n",
     "sample_rows",
     "unpack_list",
     "weekdays",

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,10 +78,10 @@ def write_csv(df: DataFrame, path: str) -> None:
 def cached_source(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
     """Read ``path`` if an earlier run has written it, otherwise build the table and keep it there.
 
-    Files appear there only when the writing job commits, so a broken run is built again.
+    Only a path that is not there is built; one that cannot be read as a table is an error and is left alone.
+    Files appear there only when the writing job commits.
     """
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        build().write.mode("overwrite").parquet(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        build().write.parquet(path)
     return spark.read.parquet(path)

@@ -10,15 +10,17 @@ from chartframes.operators.columns import pick
 
 
 def profile(df: DataFrame) -> DataFrame:
-    """One row per column: type, count, nulls, min and max as text, mean; from one pass.
+    """One row per column: type, count, nulls, min and max as text, mean and standard deviation; from one pass.
 
-    Numbers are compared as numbers and shown as doubles.
+    Values are compared in their own type and shown as its text, so whole numbers keep all digits.
     """
     numeric = set(pick(df, "numeric"))
 
     def summary(name: str, kind: str):
-        value = col(name).cast("double") if name in numeric else col(name).cast("string")
-        mean = F.avg(value) if name in numeric else F.lit(None).cast("double")
+        number = col(name).cast("double")
+        mean, std = (f(number) if name in numeric else F.lit(None).cast("double") for f in (F.avg, F.stddev))
+        ordered = not any(x in kind for x in ("map<", "variant", "interval"))
+        value = col(name) if ordered else F.lit(None)
         return F.struct(
             F.lit(name).alias("column"),
             F.lit(kind).alias("type"),
@@ -27,6 +29,7 @@ def profile(df: DataFrame) -> DataFrame:
             F.min(value).cast("string").alias("min"),
             F.max(value).cast("string").alias("max"),
             mean.alias("mean"),
+            std.alias("std"),
         )
 
     summaries = [summary(n, t) for n, t in df.dtypes]
@@ -40,6 +43,14 @@ def distinct_counts(df: DataFrame, names: list[str]) -> DataFrame:
     return values.groupBy("column").agg(F.count("*").alias("distinct"))
 
 
+def sample_n(df: DataFrame, n: int, key: str, seed: int = 0) -> DataFrame:
+    """``n`` rows, or all if there are fewer: those with the smallest MD5 of seed and ``key``, which has to be unique.
+
+    Every run takes the same rows, whatever the partitions; each task passes on ``n`` rows at most.
+    """
+    return df.orderBy(F.md5(F.concat_ws("-", F.lit(str(seed)), col(key).cast("string"))), col(key)).limit(n)
+
+
 def sample_rows(df: DataFrame, fraction: float, seed: int) -> DataFrame:
     """Random rows, each kept with the same chance."""
     return df.sample(fraction=fraction, seed=seed)

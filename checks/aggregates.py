@@ -18,7 +18,7 @@ from chartframes.operators.columns import pick
 from chartframes.operators.ordered import first_row
 from chartframes.operators.rows import distinct_rows, with_total_row
 from chartframes.sources.profile import profile
-from checks.registry import cents, check, double, rounded
+from checks.registry import cents, check, double, keyed, rounded
 
 
 def exact(df, *names):
@@ -52,10 +52,10 @@ def a02(t):
 @check(
     "a03_len_and_count",
     """SELECT c_mktsegment, count(*) AS n, count(o_orderkey) AS orders FROM customer
-       LEFT JOIN (SELECT * FROM orders WHERE o_totalprice > 400000) ON c_custkey = o_custkey GROUP BY c_mktsegment""",
+       LEFT JOIN (SELECT * REPLACE (CASE WHEN o_totalprice > 400000 THEN o_custkey END AS o_custkey) FROM orders) ON c_custkey = o_custkey GROUP BY c_mktsegment""",
 )
 def a03(t):
-    large = t.orders.where("o_totalprice > 400000")
+    large = keyed(t, 400000)
     joined = t.customer.join(large, F.col("c_custkey") == F.col("o_custkey"), "left")
     return counts(joined, "c_mktsegment", {"n": None, "orders": "o_orderkey"})
 
@@ -157,26 +157,26 @@ def a12(t):
 
 @check(
     "a13_sum_horizontal",
-    """SELECT c_custkey, coalesce(f, 0) + coalesce(p, 0) AS total FROM customer LEFT JOIN (
-         SELECT o_custkey, nullif(count(*) FILTER (o_orderstatus = 'F'), 0) AS f,
+    """SELECT c_custkey, coalesce(f, 0) + coalesce(o, 0) + coalesce(p, 0) AS total FROM customer LEFT JOIN (
+         SELECT o_custkey, nullif(count(*) FILTER (o_orderstatus = 'F'), 0) AS f, nullif(count(*) FILTER (o_orderstatus = 'O'), 0) AS o,
                 nullif(count(*) FILTER (o_orderstatus = 'P'), 0) AS p FROM orders GROUP BY o_custkey
        ) ON c_custkey = o_custkey""",
 )
 def a13(t):
-    wide = t.orders.groupBy("o_custkey").pivot("o_orderstatus", ["F", "P"]).count()
+    wide = t.orders.groupBy("o_custkey").pivot("o_orderstatus", ["F", "O", "P"]).count()
     joined = t.customer.join(wide, F.col("c_custkey") == F.col("o_custkey"), "left")
-    return joined.select("c_custkey", sum_across(["F", "P"]).alias("total"))
+    return joined.select("c_custkey", sum_across(["F", "O", "P"]).alias("total"))
 
 
 @check(
     "a14_null_count",
     """WITH j AS (SELECT c_custkey, o_orderkey FROM customer
-         LEFT JOIN (SELECT * FROM orders WHERE o_totalprice > 450000) ON c_custkey = o_custkey)
+         LEFT JOIN (SELECT * REPLACE (CASE WHEN o_totalprice > 450000 THEN o_custkey END AS o_custkey) FROM orders) ON c_custkey = o_custkey)
        SELECT 'c_custkey' AS "column", count(*) - count(c_custkey) AS nulls FROM j
        UNION ALL SELECT 'o_orderkey', count(*) - count(o_orderkey) FROM j""",
 )
 def a14(t):
-    large = t.orders.where("o_totalprice > 450000")
+    large = keyed(t, 450000)
     joined = t.customer.join(large, F.col("c_custkey") == F.col("o_custkey"), "left")
     return profile(joined.select("c_custkey", "o_orderkey")).select("column", "nulls")
 

@@ -37,7 +37,6 @@ from chartframes.functions import (
     year_month,
     zero_pad,
 )
-from chartframes.functions.text import BLANKS
 from checks.registry import check, rounded
 
 
@@ -69,12 +68,12 @@ def c03(t):
 
 @check(
     "c04_bins",
-    """SELECT CASE WHEN p_size <= 10 THEN '   - 10' WHEN p_size <= 15 THEN '10 - 15' WHEN p_size <= 20 THEN '15 - 20'
-       WHEN p_size <= 40 THEN '20 - 40' ELSE 'UNDEFINED' END AS bin, count(*) AS n FROM part GROUP BY 1""",
+    """SELECT CASE WHEN p_size <= 8 THEN 'small' WHEN p_size <= 24 THEN 'medium' WHEN p_size <= 36 THEN 'large'
+       ELSE 'unsized' END AS bin, count(*) AS n FROM part GROUP BY 1""",
 )
 def c04(t):
-    bins = [(0, 10, "   - 10"), (10, 15, "10 - 15"), (15, 20, "15 - 20"), (20, 40, "20 - 40")]
-    return t.part.groupBy(bin_label("p_size", bins, "UNDEFINED").alias("bin")).agg(F.count("*").alias("n"))
+    bins = [(0, 8, "small"), (8, 24, "medium"), (24, 36, "large")]
+    return t.part.groupBy(bin_label("p_size", bins, "unsized").alias("bin")).agg(F.count("*").alias("n"))
 
 
 STATUS_COUNTS = """SELECT o_custkey, nullif(count(*) FILTER (o_orderstatus = 'F'), 0) AS f,
@@ -364,8 +363,12 @@ def x18(t):
     return lines.withColumns(percent_columns(lines.columns)).withColumns(rounded("TAX_PCT"))
 
 
+#: white space: what the engine calls so, vertical tab, information separators, next line, and all Unicode separators
+_WHITE = r"[\s\x0B\x1C-\x1F\x{85}\p{Z}]"
+
+
 def _wrapped(width: int) -> str:
-    return f"SELECT doc_id, md5(regexp_replace(text, '(.{{{width},}}?){BLANKS}', '\\1<br>', 'gs')) AS digest FROM documents"
+    return f"SELECT doc_id, md5(regexp_replace(text, '(.{{{width},}}?){_WHITE}', '\\1<br>', 'gs')) AS digest FROM documents"
 
 
 @check("d01_wrap_28", _wrapped(28))

@@ -140,8 +140,8 @@ def k15(t):
 
 
 VOTES = """SELECT year(o_orderdate) AS year, n_name AS state,
-    sum(CAST(o_totalprice AS DECIMAL(18,2))) FILTER (o_orderstatus = 'F') AS a,
-    sum(CAST(o_totalprice AS DECIMAL(18,2))) FILTER (o_orderstatus = 'O') AS b,
+    coalesce(sum(CAST(o_totalprice AS DECIMAL(18,2))) FILTER (o_orderstatus = 'F'), 0) AS a,
+    coalesce(sum(CAST(o_totalprice AS DECIMAL(18,2))) FILTER (o_orderstatus = 'O'), 0) AS b,
     sum(CAST(o_totalprice AS DECIMAL(18,2))) AS total
     FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL"""
 
@@ -164,13 +164,51 @@ def k12(t):
 
 
 def state_votes(t):
-    return pivot_sum(votes(t), ["year", "state"], "party", "votes", ["F", "O"])
+    return pivot_sum(votes(t), ["year", "state"], "party", "votes", ["F", "O", "P"])
 
 
 def winners(wide):
     return unit_winners(wide, "F", "O", "Filled", "Open")
 
 
+UNOPPOSED = """SELECT year(o_orderdate) AS year, n_name || '/' || (o_custkey % 50) AS state,
+    coalesce(sum(CAST(o_totalprice AS DECIMAL(18,2))) FILTER (o_orderstatus = 'F'), 0) AS a,
+    coalesce(sum(CAST(o_totalprice AS DECIMAL(18,2))) FILTER (o_orderstatus = 'P'), 0) AS b,
+    sum(CAST(o_totalprice AS DECIMAL(18,2))) AS total
+    FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL"""
+
+
+def wards(t):
+    """Units so small that many have no votes for one of the parties."""
+    ward = F.concat("n_name", F.lit("/"), (F.col("o_custkey") % 50).cast("string"))
+    joined = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).join(
+        t.nation, F.col("c_nationkey") == F.col("n_nationkey")
+    )
+    return joined.select(
+        F.year("o_orderdate").alias("year"), ward.alias("state"), F.col("o_orderstatus").alias("party"), cents("o_totalprice").alias("votes")
+    )
+
+
+@check(
+    "k12_unopposed",
+    f"""SELECT year, state, a::DOUBLE AS a_votes, b::DOUBLE AS b_votes, CASE WHEN a > b THEN 'F' ELSE 'P' END AS winning_party,
+        round(a::DOUBLE / total::DOUBLE - b::DOUBLE / total::DOUBLE, 6) AS diff_pct FROM ({UNOPPOSED})""",
+)
+def k12_unopposed(t):
+    out = two_party_margin(wards(t), ["year", "state"], "party", "votes", "F", "P")
+    out = out.withColumns(double("a_votes", "b_votes") | rounded("diff_pct"))
+    return out.select("year", "state", "a_votes", "b_votes", "winning_party", "diff_pct")
+
+
+@check(
+    "k13_unopposed",
+    f"SELECT year, state, CASE WHEN a > b THEN 'Filled' ELSE 'Pending' END AS unit_winner FROM ({UNOPPOSED})",
+)
+def k13_unopposed(t):
+    wide = pivot_sum(wards(t), ["year", "state"], "party", "votes", ["F", "O", "P"])
+    return unit_winners(wide, "F", "P", "Filled", "Pending").select("year", "state", "unit_winner")
+
+
 WINNERS = f"""SELECT year, state, CASE WHEN a > b THEN 'Filled' ELSE 'Open' END AS unit_winner FROM ({VOTES})"""
 
 

@@ -81,18 +81,18 @@ def k30(t):
     )
 
 
+PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+
+
 def monthly_priorities(t):
     months = t.orders.select(
         F.date_format("o_orderdate", "yyyy-MM").alias("month"), "o_orderpriority", cents("o_totalprice").alias("price")
     )
-    wide = pivot_sum(months, "month", "o_orderpriority", "price", ["1-URGENT", "2-HIGH"])
-    return wide.withColumns(double("1-URGENT", "2-HIGH"))
+    return pivot_sum(months, "month", "o_orderpriority", "price", PRIORITIES).withColumns(double(*PRIORITIES))
 
 
-MONTHS = """SELECT strftime(o_orderdate, '%Y-%m') AS month,
-    CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) FILTER (o_orderpriority = '1-URGENT') AS DOUBLE) AS "1-URGENT",
-    CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) FILTER (o_orderpriority = '2-HIGH') AS DOUBLE) AS "2-HIGH"
-    FROM orders GROUP BY 1"""
+_SUMS = ", ".join(f"CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) FILTER (o_orderpriority = '{p}') AS DOUBLE) AS \"{p}\"" for p in PRIORITIES)
+MONTHS = f"SELECT strftime(o_orderdate, '%Y-%m') AS month, {_SUMS} FROM orders GROUP BY 1"
 
 
 @check("k32_derived_average", f"""SELECT *, round(("1-URGENT" + "2-HIGH") / 2, 1) AS average FROM ({MONTHS})""")
@@ -100,6 +100,6 @@ def k32(t):
     return derived_average(monthly_priorities(t), "1-URGENT", "2-HIGH", 1)
 
 
-@check("k32_latest", f"""SELECT month, "1-URGENT", "2-HIGH" FROM ({MONTHS}) ORDER BY month DESC LIMIT 1""")
+@check("k32_latest", f"""SELECT * FROM ({MONTHS}) ORDER BY month DESC LIMIT 1""")
 def k32_latest(t):
-    return latest(monthly_priorities(t), "month", ["1-URGENT", "2-HIGH"])
+    return latest(monthly_priorities(t), "month", PRIORITIES)

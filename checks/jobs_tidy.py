@@ -19,28 +19,18 @@ def k18(t):
     return log_size(t.customer, "c_acctbal").select("c_custkey", "size")
 
 
-# fixed values: right-closed ranges and their labels
-BINS = [
-    (None, 10, "   - 10"),
-    (10, 15, "10 - 15"),
-    (15, 20, "15 - 20"),
-    (20, 30, "20 - 30"),
-    (30, 40, "30 - 40"),
-    (40, 60, "40 - 60"),
-    (60, 90, "60 - 90"),
-    (90, None, "> 90"),
-]
+PRICE_BANDS = [(None, 5, "budget"), (5, 25, "low"), (25, 50, "middle"), (50, 75, "high"), (75, None, "top")]
 
 
 @check(
     "k19_bin_labels",
-    """SELECT CASE WHEN v <= 10 THEN '   - 10' WHEN v <= 15 THEN '10 - 15' WHEN v <= 20 THEN '15 - 20' WHEN v <= 30 THEN '20 - 30'
-       WHEN v <= 40 THEN '30 - 40' WHEN v <= 60 THEN '40 - 60' WHEN v <= 90 THEN '60 - 90' ELSE '> 90' END AS bin, count(*) AS n
+    """SELECT CASE WHEN v <= 5 THEN 'budget' WHEN v <= 25 THEN 'low' WHEN v <= 50 THEN 'middle' WHEN v <= 75 THEN 'high'
+       ELSE 'top' END AS bin, count(*) AS n
        FROM (SELECT l_extendedprice / 1000 AS v FROM lineitem) GROUP BY 1""",
 )
 def k19(t):
     lines = t.lineitem.select((F.col("l_extendedprice") / 1000).alias("v"))
-    return bin_labels(lines, "v", BINS, "UNDEFINED").groupBy("bin").agg(F.count("*").alias("n"))
+    return bin_labels(lines, "v", PRICE_BANDS, "unknown").groupBy("bin").agg(F.count("*").alias("n"))
 
 
 @check(

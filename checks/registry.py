@@ -57,6 +57,11 @@ def oracles() -> dict[str, str]:
     return dict(sorted(_ORACLES.items()))
 
 
+def keyed(t: Tables, price: int) -> DataFrame:
+    """All orders; those up to ``price`` have no customer key, so that customers without a match and null keys occur."""
+    return t.orders.withColumn("o_custkey", F.when(F.col("o_totalprice") > price, F.col("o_custkey")))
+
+
 def cents(name: str | Column) -> Column:
     """Money as an exact decimal, so that the order of addition cannot matter."""
     return (F.col(name) if isinstance(name, str) else name).cast("decimal(18,2)")

@@ -6,7 +6,8 @@ from chartframes.functions import fill_from, same_text, within
 from chartframes.operators.aggregate import value_counts
 from chartframes.operators.ordered import row_number
 from chartframes.operators.rows import add_row, in_groups, in_roles, lookup, members, recode, stack, stack_tagged
-from checks.registry import cents, check
+from chartframes.operators.skew import with_group_values
+from checks.registry import cents, check, keyed
 
 
 @check("f01_compare", "SELECT * FROM lineitem WHERE l_quantity > 45 AND l_shipdate >= TIMESTAMP '1998-01-01'")
@@ -44,10 +45,10 @@ def f04(t):
 
 @check(
     "f05_drop_nulls",
-    """SELECT c_custkey, o_orderkey FROM customer JOIN orders ON c_custkey = o_custkey AND o_totalprice > 450000""",
+    """SELECT c_custkey, o_orderkey FROM customer JOIN (SELECT * REPLACE (CASE WHEN o_totalprice > 450000 THEN o_custkey END AS o_custkey) FROM orders) ON c_custkey = o_custkey""",
 )
 def f05(t):
-    large = t.orders.where("o_totalprice > 450000")
+    large = keyed(t, 450000)
     joined = t.customer.join(large, F.col("c_custkey") == F.col("o_custkey"), "left")
     return joined.dropna(subset=["o_orderkey"]).select("c_custkey", "o_orderkey")
 
@@ -89,11 +90,11 @@ def f09(t):
 
 @check(
     "j01_left_join",
-    """SELECT c_custkey, o_orderkey FROM customer LEFT JOIN (SELECT * FROM orders WHERE o_totalprice > 450000)
+    """SELECT c_custkey, o_orderkey FROM customer LEFT JOIN (SELECT * REPLACE (CASE WHEN o_totalprice > 450000 THEN o_custkey END AS o_custkey) FROM orders)
        ON c_custkey = o_custkey""",
 )
 def j01(t):
-    large = t.orders.where("o_totalprice > 450000").withColumnRenamed("o_custkey", "c_custkey")
+    large = keyed(t, 450000).withColumnRenamed("o_custkey", "c_custkey")
     return lookup(t.customer, large, "c_custkey").select("c_custkey", "o_orderkey")
 
 
@@ -129,11 +130,11 @@ def j02_split(t):
 
 @check(
     "j03_right_join",
-    """SELECT c_custkey, c_name, o_orderkey FROM (SELECT * FROM orders WHERE o_totalprice > 450000)
+    """SELECT c_custkey, c_name, o_orderkey FROM (SELECT * REPLACE (CASE WHEN o_totalprice > 450000 THEN o_custkey END AS o_custkey) FROM orders)
        RIGHT JOIN customer ON c_custkey = o_custkey""",
 )
 def j03(t):
-    large = t.orders.where("o_totalprice > 450000").withColumnRenamed("o_custkey", "c_custkey")
+    large = keyed(t, 450000).withColumnRenamed("o_custkey", "c_custkey")
     return lookup(large, t.customer, "c_custkey", "right").select("c_custkey", "c_name", "o_orderkey")
 
 
@@ -187,9 +188,8 @@ def j06_members(t):
        JOIN (SELECT o_custkey AS k, count(*) AS n FROM orders GROUP BY 1) ON k = o_custkey""",
 )
 def j07(t):
-    sizes = t.orders.groupBy("o_custkey").agg(F.count("*").alias("n"))
     per = F.round(F.col("o_totalprice") / F.col("n"), 6)
-    return lookup(t.orders, sizes, "o_custkey").select("o_orderkey", per.alias("per_order"))
+    return with_group_values(t.orders, "o_custkey", n=F.count("*")).select("o_orderkey", per.alias("per_order"))
 
 
 @check(
@@ -199,9 +199,8 @@ def j07(t):
 )
 def j08(t):
     joined = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
-    total = joined.groupBy("p_brand").agg(F.count("*").alias("total"))
-    returned = joined.groupBy("p_brand").agg(F.count_if(F.col("l_returnflag") == "R").alias("returned"))
-    return lookup(total, returned, "p_brand")
+    returned = F.count_if(F.col("l_returnflag") == "R").alias("returned")
+    return joined.groupBy("p_brand").agg(F.count("*").alias("total"), returned)
 
 
 @check(
@@ -226,10 +225,10 @@ def d02(t):
 @check(
     "c05_fill_from",
     """SELECT c_custkey, coalesce(o_orderpriority, c_mktsegment) AS label, coalesce(o_orderstatus, 'None') AS status
-       FROM customer LEFT JOIN (SELECT * FROM orders WHERE o_totalprice > 450000) ON c_custkey = o_custkey""",
+       FROM customer LEFT JOIN (SELECT * REPLACE (CASE WHEN o_totalprice > 450000 THEN o_custkey END AS o_custkey) FROM orders) ON c_custkey = o_custkey""",
 )
 def c05(t):
-    large = t.orders.where("o_totalprice > 450000")
+    large = keyed(t, 450000)
     joined = t.customer.join(large, F.col("c_custkey") == F.col("o_custkey"), "left")
     return joined.select(
         "c_custkey",

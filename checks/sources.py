@@ -14,7 +14,7 @@ from chartframes.sources import (
     read_parquet,
     read_tagged,
     read_two_row_header,
-    sample_rows,
+    sample_n,
     unpack_list,
     weekdays,
     write_csv,
@@ -131,28 +131,28 @@ def s08(t):
     "s09_profile",
     """WITH c AS (SELECT * FROM customer)
        SELECT 'c_custkey' AS "column", 'bigint' AS type, count(c_custkey) AS count, count(*) - count(c_custkey) AS nulls,
-              CAST(CAST(min(c_custkey) AS DOUBLE) AS VARCHAR) AS min, CAST(CAST(max(c_custkey) AS DOUBLE) AS VARCHAR) AS max,
-              round(avg(c_custkey), 4) AS mean, count(DISTINCT c_custkey) AS "distinct" FROM c
-       UNION ALL SELECT 'c_name', 'string', count(c_name), count(*) - count(c_name), min(c_name), max(c_name), NULL,
+              CAST(min(c_custkey) AS VARCHAR) AS min, CAST(max(c_custkey) AS VARCHAR) AS max,
+              round(avg(c_custkey), 4) AS mean, round(stddev(c_custkey), 4) AS std, count(DISTINCT c_custkey) AS "distinct" FROM c
+       UNION ALL SELECT 'c_name', 'string', count(c_name), count(*) - count(c_name), min(c_name), max(c_name), NULL, NULL,
               count(DISTINCT c_name) FROM c
        UNION ALL SELECT 'c_nationkey', 'int', count(c_nationkey), count(*) - count(c_nationkey),
-              CAST(CAST(min(c_nationkey) AS DOUBLE) AS VARCHAR), CAST(CAST(max(c_nationkey) AS DOUBLE) AS VARCHAR),
-              round(avg(c_nationkey), 4), count(DISTINCT c_nationkey) FROM c
+              CAST(min(c_nationkey) AS VARCHAR), CAST(max(c_nationkey) AS VARCHAR),
+              round(avg(c_nationkey), 4), round(stddev(c_nationkey), 4), count(DISTINCT c_nationkey) FROM c
        UNION ALL SELECT 'c_acctbal', 'double', count(c_acctbal), count(*) - count(c_acctbal),
-              CAST(min(c_acctbal) AS VARCHAR), CAST(max(c_acctbal) AS VARCHAR), round(avg(c_acctbal), 4),
+              CAST(min(c_acctbal) AS VARCHAR), CAST(max(c_acctbal) AS VARCHAR), round(avg(c_acctbal), 4), round(stddev(c_acctbal), 4),
               count(DISTINCT c_acctbal) FROM c
        UNION ALL SELECT 'c_mktsegment', 'string', count(c_mktsegment), count(*) - count(c_mktsegment), min(c_mktsegment),
-              max(c_mktsegment), NULL, count(DISTINCT c_mktsegment) FROM c""",
+              max(c_mktsegment), NULL, NULL, count(DISTINCT c_mktsegment) FROM c""",
 )
 def s09(t):
     customer = t.customer
     out = profile(customer).join(distinct_counts(customer, customer.columns), "column", "left")
-    return out.withColumns(rounded("mean", digits=4))
+    return out.withColumns(rounded("mean", "std", digits=4))
 
 
-@check("s09_sample")
-def s09_sample(t):
-    return sample_rows(t.customer, 0.1, 42)
+@check("s09_sample_n", "SELECT * FROM customer ORDER BY md5('42-' || c_custkey), c_custkey LIMIT 100")
+def s09_sample_n(t):
+    return sample_n(t.customer, 100, "c_custkey", 42)
 
 
 @check(

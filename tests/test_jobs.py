@@ -260,6 +260,21 @@ def test_percentile_table_keeps_complete_groups(spark):
     assert percentile_matrix(df, "l", "o", "v", [10, 25, 50, 75, 90]).select("o").distinct().count() == 1
 
 
+def test_percentile_labels_are_whole_numbers(spark):
+    data = [("g", "5th of 100", "365"), ("g", "25th of 100", "730"), ("h", "5th", "1"), ("i", "percentile 5", "365"), ("i", "percentile 25", "365")]
+    df = spark.createDataFrame(data, "o string, l string, v string")
+    assert rows(percentile_matrix(df, "l", "o", "v", [5, 25]), "o", "percentile", "years") == [("g", 5, 1.0), ("g", 25, 2.0), ("i", 5, 1.0), ("i", 25, 1.0)]
+    twice = df.where("o = 'h'").union(df.where("o = 'h'"))
+    with pytest.raises(PySparkException):
+        percentile_matrix(twice, "l", "o", "v", [5, 25]).collect()
+
+
+def test_a_party_without_votes_loses(spark):
+    df = spark.createDataFrame([(1, "X", "A", 10), (1, "Y", "C", 3)], "year int, state string, party string, votes int")
+    out = plans.two_party_margin(df, ["year", "state"], "party", "votes", "A", "B")
+    assert rows(out, "state", "winning_party", "b_votes", "diff_pct") == [("X", "A", 0, 1.0), ("Y", "B", 0, 0.0)]
+
+
 def test_company_tiers(spark):
     df = spark.createDataFrame([("X", "$2,500,000,000", "makes very good things"), ("Y", "$0", "b")], "Company string, `Market Cap` string, text string")
     coords = spark.createDataFrame([("X", 37.5)], "Company string, Lat double")

@@ -95,7 +95,11 @@ def test_poly_fit_needs_two_points(spark):
 
 def test_histogram_keeps_empty_bins_and_the_upper_end(spark):
     df = spark.createDataFrame([(0.0,), (0.9,), (4.0,), (9.0,), (None,)], "x double")
-    assert rows(histogram(df, "x", 0.0, 4.0, 4), "bin", "n") == [(0, 2), (1, 0), (2, 0), (3, 1)]
+    assert rows(histogram(df, "x", 0.0, 4.0, 4), "bin", "n") == [(0, 2), (1, 0), (2, 0), (3, 1), (4, 1)]
+    whole = histogram(df, "x", bins=3).select("bin", "n", "low", "high")
+    assert rows(whole) == [(0, 2, 0.0, 3.0), (1, 1, 3.0, 6.0), (2, 1, 6.0, 9.0)]
+    assert rows(histogram(df, "x", 0.5, bins=2), "bin", "n") == [(-1, 1), (0, 2), (1, 1)]
+    assert rows(histogram(df.where("x IS NULL"), "x", bins=1), "bin", "n") == [(0, 0)]
 
 
 def test_distribution(spark):

@@ -63,11 +63,13 @@ def test_shares_of_a_group_add_up(skewed):
 
 
 def test_fits_one_task(skewed):
-    assert skew.largest_group(skewed, ["k"]) == 1000
-    assert skew.largest_group(skewed, []) == 3000
-    assert skew.largest_group(skewed.limit(0), ["k"]) == 0
+    assert skew.largest_group(skewed, ["k"])[0] == 1000
+    assert skew.largest_group(skewed, [])[0] == 3000
+    assert skew.largest_group(skewed.limit(0), ["k"]) == (0, 0)
     assert skew.fits_one_task(skewed, ["k"], 1000)
     assert not skew.fits_one_task(skewed, ["k"], 999)
+    wide = skewed.withColumn("t", F.repeat(F.lit("x"), 1000))
+    assert skew.largest_group(wide, ["k"])[1] >= 1_000_000
     assert skew.fits_one_task(skewed, ["k"], None) and not skew.fits_one_task(skewed, ["k"], 0)
 
 
@@ -91,6 +93,20 @@ def test_join_split_broadcasts_hot_keys_only(spark, skewed):
     assert "Union" not in skew.join_split(even, table, "k")._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_join_split_deals_hot_keys_whose_rows_are_too_many_to_broadcast(spark, skewed):
+    table = spark.range(60).selectExpr("id % 3 AS k", "id AS x")
+    split = skew.join_split(skewed, table, "k", "inner", 0)
+    assert "__salt" in split._jdf.queryExecution().analyzed().toString()
+    assert rows(split, "id", "k", "x") == rows(skewed.join(table, "k"), "id", "k", "x")
+
+
+def test_sizes_of_nested_rows(spark):
+    df = spark.sql("SELECT array_repeat(1.5F, 1000) AS a, X'0102' AS b, array('xyz', NULL) AS s, CAST(NULL AS array<int>) AS n")
+    assert df.select(skew._row_bytes(df)).first()[0] == 4 * 16 + 16_000 + 2 + 35
+    nested = spark.sql("SELECT map(1, 2) AS m")
+    assert nested.select(skew._row_bytes(nested)).first()[0] > skew.BROADCAST_BYTES
+
+
 def test_join_split_refuses_other_kinds(spark, skewed):
     with pytest.raises(ValueError):
         skew.join_split(skewed, skewed, "k", "full")

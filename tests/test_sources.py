@@ -1,5 +1,7 @@
 """Files, literal tables and profiles."""
 
+import pytest
+from pyspark.errors import PySparkException
 from chartframes.session import scratch_path
 from chartframes.sources import (
     cached_source,
@@ -10,6 +12,7 @@ from chartframes.sources import (
     read_lenient,
     read_tagged,
     read_two_row_header,
+    sample_n,
     sample_rows,
     unpack_list,
     weekdays,
@@ -84,10 +87,27 @@ def test_unpack_list(spark):
 
 def test_profile(spark):
     df = spark.createDataFrame([(10, "a"), (9, None), (None, "b")], "n int, t string")
-    assert rows(profile(df)) == [("n", "int", 2, 1, "9.0", "10.0", 9.5), ("t", "string", 2, 1, "a", "b", None)]
+    assert rows(profile(df)) == [("n", "int", 2, 1, "9", "10", 9.5, 0.5**0.5), ("t", "string", 2, 1, "a", "b", None, None)]
+    big = spark.createDataFrame([(9007199254740993, {"a": 1})], "id long, m map<string, int>")
+    assert rows(profile(big), "column", "min", "max") == [("id", "9007199254740993", "9007199254740993"), ("m", None, None)]
     assert rows(distinct_counts(df, ["n", "t"])) == [("n", 2), ("t", 2)]
 
 
+def test_sample_of_n_rows_does_not_depend_on_partitions(spark):
+    few = [sample_n(spark.range(0, 1000, 1, parts), 7, "id", 3) for parts in (1, 9)]
+    assert len(rows(few[0])) == 7 and rows(few[0]) == rows(few[1]) != rows(sample_n(spark.range(1000), 7, "id", 4))
+    assert sample_n(spark.range(3), 7, "id").count() == 3
+
+
+def test_cached_source_leaves_a_foreign_folder_alone(spark, tmp_path):
+    folder = tmp_path / "kept"
+    (folder / "_keep").mkdir(parents=True)
+    (folder / "_keep" / "notes.txt").write_text("mine")
+    with pytest.raises(PySparkException):
+        cached_source(spark, str(folder), lambda: spark.range(3)).collect()
+    assert (folder / "_keep" / "notes.txt").read_text() == "mine"
+
+
 def test_sample_is_repeatable(spark):
     df = spark.range(1000)
     assert rows(sample_rows(df, 0.1, 1)) == rows(sample_rows(df, 0.1, 1))
