@@ -90,6 +90,28 @@ def m04(t):
     return histogram(t.orders, "o_totalprice", 0.0, 500000.0, 20)
 
 
+@check(
+    "m04_histogram_full_range",
+    """WITH e AS (SELECT min(o_totalprice) AS lo, (max(o_totalprice) - min(o_totalprice)) / 20 AS w FROM orders),
+       c AS (SELECT least(CAST(floor((o_totalprice - lo) / w) AS BIGINT), 19) AS bin, count(*) AS n FROM orders, e GROUP BY 1)
+       SELECT b.bin, coalesce(n, 0) AS n, round(lo + b.bin * w, 4) AS low, round(lo + b.bin * w + w, 4) AS high
+       FROM (SELECT unnest(range(20)) AS bin) b LEFT JOIN c USING (bin), e""",
+)
+def m04_full(t):
+    return histogram(t.orders, "o_totalprice", bins=20).withColumns(rounded("low", "high", digits=4))
+
+
+@check(
+    "m04_histogram_outside",
+    """WITH c AS (SELECT CASE WHEN o_totalprice < 100000 THEN -1 WHEN o_totalprice > 300000 THEN 4
+         ELSE least(CAST(floor((o_totalprice - 100000) / 50000) AS BIGINT), 3) END AS bin, count(*) AS n FROM orders GROUP BY 1)
+       SELECT bin, n, CASE WHEN bin >= 0 THEN 100000.0 + bin * 50000.0 END::DOUBLE AS low,
+         CASE WHEN bin < 4 THEN 150000.0 + bin * 50000.0 END::DOUBLE AS high FROM c""",
+)
+def m04_outside(t):
+    return histogram(t.orders, "o_totalprice", 100000.0, 300000.0, 4)
+
+
 @check(
     "m05_distribution",
     """WITH r AS (SELECT p_type, p_retailprice, row_number() OVER (PARTITION BY p_type ORDER BY p_retailprice) AS rn,

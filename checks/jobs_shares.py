@@ -219,9 +219,9 @@ def k29(t):
 PERCENTILES = [10, 25, 50, 75, 90]
 
 
-def _percentiles() -> str:
+def _percentiles(percentiles=PERCENTILES) -> str:
     picks = ", ".join(
-        f"CAST(max(CASE WHEN rn = floor({p / 100}::DOUBLE * (n - 1) + 0.5) + 1 THEN v END) AS DOUBLE) AS p{p}" for p in PERCENTILES
+        f"CAST(max(CASE WHEN rn = floor({p / 100}::DOUBLE * (n - 1) + 0.5) + 1 THEN v END) AS DOUBLE) AS p{p}" for p in percentiles
     )
     return f"""SELECT p_brand, {picks} FROM (SELECT p_brand, p_retailprice AS v,
         row_number() OVER (PARTITION BY p_brand ORDER BY p_retailprice) AS rn, count(*) OVER (PARTITION BY p_brand) AS n
@@ -238,6 +238,16 @@ def k33_long(t):
     return percentile_matrix(rows, "label", "p_brand", "value", PERCENTILES).withColumns(rounded("years"))
 
 
+@check(
+    "k33_percentiles_5_25",
+    f"""SELECT p_brand, CAST(replace(name, 'p', '') AS INTEGER) AS percentile, round(trunc(v) / 365, 6) AS years
+        FROM (UNPIVOT ({_percentiles([5, 25])}) ON p5, p25 INTO NAME name VALUE v)""",
+)
+def k33_near(t):
+    rows = percentile_rows(t.part, "p_brand", "p_retailprice", [5, 25])
+    return percentile_matrix(rows, "label", "p_brand", "value", [5, 25]).withColumns(rounded("years"))
+
+
 BRANDS = [f"Brand#{i}" for i in range(1, 26)]
 
 

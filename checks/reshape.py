@@ -30,6 +30,36 @@ def r01(t):
     return pivot_strict(region_years(t), "year", "r_name", "total")
 
 
+@check(
+    "r01_pivot_null_key",
+    "SELECT year, " + ", ".join(f"max(total) FILTER (r_name = '{r}') AS \"{r}\"" for r in REGIONS if r != "ASIA")
+    + f", max(total) FILTER (r_name = 'ASIA') AS \"null\" FROM ({REGION_YEARS}) GROUP BY year",
+)
+def r01_null(t):
+    cells = region_years(t).withColumn("r_name", F.nullif("r_name", F.lit("ASIA")))
+    return pivot_strict(cells, "year", "r_name", "total")
+
+
+@check(
+    "r02_pivot_sum_null_key",
+    """SELECT o_orderpriority, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) FILTER (o_orderstatus = 'F') AS DOUBLE) AS "F",
+       CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) FILTER (o_orderstatus = 'O') AS DOUBLE) AS "O",
+       CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) FILTER (o_orderstatus = 'P') AS DOUBLE) AS "null" FROM orders GROUP BY 1""",
+)
+def r02_null(t):
+    prices = t.orders.select("o_orderpriority", F.nullif("o_orderstatus", F.lit("P")).alias("status"), cents("o_totalprice").alias("price"))
+    return pivot_sum(prices, "o_orderpriority", "status", "price", ["F", "O", None]).withColumns(double("F", "O", "null"))
+
+
+@check(
+    "r03_pivot_count_null_key",
+    """SELECT c_mktsegment, count(*) FILTER (c_nationkey < 5) AS low, count(*) FILTER (c_nationkey >= 5) AS "null"
+       FROM customer GROUP BY 1""",
+)
+def r03_null(t):
+    return pivot_count(t.customer.withColumn("side", F.when(F.col("c_nationkey") < 5, "low")), "c_mktsegment", "side")
+
+
 @check(
     "r02_pivot_sum",
     """SELECT o_orderpriority, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) FILTER (o_orderstatus = 'F') AS DOUBLE) AS "F",

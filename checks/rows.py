@@ -203,6 +203,15 @@ def j08(t):
     return joined.groupBy("p_brand").agg(F.count("*").alias("total"), returned)
 
 
+@check(
+    "c08_recode_null",
+    """SELECT event_id, CASE event_type WHEN 'view' THEN NULL WHEN 'click' THEN 'clicked' ELSE event_type END AS event_type
+       FROM events""",
+)
+def c08_null(t):
+    return recode(t.events, "event_type", {"view": None, "click": "clicked"}).select("event_id", "event_type")
+
+
 @check(
     "c08_recode",
     """SELECT event_id, CASE event_type WHEN 'view' THEN 'seen' WHEN 'click' THEN 'clicked' ELSE event_type END AS event_type

@@ -41,6 +41,14 @@ def groups(df):
 
 
 @pytest.mark.parametrize("limit", WAYS)
+@pytest.mark.parametrize("kind", ["decimal(18,2)", "int", "bigint", "float", "double", "decimal(38,4)"])
+def test_both_ways_of_a_running_sum_have_one_schema(spark, kind):
+    df = spark.range(20).select("id", (F.col("id") % 2).alias("k"), F.col("id").cast(kind).alias("v"))
+    ways = [running_sum(df, "k", "id", "v", limit=limit) for limit in (None, 0, 5)]
+    assert len({w.schema.simpleString() for w in ways}) == 1
+    assert rows(ways[0]) == rows(ways[1]) == rows(ways[2])
+
+
 def test_row_number(skewed, limit):
     expected = sorted((r.id, n) for g in groups(skewed).values() for n, r in enumerate(g, 1))
     assert rows(row_number(skewed, "k", "id", "n", limit), "id", "n") == expected
