@@ -15,45 +15,86 @@ from pyspark.sql import functions as F
 from chartframes.llm.common import pin, take
 
 CAPACITY = 2048
-#: Word forms whose tokens a worker remembers.
-CACHE_WORDS = 400_000
+#: Parts of texts whose tokens a worker remembers, in each of two generations.
+CACHE_PARTS = 400_000
 #: Numbers of pieces of one length are dealt in this many parts, so that no task numbers a whole length.
 PARTS = 64
 
-#: A run of stops after a letter and before white space is a token run of its own, so it may be cut off.
-_STOPS = re.compile(r"(?<=[^\W\d_])[.,]+(?=[ \n\r\t]|\Z)")
-_BLANKS = re.compile(r"[ \n\r\t]+")
-_LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+#: A word of Latin-1 letters with or without stops after it. These letters have one form each in NFC.
+_PLAIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,]*)")
 
 
-class WordEncoder:
+def _byte_letter(b: int) -> str:
+    """The letter that stands for a byte in a byte-level vocabulary: printable ones themselves, others from 256 on."""
+    if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174:
+        return chr(b)
+    return chr(256 + b if b <= 32 else 162 + b if b <= 160 else 323)
+
+
+_LETTERS = [_byte_letter(b) for b in range(256)]
+
+
+class WordEncoder(dict):
     """Token ids of texts by a tokenizer that drops white space and merges within words only.
 
-    Such a tokenizer treats the parts between blanks independently, so the ids of a part are looked up once
-    and remembered, up to ``CACHE_WORDS`` parts. A-Z may be lowered first, as the tokenizer does it too;
-    parts with ``<|`` are left as they are, since they may name special tokens.
+    Such a tokenizer treats the parts between blanks independently, so the ids of a part are looked up here and
+    made when they are missing. The parts used last are remembered in two generations. A-Z are lowered first,
+    as the tokenizer does it too, unless ``<|`` is in the text, which may begin a special token. A plain word goes to
+    the tokenizer's merges directly, without normaliser and splitting; it is tried out whether that gives the same.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.packed = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
+        self.merges = self.tokenizer.model.tokenize
+        self.direct = True
+        probes = [b"the", b"within", b"\xc3\xa9t\xc3\xa9", b"stra\xc3\x9fe,", b"a.,"]
+        self.direct = [self._ids(p) for p in probes] == [self._whole(p.decode()) for p in probes]
+        self.clear()
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _merged(self, letters: str) -> bytes:
+        packed = self.packed
+        return b"".join([packed[t.id] for t in self.merges(letters)])
+
+    def _ids(self, part: bytes) -> bytes:
+        if self.direct:  # ASCII first, as most parts are
+            if part.isalpha():
+                return self._merged(part.decode("ascii").lower())
+            word = part.rstrip(b".,")
+            if word != part and word.isalpha():
+                return self[word] + self[part[len(word) :]]
+        text = part.decode("utf-8")
+        plain = _PLAIN.fullmatch(text) if self.direct else None
+        if not plain:
+            return self._whole(text)
+        word, stops = plain.groups()
+        if stops:
+            return self[word.encode()] + self[stops.encode()]
+        return self._merged("".join([_LETTERS[b] for b in word.lower().encode()]))
+
+    def __missing__(self, part: bytes) -> bytes:
+        ids = self.older.get(part)
+        if ids is None:
+            ids = self._ids(part)
+        if len(self) >= CACHE_PARTS:
+            self.older = dict(self)
+            self.clear()
+        self[part] = ids
+        return ids
 
     def __call__(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit numbers."""
-        if "<|" not in text:
-            text = text.translate(_LOWER) if not text.isascii() else text.lower()
-        parts = _BLANKS.split(_STOPS.sub(r" \g<0>", text))
-        known = self.known
-        fresh = list({p for p in parts if p not in known})
-        if fresh:
-            if len(known) + len(fresh) > CACHE_WORDS:
-                known.clear()
-                fresh = list(set(parts))
-            for word, code in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
-                known[word] = np.array(code.ids, "<u4").tobytes()
-        return b"".join(map(known.__getitem__, parts))
+        data = text.encode("utf-8", "replace")
+        if b"<|" not in data:
+            data = data.lower()
+        return b"".join(map(self.__getitem__, data.split()))
 
 
 _ENCODERS: dict[str, WordEncoder] = {}

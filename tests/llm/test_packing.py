@@ -69,9 +69,22 @@ def test_plan_prefers_exact_complements():
     assert packing.plan({50: 1, 6: 1, 5: 1, 3: 1, 13: 1}, 64) == [((50, 6, 5, 3), 1), ((13,), 1)]
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.sampled_from("abEÉéßÿ÷×.,'’ \t\x0b\x85\u0301ΣσİǅΩ中\U0001f600<|>5²_-"), max_size=30))
+def test_encoder_equals_the_tokenizer(text):
+    if not ENCODER:
+        ENCODER.extend([packing.WordEncoder(PATH), Tokenizer.from_file(PATH)])
+    want = np.array(ENCODER[1].encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    assert ENCODER[0](text) == want
+
+
+ENCODER = []
+
+
 def test_encoder_forgets_and_goes_on(monkeypatch):
-    monkeypatch.setattr(packing, "CACHE_WORDS", 3)
+    monkeypatch.setattr(packing, "CACHE_PARTS", 3)
     encode = packing.WordEncoder(PATH)
+    assert encode.direct
     text = "one two three four five one, two. six"
     want = np.array(Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids, "<u4").tobytes()
     assert encode(text) == want == encode(text)
