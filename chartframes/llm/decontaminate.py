@@ -163,7 +163,10 @@ def _blocks(df: DataFrame, key: str) -> Iterator[list]:
 
 
 def occurrences(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> list[DataFrame]:
-    """For each block of windows, rows (key, n_words, runs, items): hit runs of a document's words, and items with hits."""
+    """For each block of windows, rows (key, n_words, runs, items): hit runs of a document's words, and items with hits.
+
+    If there is one block only, its rows are the whole of a document: (key, n_words) and its digest.
+    """
     found = pin(windows(benchmark, size))
     counts = shingle_counts(docs, found)
 
@@ -182,6 +185,8 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> li
         F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "shingle", "at")).alias("rarest")
     )
     prefixed = pin(found.join(ranked, "window").where("rarest.n > 0").select("window", "items", "rarest.at"))
+    kind = dict(docs.dtypes)["key"]
+    alone = prefixed.count() <= BLOCK_WINDOWS
     out = []
     for rows in _blocks(prefixed, "window"):
         shared = docs.sparkSession.sparkContext.broadcast(rows)
@@ -189,16 +194,19 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> li
         def search(frames, shared=shared):
             block = Block(shared.value)
             for f in frames:
-                n, runs, items = [], [], []
+                n, runs, items, digests = [], [], [], []
                 for text in f["text"]:
                     run = words(text)
                     hits = list(block.search(run))
                     n.append(len(run))
                     runs.append(_merged(np.array([h[1:] for h in hits], np.int64).reshape(-1, 2)).tobytes())
                     items.append(sorted({i for w in {h[0] for h in hits} for i in block.items[w]}))
-                yield pd.DataFrame({"key": f["key"], "n_words": n, "runs": runs, "items": items})
+                    if alone:
+                        digests.append(_digest([runs.pop()], [items.pop()]))
+                found_ = pd.DataFrame(digests, columns=_DIGEST_NAMES) if alone else pd.DataFrame({"runs": runs, "items": items})
+                yield pd.concat([f[["key"]].reset_index(drop=True), pd.DataFrame({"n_words": n}), found_], axis=1)
 
-        out.append(docs.mapInPandas(search, f"key {dict(docs.dtypes)['key']}, n_words long, runs binary, items array<long>"))
+        out.append(docs.mapInPandas(search, f"key {kind}, n_words long, {_DIGEST if alone else 'runs binary, items array<long>'}"))
     if out:
         return out
 
@@ -206,8 +214,8 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> li
     def length(texts: pd.Series) -> pd.Series:
         return pd.Series([len(words(t)) for t in texts], dtype="int64")
 
-    empty = F.lit(b"").alias("runs"), F.array().cast("array<long>").alias("items")
-    return [docs.select("key", length("text").alias("n_words"), *empty)]
+    none = F.lit(0).cast("long").alias("n_hit"), F.array().cast("array<long>").alias("items"), F.sha2(F.lit(""), 256).alias("items_sha256")
+    return [docs.select("key", length("text").alias("n_words"), *none)]
 
 
 def _merged(runs: np.ndarray) -> np.ndarray:
@@ -240,29 +248,38 @@ def contamination(
     keyed = plain.select(F.struct("doc_id", F.xxhash64("text").alias("tie")).alias("key"), "text")
     parts = occurrences(keyed, items.select(F.col("item_id").cast("long"), "text"), size)
     if len(parts) == 1:
-        whole = parts[0].select("key", "n_words", F.array("runs").alias("runs"), F.array("items").alias("items"))
-    else:
-        together = parts[0]
-        for part in parts[1:]:
-            together = together.unionByName(part)
-        whole = together.groupBy("key", "n_words").agg(
-            F.collect_set("runs").alias("runs"), F.collect_set("items").alias("items"), F.count(F.lit(1)).alias("rows")
-        )
-        copies = F.sequence(F.lit(1), (F.col("rows") / len(parts)).cast("int"))  # every row is in each part once
-        whole = whole.withColumn("copy", F.explode(copies)).drop("copy", "rows")
-
-    @F.pandas_udf("n_hit long, items array<long>, items_sha256 string")
+        return _named(parts[0])
+    together = parts[0]
+    for part in parts[1:]:
+        together = together.unionByName(part)
+    whole = together.groupBy("key", "n_words").agg(
+        F.collect_set("runs").alias("runs"), F.collect_set("items").alias("items"), F.count(F.lit(1)).alias("rows")
+    )
+    copies = F.sequence(F.lit(1), (F.col("rows") / len(parts)).cast("int"))  # every row is in each part once
+    whole = whole.withColumn("copy", F.explode(copies)).drop("copy", "rows")
+
+    @F.pandas_udf(_DIGEST)
     def digest(runs: pd.Series, items: pd.Series) -> pd.DataFrame:
-        out = []
-        for spans, names in zip(runs, items, strict=True):
-            merged = _merged(np.concatenate([np.frombuffer(x, np.int64).reshape(-1, 2) for x in spans]))
-            ids = sorted({int(i) for x in names for i in x}, key=str)
-            out.append((int((merged[:, 1] - merged[:, 0]).sum()), ids, hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()))
-        return pd.DataFrame(out, columns=["n_hit", "items", "items_sha256"])
-
-    return whole.select("key.doc_id", F.col("key.tie").alias("text_hash"), "n_words", digest("runs", "items").alias("d")).select(
-        "doc_id", "n_words", "d.n_hit", F.size("d.items").cast("long").alias("n_items"), "d.items", "d.items_sha256",
-        (F.col("d.n_hit") > 0).alias("contaminated"), "text_hash",
+        return pd.DataFrame([_digest(r, i) for r, i in zip(runs, items, strict=True)], columns=_DIGEST_NAMES)
+
+    return _named(whole.select("key", "n_words", digest("runs", "items").alias("d")).select("key", "n_words", "d.*"))
+
+
+_DIGEST = "n_hit long, items array<long>, items_sha256 string"
+_DIGEST_NAMES = ["n_hit", "items", "items_sha256"]
+
+
+def _digest(runs, items) -> tuple[int, list[int], str]:
+    """Hit words, items and their hash, from the runs and items of each block."""
+    merged = _merged(np.concatenate([np.frombuffer(x, np.int64).reshape(-1, 2) for x in runs]))
+    ids = sorted({int(i) for x in items for i in x}, key=str)
+    return int((merged[:, 1] - merged[:, 0]).sum()), ids, hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+
+
+def _named(found: DataFrame) -> DataFrame:
+    return found.select(
+        F.col("key.doc_id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items", "items_sha256",
+        (F.col("n_hit") > 0).alias("contaminated"), F.col("key.tie").alias("text_hash"),
     )
 
 

@@ -21,7 +21,7 @@ FAMILIES = {
 UNKNOWN = "und"
 #: Hashed features of a text, and documents that the fit reads at most (in equal shares of the languages).
 WIDTH = 4096
-SAMPLE_ROWS = 4000
+SAMPLE_ROWS = 2000
 SLICE = 1 << 20
 
 _LETTERS: list[np.ndarray] = []
@@ -60,8 +60,10 @@ def features(text: str) -> np.ndarray | None:
 
 
 def svm(x: np.ndarray, y: np.ndarray, penalty: float = 1e-4, rounds: int = 150) -> tuple[np.ndarray, float, float]:
-    """A linear SVM (squared hinge, accelerated gradient) for y = ±1: weights, bias, slope of its confidence."""
-    x = np.hstack([x, np.ones((len(x), 1), np.float32)])
+    """A linear SVM (squared hinge, accelerated gradient) for y = ±1: weights, bias, slope of its confidence.
+
+    The last column of ``x`` is 1.
+    """
     share = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y < 0).sum(), 1)).astype(np.float32)
     w = np.zeros(x.shape[1], np.float32)
     ahead, t = w.copy(), 1.0
@@ -131,9 +133,11 @@ def fit(docs: DataFrame, learn: Column, families: Mapping[str, str] = FAMILIES,
             yield pd.DataFrame({"label": f["label"], "x": [None if v is None else v.astype(np.float16).tobytes() for v in vectors]}).dropna()
 
     found = sample.select("text", "label").mapInPandas(encode, "label string, x binary").toPandas()
-    x = np.array([np.frombuffer(v, np.float16) for v in found["x"]], np.float32).reshape(-1, WIDTH)
-    order = np.lexsort([found["x"], found["label"]]) if len(found) else np.zeros(0, int)
-    return Model(x[order], found["label"].to_numpy(str)[order], families)
+    found = found.sort_values(["label", "x"], kind="stable") if len(found) else found
+    x = np.ones((len(found), WIDTH + 1), np.float32)  # the last column is for the bias
+    for i, v in enumerate(found["x"]):
+        x[i, :WIDTH] = np.frombuffer(v, np.float16)
+    return Model(x, found["label"].to_numpy(str), families)
 
 
 def identify(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartframes.llm import binary, counts, decontaminate, language, licences, packing, quality, simhash, suffix, topk
-from chartframes.llm.common import held_out, scratch_folder
+from chartframes.llm.common import held_out, scratch_folder, text_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,6 +26,7 @@ def register(name: str, sql: str | None = None):
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    text_batches(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

@@ -24,6 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,7 +32,7 @@ from chartframes.llm.common import join_small, payload_bytes, pin
 
 SEED_BYTES = 16
 #: Text that a task ranks at once, and window starts per piece of a longer text.
-TEXT_BYTES = 8 << 20
+TEXT_BYTES = 4 << 20
 PIECE = 1 << 18
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -167,12 +168,14 @@ def _batches(columns: dict[str, np.ndarray], schema: pa.Schema) -> Iterator[pa.R
 
 def _texts(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Rows in portions of about ``TEXT_BYTES``, with their texts as bytes."""
-    texts = [(x or "").encode("utf-8", "replace") for x in batch.column("text").to_pylist()]
+    column = batch.column("text").cast(pa.binary())
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
     at, size = 0, 0
-    for i, text in enumerate(texts):
-        size += len(text)
-        if size >= TEXT_BYTES or i == len(texts) - 1:
-            yield batch.slice(at, i + 1 - at), texts[at : i + 1]
+    for i, length in enumerate(sizes):
+        size += length
+        if size >= TEXT_BYTES or i == len(sizes) - 1:
+            part = slice(at, i + 1)
+            yield batch.slice(at, i + 1 - at), [x or b"" for x in column[part].to_pylist()]
             at, size = i + 1, 0
 
 

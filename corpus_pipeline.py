@@ -6,12 +6,14 @@ told apart by doc_id and text, so nulls and repeated ids are handled like any ot
 
 from __future__ import annotations
 
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartframes.llm import decontaminate, language, packing, simhash, suffix
-from chartframes.llm.common import held_out, pin
+from chartframes.llm.common import held_out, pin, text_batches
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,12 +45,23 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+def _stage(function):
+    """A stage with Arrow batches that suit texts."""
+
+    @wraps(function)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        text_batches(spark)
+        return function(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES = [
-    ("language", known_language),
-    ("near copies", first_of_near_copies),
-    ("repeated passages", without_repeats),
-    ("benchmark", without_benchmark),
-    ("packing", packed),
+    ("language", _stage(known_language)),
+    ("near copies", _stage(first_of_near_copies)),
+    ("repeated passages", _stage(without_repeats)),
+    ("benchmark", _stage(without_benchmark)),
+    ("packing", _stage(packed)),
 ]
 #: Machines, fingerprints and tokens are beyond SQL; the tests hold the stages against brute force.
 ORACLE_SQL = None
