@@ -177,6 +177,9 @@ def trie_links(fps: DataFrame, budget: int = 2, rows: int = NODE_PAIR_ROWS) -> D
             break
 
     def members(depth: int, pairs: DataFrame) -> DataFrame:
+        if not depth:  # the root with itself
+            zero = [F.lit(0).cast(kind).alias(n) for n, kind in (("depth", "int"), ("a", "long"), ("b", "long"), ("side", "int"), ("used", "int"))]
+            return fps.select(*zero, "fp", F.lit(True).alias("alone"))
         pairs = pairs.where((F.col("a") != F.col("b")) | F.lit(depth < BITS)).select(
             F.explode(
                 F.when(F.col("a") == F.col("b"), F.array(F.struct(F.col("a").alias("node"), F.lit(0).alias("side"))))
