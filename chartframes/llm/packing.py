@@ -16,7 +16,7 @@ from chartframes.llm.common import pin, take
 
 CAPACITY = 2048
 #: Parts of texts whose tokens a worker remembers, in each of two generations.
-CACHE_PARTS = 400_000
+CACHE_PARTS = 150_000
 #: Numbers of pieces of one length are dealt in this many parts, so that no task numbers a whole length.
 PARTS = 64
 
