@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chartframes.llm.common import labelled_sample, take
 
@@ -19,6 +20,8 @@ FAMILIES = {
     "bg": "slavic", "cs": "slavic", "pl": "slavic", "ru": "slavic", "sk": "slavic", "uk": "slavic",
 }
 UNKNOWN = "und"
+#: Score below which a text counts as in no learned language: the confidence of even odds.
+LEAST_SCORE = 0.5
 #: Hashed features of a text, and documents that the fit reads at most (in equal shares of the languages).
 WIDTH = 4096
 SAMPLE_ROWS = 2000
@@ -162,7 +165,20 @@ def predictor(docs: DataFrame, model: Model):
     return predict
 
 
-def known_language(docs: DataFrame, learn: Column) -> DataFrame:
-    """The rows of ``docs`` (doc_id, text, lang and others) whose text has a letter, so that its language can be told."""
-    predict = predictor(docs, fit(docs, learn))
-    return docs.where(predict("text")["lang_pred"] != UNKNOWN)
+@F.pandas_udf(T.BooleanType())
+def has_letter(texts: pd.Series) -> pd.Series:
+    return pd.Series([any(c.isalpha() for c in t or "") for t in texts], dtype="bool")
+
+
+def known_language(docs: DataFrame, learn: Column, least: float = LEAST_SCORE) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text, lang and others) whose language is told with a score of at least ``least``.
+
+    Texts that are null or have no letter go, and those in no learned language, which score low. If there is
+    nothing to learn from, no score can be had, and every text with a letter stays.
+    """
+    model = fit(docs, learn)
+    if not model.languages:
+        return docs.where(has_letter("text"))
+    told = F.col("__told")
+    found = docs.withColumn("__told", predictor(docs, model)("text"))
+    return found.where((told["lang_pred"] != UNKNOWN) & (told["score"] >= least)).drop("__told")

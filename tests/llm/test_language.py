@@ -44,3 +44,15 @@ def test_more_than_two_languages_of_a_family(spark):
     assert len(model.levels["germanic"][1]) == 3 and len(model.levels[""][1]) == 1
     got = language.identify(df, model).join(df.select("doc_id", "lang"), "doc_id").collect()
     assert all(r.lang == r.lang_pred for r in got)
+
+
+def test_rejects_by_score_and_keeps_letters_if_nothing_is_learned(spark):
+    rows = [(r.doc_id, r.text, r.lang) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    other = [(-1, "Мама мыла раму и пошла в лес", None), (-2, "東京は日本の首都です", None), (-3, "12 !", None), (-4, None, None)]
+    df = spark.createDataFrame(rows + other, "doc_id long, text string, lang string")
+    kept = {r.doc_id for r in language.known_language(df, ~held_out()).collect()}
+    assert kept == {d for d, t, _ in rows if any(c.isalpha() for c in t or "")}
+    unlabelled = df.where("doc_id < 5").withColumn("lang", F.lit(None).cast("string"))
+    letters = {d for d, t, _ in rows + other if d < 5 and any(c.isalpha() for c in t or "")}
+    for learn, docs in ((~held_out(), unlabelled), (F.lit(False), df.where("doc_id < 5"))):
+        assert {r.doc_id for r in language.known_language(docs, learn).collect()} == letters
