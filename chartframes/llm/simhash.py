@@ -224,7 +224,12 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
     Of rows with that doc_id, or without any, the one with the smallest hash of its text stays, and once only.
     """
-    found = pin(near_duplicates(docs).select("doc_id", "text_hash", "root"))
+    return first_of_each(docs, near_duplicates(docs).select("doc_id", "text_hash", "root"))
+
+
+def first_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that come first in the groups ``found`` (doc_id, text_hash, root)."""
+    found = pin(found)
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
     best = pin(found.groupBy("root").agg(F.min(order).alias("best")).select("root", "best.doc_id", "best.text_hash"))
     other = best.select("root", F.col("doc_id").alias("best_id"), F.col("text_hash").alias("best_hash"))

@@ -1,0 +1,157 @@
+"""Similar texts: pairs of shingle sets with a Jaccard similarity of at least 0.8, found by their rarest shingles."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import xxhash
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from chartframes.llm.common import components, join_small, payload_bytes, pin
+from chartframes.llm.simhash import SEED, first_of_each
+
+#: Words of a shingle; similarity in fifths that links two texts.
+SIZE = 5
+FIFTHS = 4
+#: Texts, about, that the common shingles are told from, the count there that makes one common, and how many are kept.
+SAMPLE_TEXTS = 4096
+COMMON_COUNT = 4
+COMMON_ROWS = 1 << 18
+#: Pairs are all listed as soon as they are no more than this, or this many times the entries, or after as many rounds.
+PAIRS = 1_000_000
+PAIRS_PER_ENTRY = 4
+ROUNDS = 8
+
+
+def shingles(text: str | None, size: int = SIZE) -> np.ndarray:
+    """The sorted set of a text's shingles as 64-bit hashes; words and short texts are those of ``simhash.fingerprint``."""
+    words = (text or "").encode("utf-8", "replace").lower().split()
+    if not words:
+        return np.zeros(0, np.int64)
+    joined = memoryview(b" ".join(words))
+    ends = np.cumsum([len(w) + 1 for w in words]) - 1
+    starts = np.concatenate([[0], ends[:-1] + 1])
+    last = max(len(words) - size, 0)
+    starts, ends = starts[: last + 1], ends[min(size, len(words)) - 1 :]
+    digest = xxhash.xxh64_intdigest
+    return np.unique(np.fromiter((digest(joined[i:j], SEED) for i, j in zip(starts.tolist(), ends.tolist(), strict=True)), "<u8", len(starts)).view("<i8"))
+
+
+def prefix(found: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """The shingles of which two sets of the wanted similarity share at least one: the first fifth and one, common ones last."""
+    length = len(found) - -(-FIFTHS * len(found) // 5) + 1 if len(found) else 0
+    late = np.isin(found, common)
+    return np.concatenate([found[~late], found[late]])[:length]
+
+
+def common_shingles(docs: DataFrame) -> np.ndarray:
+    """Shingles that are common in a sample of the texts. They only set the order, so any choice gives the same links."""
+    every = max(docs.count() // SAMPLE_TEXTS, 1)
+
+    def encode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            for t in f["text"]:
+                yield pd.DataFrame({"s": shingles(t)})
+
+    sample = docs.where(F.pmod(F.xxhash64("text"), F.lit(every)) == 0).select("text")
+    counts = sample.mapInPandas(encode, "s long").groupBy("s").count().where(F.col("count") >= COMMON_COUNT)
+    return np.sort(counts.orderBy(F.desc("count"), "s").limit(COMMON_ROWS).toPandas()["s"].to_numpy(np.int64))
+
+
+def _id() -> Column:
+    return F.coalesce("doc_id", F.lit(-1 << 63))
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, row_bytes: int) -> DataFrame:
+    """The pairs (a, b) whose sets have the wanted similarity."""
+
+    @F.pandas_udf("boolean")
+    def alike(left: pd.Series, right: pd.Series) -> pd.Series:
+        out = []
+        for x, y in zip(left, right, strict=True):
+            x, y = np.frombuffer(x, np.int64), np.frombuffer(y, np.int64)
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            out.append(5 * both >= FIFTHS * (len(x) + len(y) - both))
+        return pd.Series(out, dtype="bool")
+
+    sides = join_small(pairs, sets.select(F.col("sid").alias("a"), F.col("s").alias("x")), ["a"], row_bytes, "inner")
+    sides = join_small(sides, sets.select(F.col("sid").alias("b"), F.col("s").alias("y")), ["b"], row_bytes, "inner")
+    return pin(sides.where(alike("x", "y")).select("a", "b"))
+
+
+def similar_sets(docs: DataFrame, most: int = PAIRS) -> DataFrame:
+    """One row (doc_id, text_hash, root) per row of ``docs``; rows that a chain of similar texts links have one root.
+
+    Texts are similar if their sets of five-word shingles have a Jaccard similarity of at least 0.8, which is
+    computed, not estimated. Equal sets are joined as one first. Similar sets share one of the first shingles in
+    any common order (``prefix``), so no pair is missed. Many sets with one first shingle are not paired
+    all with all: each is compared to one of them, which is another in each round, and what is linked already
+    is left out, until at most ``most`` pairs are left; those are all compared. A text without words is linked to none but its like.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(common_shingles(docs))
+    plain = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+
+    def encode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            sets = [shingles(t) for t in f["text"]]
+            yield pd.DataFrame({
+                "doc_id": f["doc_id"], "text_hash": f["text_hash"], "sid": np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], np.uint64).view(np.int64),
+                "n": [len(s) for s in sets], "first": [prefix(s, shared.value) for s in sets],
+            })
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    marked = pin(plain.mapInPandas(encode, f"doc_id {kind}, text_hash long, sid long, n int, first array<long>"))
+    entries = marked.select("sid", "n", F.explode("first").alias("t"))
+    meet = pin(entries.groupBy("t").agg(F.min("sid").alias("low"), F.max("sid").alias("high")).where("low < high").select("t"))
+    entries = pin(join_small(entries, meet, ["t"], 16, "inner").distinct())
+
+    wanted = entries.select("sid").distinct()
+    rep = marked.groupBy("sid").agg(F.min(F.struct(_id().alias("__id"), F.col("doc_id").isNull().alias("__no_id"), F.col("text_hash").alias("__hash"))).alias("r"))
+    rep = pin(rep.join(wanted, "sid", "left_semi").select("r.*"))
+
+    def content(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            sets = [shingles(t) for t in f["text"]]
+            yield pd.DataFrame({"sid": np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], np.uint64).view(np.int64), "s": [s.tobytes() for s in sets]})
+
+    keyed = plain.select("text", _id().alias("__id"), F.col("doc_id").isNull().alias("__no_id"), F.col("text_hash").alias("__hash"))
+    texts = join_small(keyed, rep, ["__id", "__no_id", "__hash"], 32, "left_semi").select("text")
+    sets = pin(texts.mapInPandas(content, "sid long, s binary").dropDuplicates(["sid"]))
+    row_bytes = payload_bytes(sets, "s")
+
+    links = entries.select(F.col("sid").alias("a"), F.col("sid").alias("b")).limit(0)
+    near = (5 * F.least("n", "m") >= FIFTHS * F.greatest("n", "m")) & (F.col("sid") != F.col("other"))
+    pair = [F.least("sid", "other").alias("a"), F.greatest("sid", "other").alias("b")]
+    todo = entries.withColumn("part", F.col("sid"))
+    tried = links
+    for round_ in range(ROUNDS + 1):
+        ranked = F.struct(F.xxhash64("sid", F.lit(round_)).alias("h"), F.col("sid").alias("other"), F.col("n").alias("m"), F.col("part").alias("whose"))
+        groups = todo.groupBy("t").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count(F.lit(1)).alias("k"), F.min(ranked).alias("one")).where("low < high")
+        groups = pin(groups.select("t", "k", "one.other", "one.m", "one.whose"))
+        todo = pin(todo.join(groups.select("t"), "t", "left_semi"))
+        size = groups.agg(F.sum(F.col("k")).alias("k"), F.sum(F.col("k") * F.col("k")).alias("k2")).first()
+        if not size.k:
+            break
+        last = size.k2 <= max(most, PAIRS_PER_ENTRY * size.k) or round_ == ROUNDS
+        if last:
+            right = todo.select("t", F.col("sid").alias("other"), F.col("n").alias("m"), F.col("part").alias("whose"))
+        else:
+            right = groups.drop("k")
+        pairs = todo.join(right, "t").where(near & (F.col("part") != F.col("whose"))).select(*pair).distinct()
+        pairs = pin(pairs.join(tried, ["a", "b"], "left_anti"))
+        tried = tried.unionByName(pairs)
+        links = links.unionByName(_verified(pairs, sets, row_bytes))
+        if last:
+            break
+        roots = pin(components(links))
+        todo = todo.drop("part").join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("part", F.coalesce("root", "sid")).drop("root")
+    found = pin(components(links)).withColumnRenamed("node", "sid")
+    return marked.select("doc_id", "text_hash", "sid").join(found, "sid", "left").select("doc_id", "text_hash", F.coalesce("root", "sid").alias("root"))
+
+
+def one_of_similar(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text and others) that stay: of each group of similar texts the smallest doc_id."""
+    return first_of_each(docs, similar_sets(docs))

@@ -12,17 +12,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartframes.llm import decontaminate, language, packing, simhash, suffix
+from chartframes.llm import decontaminate, language, packing, simhash, similar, suffix
 from chartframes.llm.common import held_out, pin, text_batches
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that can be told; texts that are null or have no letter go."""
+    """Documents in a learned language, or with a letter if none is learned; null texts and those without a letter go."""
     return language.known_language(docs, ~held_out())
 
 
+def first_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest doc_id of each group of texts with at least 0.8 of their five-word shingles in common."""
+    return similar.one_of_similar(docs)
+
+
 def first_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group of near copies."""
+    """The document with the smallest doc_id of each group of near copies, by op7's fingerprints."""
     return simhash.one_of_each(docs)
 
 
@@ -58,6 +63,7 @@ def _stage(function):
 
 STAGES = [
     ("language", _stage(known_language)),
+    ("similar texts", _stage(first_of_similar)),
     ("near copies", _stage(first_of_near_copies)),
     ("repeated passages", _stage(without_repeats)),
     ("benchmark", _stage(without_benchmark)),

@@ -1,0 +1,55 @@
+import random
+
+import corpus_pipeline
+from chartframes.llm import similar
+
+
+def slow_set(text):
+    words = text.encode().lower().split()
+    return {b" ".join(words[i : i + 5]) for i in range(max(len(words) - 4, 1))} if words else set()
+
+
+def slow_kept(rows):
+    """The smallest id of each component of pairs with a Jaccard similarity of at least 0.8."""
+    sets, root = [slow_set(t) for _, t in rows], list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if sets[i] == sets[j] or 5 * both >= 4 * len(sets[i] | sets[j]):
+                a, b = root[i], root[j]
+                root = [a if r == b else r for r in root]
+    low = {}
+    for (d, _), r in zip(rows, root, strict=True):
+        low[r] = min(d, low.get(r, d))
+    return sorted(low.values())
+
+
+def test_pipeline_drops_what_a_similarity_of_0_8_drops(spark):
+    folder = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").where("text RLIKE '[a-z]'")
+    rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
+    stages = dict(corpus_pipeline.STAGES)
+    kept = stages["similar texts"](spark, docs, folder)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == slow_kept(rows)
+
+
+def test_chains_and_large_groups(spark):
+    rng = random.Random(1)
+    words = [f"w{i}" for i in range(2000)]
+    base = [rng.choice(words) for _ in range(200)]
+    rows = []
+    for i in range(150):  # pairs of these are on both sides of 0.8
+        text = list(base)
+        for _ in range(rng.choice([1, 3, 5])):
+            text[rng.randrange(200)] = rng.choice(words)
+        rows.append((i, " ".join(text)))
+    for i in range(150, 200):  # a common line in front
+        rows.append((i, " ".join(base[:30] + [rng.choice(words) for _ in range(rng.choice([3, 6, 60]))])))
+    rows += [(300, "one two"), (301, "ONE  two"), (302, "one"), (303, " "), (304, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.doc_id for r in similar.one_of_similar(docs).collect()) == slow_kept(rows)
+    found = {r.doc_id: r.root for r in similar.similar_sets(docs, most=0).collect()}
+    assert len(found) == len(rows)
+    assert sorted(min(d for d, r in found.items() if r == root) for root in set(found.values())) == slow_kept(rows)
+    assert similar.one_of_similar(docs.limit(0)).collect() == []
