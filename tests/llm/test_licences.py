@@ -1,4 +1,5 @@
 import hashlib
+from pathlib import Path
 
 from chartframes.llm import licences
 from tests.llm.odd import against_duckdb
@@ -30,3 +31,15 @@ def test_canonical_forms(spark):
     twice = spark.createDataFrame([("b", "word"), ("a", "WORD!"), ("c", None), ("d", "(c) 2020"), (None, "word")], "license_id string, text string")
     assert [(r.doc_id, r.notices) for r in licences.scan(df, twice).where("n_notices > 0").collect()] == [(6, "a")]
     assert licences.scan(df.limit(0), twice).collect() == []
+
+
+def scanned(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [(r.license, r.notices, r.n_notices) for r in licences.scan(df, licences.known_licences(spark)).orderBy("doc_id").collect()]
+
+
+def test_whole_texts_and_published_notices(spark):
+    folder = Path(licences.__file__).parent / "texts"
+    names = ["Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0", "Unlicense"]
+    assert [r[0] for r in scanned(spark, [(folder / f"{n}.txt").read_text() for n in names])] == names
+    assert scanned(spark, ["// SPDX-License-Identifier: GPL-2.0-only\nint x;"]) == [(None, "GPL-2.0-notice", 1)]
