@@ -54,6 +54,17 @@ THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLI
 # Longer texts as their publishers give them.
 LICENCES += [(_path.name.removesuffix(".txt"), _path.read_text(encoding="utf-8")) for _path in sorted((Path(__file__).parent / "texts").glob("*.txt"))]
 
+_TITLES = {
+    "0BSD": ["BSD Zero Clause License", "Zero-Clause BSD", "Zero-Clause BSD License"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "The BSD 2-Clause License", 'BSD 2-Clause "Simplified" License'],
+    "BSD-3-Clause": ["BSD 3-Clause License", "The BSD 3-Clause License", 'BSD 3-Clause "New" or "Revised" License'],
+    "BSL-1.0": ["Boost Software License - Version 1.0 - August 17th, 2003", "Boost Software License"],
+    "ISC": ["ISC License", "The ISC License", "ISC License (ISC)"],
+    "MIT": ["MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)"],
+    "Zlib": ["zlib License", "The zlib License", "The zlib/libpng License"],
+}
+LICENCES += [(_name, f"{_title}\n\n{_text}") for _name, _text in list(LICENCES) for _title in _TITLES.get(_name, [])]
+
 # The notices that the publishers give to put in a file: a first paragraph, and the whole.
 _APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at"""
 _APACHE_END = """Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."""

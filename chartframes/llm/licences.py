@@ -20,14 +20,26 @@ COPYRIGHT_LINE = r"(^|\n)[^a-z0-9\n]*(copyright[ \t]*(\(c\)|©|[0-9]|:|<|\[|by )
 SIGNS = r"[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F\x{A0}-\x{BF}\x{2010}-\x{206F}]+"
 
 
-def canonical_lines(text: Column) -> Column:
-    """The canonical lines of a text: lower case, one spelling, no copyright lines, signs as single blanks, none empty."""
+def _canonical(text: Column) -> Column:
+    """The lines of a text in canonical form: lower case, one spelling, no copyright lines, signs as single blanks."""
     out = F.lower(F.coalesce(text, F.lit("")))
     for old, new in SPELLINGS:
         out = F.replace(out, F.lit(old), F.lit(new))
     out = F.regexp_replace(out, COPYRIGHT_LINE, "\n")
     out = F.regexp_replace(out, SIGNS, " ")
-    return F.filter(F.transform(F.split(out, "\n"), lambda x: F.trim(x)), lambda x: x != "")
+    return F.transform(F.split(out, "\n"), lambda x: F.trim(x))
+
+
+def canonical_lines(text: Column) -> Column:
+    """The canonical lines of a text, none empty."""
+    return F.filter(_canonical(text), lambda x: x != "")
+
+
+def paragraphs(lines: Column) -> Column:
+    """Runs of two or more lines in canonical form without an empty one between, each as one line."""
+    runs = F.filter(F.split(F.array_join(lines, "\n"), "\n\n+"), lambda x: F.trim(F.replace(x, F.lit("\n"), F.lit(" "))) != "")
+    runs = F.transform(runs, lambda x: F.regexp_replace(x, "^\n+|\n+$", ""))
+    return F.transform(F.filter(runs, lambda x: F.contains(x, F.lit("\n"))), lambda x: F.replace(x, F.lit("\n"), F.lit(" ")))
 
 
 def digest(lines: Column) -> Column:
@@ -48,8 +60,8 @@ def scan(
     """One row per document: doc_id, text_sha256, license, notices, n_notices.
 
     ``license`` is the known text that the whole document equals in canonical form, else null; ``text_sha256`` is
-    the digest it is looked up by. ``notices`` are the known texts that lines of the document equal, sorted and
-    joined by commas, '' if none; ``n_notices`` counts such lines. Of known texts with one canonical form the
+    the digest it is looked up by. ``notices`` are the known texts that lines of the document equal, or paragraphs of
+    several lines, sorted and joined by commas, '' if none; ``n_notices`` counts such lines and paragraphs. Of known texts with one canonical form the
     first by name counts; empty ones are left out. Null and empty texts, and those of copyright lines only, equal
     nothing. Repeated documents come out once each with the same result, null doc_ids like any other.
     An empty table gives no rows, no known text gives no matches, other columns are not read.
@@ -60,10 +72,11 @@ def scan(
         texts.select("license", canonical_lines(F.col("text")).alias("lines")).where(F.size("lines") > 0)
         .groupBy(digest(F.col("lines")).alias("sha")).agg(F.min("license").alias("license")).where("license IS NOT NULL")
     )
-    lines = plain.select("doc_id", F.monotonically_increasing_id().alias("row"), canonical_lines(F.col("text")).alias("lines"))
+    lines = plain.select("doc_id", F.monotonically_increasing_id().alias("row"), _canonical(F.col("text")).alias("all"))
+    lines = lines.select("doc_id", "row", F.filter("all", lambda x: x != "").alias("lines"), paragraphs(F.col("all")).alias("runs"))
     units = F.concat(
         F.array(F.struct(digest(F.col("lines")).alias("sha"), F.lit(True).alias("whole"))),
-        F.transform("lines", lambda x: F.struct(F.sha2(x, 256).alias("sha"), F.lit(False).alias("whole"))),
+        F.transform(F.concat("lines", "runs"), lambda x: F.struct(F.sha2(x, 256).alias("sha"), F.lit(False).alias("whole"))),
     )
     each = lines.select("row", "doc_id", F.explode(units).alias("u")).select("row", "doc_id", "u.*")
     # a row for each document and one for each line that is known go on; they meet again by the row's number

@@ -1,4 +1,5 @@
 import hashlib
+import textwrap
 from pathlib import Path
 
 from chartframes.llm import licences
@@ -38,8 +39,36 @@ def scanned(spark, texts):
     return [(r.license, r.notices, r.n_notices) for r in licences.scan(df, licences.known_licences(spark)).orderBy("doc_id").collect()]
 
 
+def wrapped(text, mark=""):
+    return "\n".join(mark + line for part in text.split("\n") for line in (textwrap.wrap(part, 60) or [""]))
+
+
+def test_titled_and_wrapped_texts(spark):
+    known = {n: t for n, t in reversed(licences.LICENCES)}
+    titles = {"MIT": "MIT License", "ISC": "ISC License", "Zlib": "zlib License", "BSD-3-Clause": "BSD 3-Clause License"}
+    texts = [f"{title}\n\nCopyright (c) 2020 Somebody\n\n{wrapped(known[n])}\n" for n, title in titles.items()]
+    assert [r[0] for r in scanned(spark, texts)] == list(titles)
+
+
 def test_whole_texts_and_published_notices(spark):
     folder = Path(licences.__file__).parent / "texts"
     names = ["Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0", "Unlicense"]
     assert [r[0] for r in scanned(spark, [(folder / f"{n}.txt").read_text() for n in names])] == names
-    assert scanned(spark, ["// SPDX-License-Identifier: GPL-2.0-only\nint x;"]) == [(None, "GPL-2.0-notice", 1)]
+    apache = """# Copyright 2020 Somebody
+# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at
+#
+#     http://www.apache.org/licenses/LICENSE-2.0
+#
+# Unless required by applicable law or agreed to in writing, software
+"""
+    gpl = """/* This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version 3 of the License, or
+ * (at your option) any later version.
+ */
+int x;
+"""
+    found = scanned(spark, [apache, gpl.replace(" */\n", " */\n\n"), "// SPDX-License-Identifier: GPL-2.0-only\nint x;"])
+    assert found == [(None, "Apache-2.0-notice", 1), (None, "GPL-3.0-notice", 1), (None, "GPL-2.0-notice", 1)]
