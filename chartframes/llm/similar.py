@@ -43,7 +43,8 @@ def shingles(text: str | None, size: int = SIZE) -> np.ndarray:
 def prefix(found: np.ndarray, common: np.ndarray) -> np.ndarray:
     """The shingles of which two sets of the wanted similarity share at least one: the first fifth and one, common ones last."""
     length = len(found) - -(-FIFTHS * len(found) // 5) + 1 if len(found) else 0
-    late = np.isin(found, common)
+    at = np.minimum(np.searchsorted(common, found), max(len(common) - 1, 0))
+    late = common[at] == found if len(common) else np.zeros(len(found), bool)  # np.isin would sort the common ones for each text
     return np.concatenate([found[~late], found[late]])[:length]
 
 
