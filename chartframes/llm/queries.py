@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartframes.llm import binary, counts, decontaminate, language, licences, packing, quality, simhash, suffix, topk
-from chartframes.llm.common import held_out, scratch_folder, text_batches
+from chartframes.llm import binary, counts, decontaminate, language, licences, mixing, packing, quality, simhash, suffix, topk
+from chartframes.llm.common import held_out, pin, scratch_folder, text_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -161,3 +161,32 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, id)
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     codes = table(spark, folder, "embeddings").select(F.col("vec_id").alias("id"), topk.sign_code(F.col("embedding")).alias("code"))
     return topk.nearest(codes, codes.where("id % 20 = 0"), 10)
+
+
+@register(
+    "op11_source_mix",
+    r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+    CAST('0x' || substr(md5('1' || coalesce('/=' || doc_id, '/') || coalesce('/=' || text, '/')), 1, 13) AS BIGINT)::DOUBLE / 4503599627370496 AS coin
+  FROM documents
+), s AS (
+  SELECT source, source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS w
+  FROM (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source)
+), r AS (
+  SELECT *, sum(3 * source_size) OVER o AS fulls, sum(w) OVER o AS ws, sum(source_size) OVER () AS total, sum(w) OVER () AS all_w
+  FROM s WINDOW o AS (ORDER BY source_size::DOUBLE / w, source NULLS FIRST ROWS UNBOUNDED PRECEDING)
+), b AS (SELECT *, fulls * w + 3 * source_size * (all_w - ws) <= total * w AS bound FROM r
+), t AS (
+  SELECT source, source_size, CASE WHEN bound THEN (3 * source_size)::DOUBLE ELSE (total - coalesce(sum(3 * source_size) FILTER (bound) OVER (), 0))::DOUBLE
+    / (sum(w) FILTER (NOT bound) OVER ())::DOUBLE * w END AS target FROM b
+), c AS (
+  SELECT doc_id, size, source_size, target, coin, CASE WHEN source_size = 0 THEN 0 ELSE target / source_size::DOUBLE END AS rate
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, size, source_size, target, size * CAST(floor(rate) + CASE WHEN coin < rate - floor(rate) THEN 1 ELSE 0 END AS BIGINT) AS taken FROM c
+""",
+)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    found = mixing.with_copies(pin(mixing.measured(table(spark, folder, "documents"))))
+    return found.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))

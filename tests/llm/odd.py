@@ -7,7 +7,7 @@ from chartframes.llm import queries
 
 def against_duckdb(spark, name, folder):
     base = duckdb.connect()
-    for table in ("documents", "benchmark", "labels", "embeddings"):
+    for table in ("documents", "benchmark", "labels", "embeddings", "conversations"):
         base.execute(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet'")
     got = queries.QUERIES[name](spark, folder)
     want = base.execute(queries.ORACLES[name])
