@@ -31,7 +31,7 @@ def _byte_letter(b: int) -> str:
     return chr(256 + b if b <= 32 else 162 + b if b <= 160 else 323)
 
 
-_LETTERS = [_byte_letter(b) for b in range(256)]
+BYTE_LETTERS = [_byte_letter(b) for b in range(256)]
 
 
 class WordEncoder(dict):
@@ -77,7 +77,7 @@ class WordEncoder(dict):
         word, stops = plain.groups()
         if stops:
             return self[word.encode()] + self[stops.encode()]
-        return self._merged("".join([_LETTERS[b] for b in word.lower().encode()]))
+        return self._merged("".join([BYTE_LETTERS[b] for b in word.lower().encode()]))
 
     def __missing__(self, part: bytes) -> bytes:
         ids = self.older.get(part)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartframes.llm import binary, counts, decontaminate, language, licences, mixing, packing, quality, simhash, suffix, topk
+from chartframes.llm import alignment, binary, counts, decontaminate, language, licences, mixing, packing, quality, simhash, suffix, topk, tries
 from chartframes.llm.common import held_out, pin, scratch_folder, text_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -190,3 +190,53 @@ SELECT doc_id, size, source_size, target, size * CAST(floor(rate) + CASE WHEN co
 def op11(spark: SparkSession, folder: str) -> DataFrame:
     found = mixing.with_copies(pin(mixing.measured(table(spark, folder, "documents"))))
     return found.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+@register(
+    "op12_conversation_prefix_trie",
+    """
+WITH crc AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n)) AS t
+), own AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT conv_id, n, conv_id - conv_id % 100 AS first,
+    xor(list_reduce(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda s: CAST(ascii(s) AS BIGINT)), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]), 4294967295), 4294967295) % 6 AS h
+  FROM (SELECT conv_id, count(*) AS n FROM own GROUP BY conv_id), crc
+), rebuilt AS (
+  SELECT c.conv_id, o.place AS depth, role, text FROM convs c JOIN own o ON o.conv_id = c.first WHERE o.place <= h
+  UNION ALL
+  SELECT c.conv_id, o.place - c.h + least(c.h, coalesce(f.n, 0)), role, text
+  FROM convs c JOIN own o USING (conv_id) LEFT JOIN convs f ON f.conv_id = c.first WHERE o.place > c.h
+), p AS (
+  SELECT conv_id, depth, length(text) AS chars,
+    md5(string_agg(concat(length(role), ':', role, length(text), ':', text), '') OVER (PARTITION BY conv_id ORDER BY depth)) AS node FROM rebuilt
+  UNION ALL SELECT conv_id, 0, 0, '' FROM convs
+), above AS (SELECT *, lag(node) OVER (PARTITION BY conv_id ORDER BY depth) AS parent FROM p
+), nodes AS (
+  SELECT depth, node, min(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs, min(chars) AS chars FROM above GROUP BY depth, node
+), kids AS (SELECT depth - 1 AS depth, parent AS node, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1, 2
+), x AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children, CASE WHEN n_children IS NULL THEN 1 ELSE 0 END AS leaf, (n_convs - 1) * chars AS saved
+  FROM nodes n LEFT JOIN kids USING (depth, node)
+), sums AS (
+  SELECT p.depth, p.node, sum(leaf) AS n_leaves, sum(saved) AS saved_tokens FROM p JOIN x ON x.conv_id = p.conv_id AND x.depth >= p.depth GROUP BY p.depth, p.node
+), ends AS (
+  SELECT depth, node, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids
+  FROM p JOIN (SELECT conv_id, max(depth) AS depth FROM p GROUP BY conv_id) USING (conv_id, depth) GROUP BY depth, node
+)
+SELECT x.conv_id, CAST(x.depth AS BIGINT) AS depth, y.conv_id AS parent_conv_id, x.n_convs, x.n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+  CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM x JOIN sums USING (depth, node) LEFT JOIN ends USING (depth, node) LEFT JOIN nodes y ON y.depth = x.depth - 1 AND y.node = x.parent
+""",
+)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return tries.prefix_trie(table(spark, folder, "conversations"))
+
+
+@register("op13_tokenizer_alignment")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    found = alignment.agreement(alignment.align(table(spark, folder, "documents"), a, b), alignment.piece_count(b))
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
