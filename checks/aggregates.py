@@ -17,6 +17,7 @@ from chartframes.functions import flag, sum_across
 from chartframes.operators.columns import pick
 from chartframes.operators.ordered import first_row
 from chartframes.operators.rows import distinct_rows, with_total_row
+from chartframes.operators.selection import refined_medians
 from chartframes.sources.profile import profile
 from checks.registry import cents, check, double, keyed, rounded
 
@@ -78,6 +79,16 @@ def a05(t):
     return medians(t.lineitem, "l_returnflag", names).withColumns(rounded(*names))
 
 
+@check(
+    "a05_median_refined",
+    """SELECT l_returnflag, l_linestatus, round(median(l_quantity), 6) AS l_quantity, round(median(l_extendedprice), 6) AS l_extendedprice,
+       round(median(l_discount), 6) AS l_discount, round(median(l_partkey), 6) AS l_partkey FROM lineitem GROUP BY ALL""",
+)
+def a05_refined(t):
+    names = ["l_quantity", "l_extendedprice", "l_discount", "l_partkey"]
+    return refined_medians(t.lineitem, ["l_returnflag", "l_linestatus"], names).withColumns(rounded(*names))
+
+
 @check(
     "a06_scaled_sum",
     """SELECT dayofweek(ts) AS day_num, round(CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / 52, 6) AS value

@@ -17,6 +17,7 @@ from chartframes.operators.ordered import (
     top_n,
 )
 from chartframes.operators.quantiles import group_quantiles, with_group_quantiles
+from chartframes.operators.selection import Pick, refined_quantiles
 from chartframes.operators.skew import with_group_values
 from chartframes.plans import top_groups
 from checks.registry import cents, check, double, rounded
@@ -107,6 +108,11 @@ def n08_spread(t):
     return group_quantiles(t.orders, "o_orderpriority", "o_totalprice", {"q1": 0.25, "q9": 0.9}, limit=100)
 
 
+@check("n08_quantile_refined", NEAREST)
+def n08_refined(t):
+    return refined_quantiles(t.orders, "o_orderpriority", {"q1": Pick("o_totalprice", 0.25), "q9": Pick("o_totalprice", 0.9)})
+
+
 @check(
     "n08_quantile_on_rows",
     f"SELECT o_orderkey, q1, q9 FROM orders JOIN ({NEAREST}) USING (o_orderpriority)",
