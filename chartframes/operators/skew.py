@@ -16,8 +16,6 @@ from chartframes.session import pin
 
 #: measured size up to which a pinned side is broadcast
 BROADCAST_BYTES = 64 * 1024 * 1024
-#: parts into which the rows of a hot key are dealt at most
-SALTS = 64
 #: a group holding more than one in HOT_SHARE rows is hot, so there are fewer than HOT_SHARE hot groups
 HOT_SHARE = 1_000
 #: rows and bytes up to which a whole group may be ordered inside one task
@@ -137,8 +135,8 @@ def join_split(df: DataFrame, table: DataFrame, keys: str | list[str], how: str
         met = hot_rows.join(F.broadcast(few), keys, how)
     else:
         largest = counts.agg(F.max("__key_rows")).first()[0]
-        salts = -(-largest * HOT_SHARE // total)  # a part is no larger than a key that is not hot
-        salts = min(max(salts, 2), SALTS)
+        # a part is no larger than a key that is not hot, so there are HOT_SHARE parts at most
+        salts = max(-(-largest * HOT_SHARE // total), 2)
         dealt = hot_rows.withColumn("__salt", F.pmod(F.xxhash64(*[col(c) for c in df.columns]), F.lit(salts)).cast("int"))
         copied = few.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         met = dealt.join(copied.hint("shuffle_merge"), [*keys, "__salt"], how).drop("__salt")
