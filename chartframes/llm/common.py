@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import ctypes
+from collections.abc import Callable, Iterator, Sequence
+from functools import wraps
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -23,6 +26,27 @@ def text_batches(spark: SparkSession) -> None:
         spark.conf.set(key, "8388608b")
 
 
+def give_back() -> None:
+    """Return memory that is no longer used to the system: workers are kept for later stages, and their heaps with them."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim:
+        trim(0)
+
+
+def frugal(run: Callable[..., Iterator]) -> Callable[..., Iterator]:
+    """A function over a task's batches that gives memory back when the task ends."""
+
+    @wraps(run)
+    def to_the_end(*args):
+        try:
+            yield from run(*args)
+        finally:
+            give_back()
+
+    return to_the_end
+
+
 def take(df: DataFrame, **columns: str) -> DataFrame:
     """Only the named columns, under the operator's own names, so that no other column can clash."""
     return df.select(*[F.col(f"`{source}`").alias(name) for name, source in columns.items()])
@@ -108,17 +132,23 @@ def components(edges: DataFrame) -> DataFrame:
 def labelled_sample(texts: DataFrame, labelled: DataFrame, rows: int) -> DataFrame:
     """(doc_id, text, label) of at most ``rows`` labelled documents, equal shares of the labels, chosen by hash of the id.
 
-    ``texts`` is (doc_id, text), ``labelled`` (doc_id, label). The choice is made on ids alone, the chosen
-    ids are broadcast (their number is bounded), so no text is shuffled.
+    ``texts`` is (doc_id, text), ``labelled`` (doc_id, label); rows without id or label are left out. An id is chosen once,
+    with the smallest of its labels, and comes with one text, the one of the smallest hash, however often it occurs. Ids are
+    cut by their hash before they are ordered, so a task orders few of any label; the chosen ones are broadcast
+    (their number is bounded), so no other text is shuffled. Long texts come whole; no labels give no rows.
     """
-    labels = labelled.where("label IS NOT NULL AND doc_id IS NOT NULL").groupBy("label").count()
+    known = labelled.where("label IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "label", F.xxhash64("doc_id").alias("__hash"))
+    labels = pin(known.groupBy("label").agg(F.count(F.lit(1)).alias("__rows")))
     share = max(rows // max(labels.count(), 1), 1)
-    first = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (
-        labelled.where("label IS NOT NULL AND doc_id IS NOT NULL")
-        .withColumn("__n", F.row_number().over(first)).where(F.col("__n") <= share).drop("__n").limit(rows)
-    )
-    return texts.join(F.broadcast(chosen), "doc_id")
+    # twice as many as are wanted, and some: what is beyond the bound would hardly ever be among the first
+    bound = F.lit(-float(1 << 63)) + F.lit(float(1 << 64)) * (2 * share + 100) / F.col("__rows")
+    few = known.join(labels, "label").where(F.col("__hash").cast("double") <= bound)
+    one = few.groupBy("doc_id", "__hash").agg(F.min("label").alias("label"))
+    first = Window.partitionBy("label").orderBy("__hash", "doc_id")
+    chosen = one.withColumn("__n", F.row_number().over(first)).where(F.col("__n") <= share).select("doc_id", "label").limit(rows)
+    met = texts.join(F.broadcast(chosen), "doc_id")
+    text = F.min(F.struct(F.xxhash64("text").alias("h"), F.col("text").alias("text")))
+    return met.groupBy("doc_id", "label").agg(text.alias("x")).select("doc_id", "x.text", "label")
 
 
 def without_rows(docs: DataFrame, gone: DataFrame) -> DataFrame:

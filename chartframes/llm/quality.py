@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chartframes.llm.common import labelled_sample, take
+from chartframes.llm.common import labelled_sample, pin, take
 
 PASSAGE_WORDS = 64
 #: Hashed three-byte strings per passage, and kinds of bytes whose shares are counted.
@@ -17,9 +17,9 @@ BINS = 512
 KINDS = 7
 WIDTH = BINS + KINDS + 2
 CODE, GATE = 24, 16
-#: The fit reads at most so many labelled documents, none longer than this.
+#: The fit reads at most so many labelled documents, and of each so many passages, spread over its whole length.
 SAMPLE_ROWS = 3000
-SAMPLE_CHARS = 20_000
+SAMPLE_PASSAGES = 64
 #: Passages that are held at once while a document is scored.
 PORTION = 256
 
@@ -61,6 +61,19 @@ def _vectors(data: np.ndarray, cuts: np.ndarray, starts: np.ndarray) -> np.ndarr
     return out
 
 
+def spread(portions: Iterator[np.ndarray], most: int) -> np.ndarray:
+    """At most ``most`` passages at even distances; no more than twice as many and a portion are held at once."""
+    kept, step, seen = np.zeros((0, WIDTH), np.float32), 1, 0
+    for x in portions:
+        kept = np.concatenate([kept, x[-seen % step :: step]])
+        seen += len(x)
+        while len(kept) > 2 * most:
+            kept, step = kept[::2], 2 * step
+    if len(kept) <= most:
+        return kept
+    return kept[np.linspace(0, len(kept) - 1, most).round().astype(int)]
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
@@ -133,24 +146,25 @@ class Attention:
         return float(_sigmoid(z / weights @ p["c"] + p["cb"][0] + self.shift))
 
 
-def fit(docs: DataFrame, labels: DataFrame, learn: Column, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> Attention:
-    """Learn from at most ``rows`` labelled documents of at most ``chars`` characters for which ``learn`` holds.
+def fit(docs: DataFrame, labels: DataFrame, learn: Column, rows: int = SAMPLE_ROWS, most: int = SAMPLE_PASSAGES) -> Attention:
+    """Learn from at most ``rows`` labelled documents for which ``learn`` holds, from at most ``most`` passages of each.
 
     ``docs`` is (doc_id, text), ``labels`` (doc_id, quality); equal shares of the labels are chosen by hash of
-    the id. The share of label 1 that scores are set to is counted over all labelled rows. Of a document
-    with several different labels the smallest counts.
+    the id, and of a repeated id one text. The passages are spread over the whole text, however long; null and empty texts are
+    one empty passage. The share of label 1 that scores are set to is counted over all labelled ids. Of a document
+    with several different labels the smallest counts. Other columns are not read.
     """
-    labelled = labels.where(learn & F.col("quality").isNotNull()).groupBy("doc_id").agg(F.min("quality").cast("int").alias("label"))
+    labelled = pin(labels.where(learn & F.col("quality").isNotNull()).groupBy("doc_id").agg(F.min("quality").cast("int").alias("label")))
     prior = labelled.agg(F.avg("label")).first()[0]
-    short = docs.where(F.length(F.coalesce("text", F.lit(""))) <= chars).select("doc_id").distinct()
-    sample = labelled_sample(docs.select("doc_id", "text"), labelled.join(short, "doc_id", "left_semi"), rows)
+    there = labelled.join(docs.select("doc_id"), "doc_id", "left_semi")
+    sample = labelled_sample(docs.select("doc_id", "text"), there, rows)
 
     def encode(frames):
         for f in frames:
-            bags = [np.concatenate(list(passages(t or ""))).astype(np.float16).tobytes() for t in f["text"]]
+            bags = [spread(passages(t or ""), most).astype(np.float16).tobytes() for t in f["text"]]
             yield pd.DataFrame({"label": f["label"], "x": bags})
 
-    found = sample.where(F.length(F.coalesce("text", F.lit(""))) <= chars).select("text", "label").mapInPandas(encode, "label int, x binary").toPandas()
+    found = sample.select("text", "label").mapInPandas(encode, "label int, x binary").toPandas()
     found = found.sort_values(["label", "x"], kind="stable") if len(found) else found
     bags = [np.frombuffer(x, np.float16).reshape(-1, WIDTH).astype(np.float32) for x in found["x"]]
     return Attention(bags, found["label"].to_numpy(np.float32), 0.5 if prior is None else float(prior))

@@ -3,7 +3,7 @@ import zlib
 import numpy as np
 from pyspark.sql import functions as F
 
-from chartframes.llm import quality, queries
+from chartframes.llm import common, quality, queries
 
 
 def test_query_on_held_out_rows(spark):
@@ -72,3 +72,27 @@ def test_odd_rows(spark):
     assert found[3] > 0.5 > found[2] and found[50] == found[51] == found[52]
     assert {r.score for r in quality.score(df, quality.fit(df, labels.limit(0), F.lit(True))).collect()} == {0.5}
     assert quality.score(df.limit(0), model).collect() == []
+
+
+def test_a_long_document_is_learned_from_over_its_whole_length(spark):
+    parts = [np.full((n, quality.WIDTH), i, np.float32) for i, n in enumerate([1, 300, 2, 900])]
+    kept = quality.spread(iter(parts), 64)
+    assert len(kept) == 64 and kept[0, 0] == 0 and kept[-1, 0] == 3 and 12 <= (kept[:, 0] == 1).sum() <= 20
+    assert (quality.spread(iter(parts[:1]), 64) == parts[0]).all()
+    good, bad = "Plain words that say something, and end. " * 25_000, "BUY !!! now $$$ 999 " * 50_000
+    rows = [(i, good if i % 2 else bad) for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(8)], "doc_id long, quality int")
+    assert all(len(t) >= 1_000_000 for _, t in rows)
+    model = quality.fit(docs, labels, F.lit(True))
+    assert model.score(good[:5000]) > model.score(bad[:5000])
+
+
+def test_the_sample_is_bounded_whatever_repeats(spark):
+    docs = spark.createDataFrame([(7, f"text {i}") for i in range(1000)] + [(i, "other") for i in range(100, 110)] + [(None, "x"), (8, None)], "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).alias("label"))
+    got = common.labelled_sample(docs, labels, 6).collect()
+    assert len(got) <= 6 and len({r.doc_id for r in got}) == len(got)
+    everything = common.labelled_sample(docs, labels, 10_000).collect()
+    assert sorted(r.doc_id for r in everything) == [7, 8, *range(100, 110)] and sum(r.doc_id == 7 for r in everything) == 1
+    assert common.labelled_sample(docs, labels.limit(0), 6).collect() == []
