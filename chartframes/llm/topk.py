@@ -22,8 +22,10 @@ TOGETHER = 64
 
 
 def sign_code(vector: Column) -> Column:
-    """64 bits of a vector: bit i is set if element i is above 0; elements beyond are not used. Null gives null."""
-    bits = F.transform(F.slice(vector, 1, BITS), lambda x, i: F.when(x > 0, F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long")))
+    """64 bits of a vector: bit i is set if element i is above 0. Null gives null; a longer vector fails the job, as it needs a longer code."""
+    long_ = F.raise_error(F.concat(F.lit(f"a code has {BITS} bits, a vector has "), F.size(vector).cast("string"), F.lit(" elements")))
+    fitting = F.when(F.size(vector) > BITS, long_).otherwise(vector)
+    bits = F.transform(fitting, lambda x, i: F.when(x > 0, F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long")))
     return F.aggregate(bits, F.lit(0).cast("long"), lambda a, b: a.bitwiseOR(b))
 
 

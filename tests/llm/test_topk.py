@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from chartframes.llm import topk
 from tests.llm.odd import against_duckdb
@@ -39,3 +40,11 @@ def test_empty_tables(spark):
     assert topk.nearest(df, df.limit(0)).collect() == [] and topk.nearest(df.limit(0), df).collect() == []
     vectors = spark.createDataFrame([([1.0, -1.0, 0.0, 2.0],), (None,), ([],)], "v array<float>")
     assert [r[0] for r in vectors.select(topk.sign_code(vectors.v)).collect()] == [9, None, 0]
+
+
+def test_vectors_longer_than_a_code_are_an_error(spark):
+    df = spark.createDataFrame([(1, [1.0] * 64), (2, None), (3, [-1.0, 2.0])], "id long, v array<float>")
+    assert [r.c for r in df.select(topk.sign_code(F.col("v")).alias("c")).collect()] == [-1, None, 2]
+    wide = spark.createDataFrame([(1, [1.0] * 96)], "id long, v array<float>")
+    with pytest.raises(Exception, match="a vector has 96 elements"):
+        wide.select(topk.sign_code(F.col("v")).alias("c")).collect()
