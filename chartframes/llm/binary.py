@@ -41,16 +41,24 @@ def permute(index: np.ndarray, n: int, key: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
+def id_type(tokenizer: str, end: int) -> str:
+    """Little-endian unsigned numbers of 16 bits if all ids of the vocabulary fit in, else of 32 bits."""
+    from tokenizers import Tokenizer
+
+    ids = Tokenizer.from_file(tokenizer).get_vocab(with_added_tokens=True).values()
+    return "<u2" if max(*ids, end) < 1 << 16 else "<u4"
+
+
 def records(docs: DataFrame, tokenizer: str, size: int, end: int) -> DataFrame:
-    """Rows (row, doc_id, piece, ids): each document's ids and ``end``, cut at ``size``, as unsigned 16-bit numbers."""
-    kind = dict(docs.dtypes)["doc_id"]
+    """Rows (row, doc_id, piece, ids): each document's ids and ``end``, cut at ``size``, as numbers of ``id_type``."""
+    kind, numbers = dict(docs.dtypes)["doc_id"], id_type(tokenizer, end)
 
     def cut(frames):
         encode = word_encoder(tokenizer)
         for f in frames:
             out = []
             for doc, text in zip(f["doc_id"], f["text"], strict=True):
-                ids = np.r_[np.frombuffer(encode(text or ""), "<u4"), np.uint32(end)].astype("<u2")
+                ids = np.r_[np.frombuffer(encode(text or ""), "<u4"), np.uint32(end)].astype(numbers)
                 out += [(doc, piece, ids[at : at + size].tobytes()) for piece, at in enumerate(range(0, len(ids), size))]
             frame = pd.DataFrame(out, columns=["doc_id", "piece", "ids"])
             frame["doc_id"] = frame["doc_id"].astype(f["doc_id"].dtype)
@@ -68,10 +76,11 @@ def materialise(
 
     A document is its ids and the id ``end``, cut into sequences of ``size``; a shorter one is filled up with
     ``end`` to the fixed size. Sequences are numbered densely, the keyed permutation of the number is the
-    global slot. Every ``shard_records`` slots make a shard, one row (shard, first_slot, stride, data, ids of
+    global slot. Every ``shard_records`` slots make a shard, one row (shard, first_slot, slots, stride, width, data, ids of
     the documents, pieces, lengths, crc32): the record of a slot starts at ``stride * (slot - first_slot)`` in
-    ``data``. Ranges of shards are the write's tasks, so a lost one is written again alone, and a reader
-    can go on from any slot (``read_from``). The same tables, settings and key give the same order.
+    ``data``, and an id takes ``width`` bytes, 2 or 4 as the vocabulary asks for. Ranges of shards are the write's tasks, so a
+    lost one is written again alone, and a reader can go on from any slot (``read_from``). The same files, read in the
+    same split, give the same order; a table that is split otherwise gives another one.
 
     Null and empty texts are a sequence of the end token; repeated rows are written once each; null doc_ids are
     kept; other columns are not read; an empty table gives no shards.
@@ -94,7 +103,7 @@ def materialise(
     numbered = join_small(cut.withColumn("task", F.shiftrightunsigned("row", 33)), base, ["task"], 32, "inner")
     placed = numbered.select(slot(F.col("start") + F.col("row").bitwiseAND((1 << 33) - 1)).alias("slot"), "doc_id", "piece", "ids")
     ranged = placed.repartitionById(parts, F.expr(f"cast(slot div {shard_records * per_part} as int)")).sortWithinPartitions("slot")
-    kind = dict(docs.dtypes)[id_column]
+    kind, numbers = dict(docs.dtypes)[id_column], np.dtype(id_type(tokenizer, end))
 
     def assemble(frames):
         held = []
@@ -108,26 +117,35 @@ def materialise(
             yield one(held)
 
     def one(held):
-        data = b"".join(np.r_[np.frombuffer(r[3], "<u2"), np.full(size - len(r[3]) // 2, end, "<u2")].astype("<u2").tobytes() for r in held)
+        width = numbers.itemsize
+        filler = np.full(size, end, numbers).tobytes()
+        data = b"".join(r[3] + filler[len(r[3]) :] for r in held)
         return pd.DataFrame({
-            "shard": [held[0][0] // shard_records], "first_slot": [held[0][0]], "stride": [2 * size], "data": [data],
-            "doc_ids": [[None if pd.isna(r[1]) else r[1] for r in held]], "pieces": [[r[2] for r in held]], "lengths": [[len(r[3]) // 2 for r in held]], "crc32": [zlib.crc32(data)],
+            "shard": [held[0][0] // shard_records], "first_slot": [held[0][0]], "slots": [shard_records], "stride": [width * size], "width": [width], "data": [data],
+            "doc_ids": [[None if pd.isna(r[1]) else r[1] for r in held]], "pieces": [[r[2] for r in held]], "lengths": [[len(r[3]) // width for r in held]], "crc32": [zlib.crc32(data)],
         })
 
     ranged.mapInPandas(
-        assemble, f"shard long, first_slot long, stride int, data binary, doc_ids array<{kind}>, pieces array<int>, lengths array<int>, crc32 long"
+        assemble, f"shard long, first_slot long, slots int, stride int, width int, data binary, doc_ids array<{kind}>, pieces array<int>, lengths array<int>, crc32 long"
     ).write.option("compression", "zstd").parquet(path)
 
 
 def read_from(spark: SparkSession, path: str, slot: int = 0) -> DataFrame:
-    """Records (slot, shard, at, doc_id, piece, length, ids binary) from ``slot`` on; earlier shards are not read."""
-    shards = spark.read.parquet(path).where(F.col("first_slot") + F.size("lengths") > slot)
-    flat = shards.select("shard", "first_slot", "stride", "data", "doc_ids", "pieces", F.posexplode("lengths").alias("n", "length"))
+    """Records (slot, shard, at, doc_id, piece, length, width, ids binary) from ``slot`` on.
+
+    The bound on first_slot is a plain number, taken from the size of the shards, so files and row groups of earlier shards are
+    skipped by their statistics.
+    """
+    shards = spark.read.parquet(path)
+    whole = shards.select("slots").first() if slot else None
+    if whole:
+        shards = shards.where(F.col("first_slot") > slot - whole["slots"])
+    flat = shards.select("shard", "first_slot", "stride", "width", "data", "doc_ids", "pieces", F.posexplode("lengths").alias("n", "length"))
     at = F.col("n") * F.col("stride")
     return flat.select(
         (F.col("first_slot") + F.col("n")).alias("slot"), "shard", at.cast("long").alias("at"),
-        F.get("doc_ids", F.col("n")).alias("doc_id"), F.get("pieces", F.col("n")).alias("piece"), "length",
-        F.substring("data", at + 1, F.col("length") * 2).alias("ids"),
+        F.get("doc_ids", F.col("n")).alias("doc_id"), F.get("pieces", F.col("n")).alias("piece"), "length", "width",
+        F.substring("data", at + 1, F.col("length") * F.col("width")).alias("ids"),
     ).where(F.col("slot") >= slot)
 
 
@@ -136,6 +154,6 @@ def read_shards(rows: list, order: bool = True) -> Iterator[tuple[int, np.ndarra
     for r in sorted(rows, key=lambda r: r["first_slot"]) if order else rows:
         if zlib.crc32(r["data"]) != r["crc32"]:
             raise ValueError(f"shard {r['shard']} is damaged")
-        ids = np.frombuffer(r["data"], "<u2").reshape(-1, r["stride"] // 2)
+        ids = np.frombuffer(r["data"], f"<u{r['width']}").reshape(-1, r["stride"] // r["width"])
         for i, length in enumerate(r["lengths"]):
             yield r["first_slot"] + i, ids[i, :length]

@@ -1,6 +1,7 @@
 import numpy as np
 import public_tokenizers
-from tokenizers import Tokenizer
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer, models, pre_tokenizers
 
 from chartframes.llm import binary, queries
 from chartframes.llm.common import scratch_folder
@@ -63,3 +64,26 @@ def test_odd_rows(spark):
     assert lengths == [("1", 1), ("2", 1), ("3", 2), ("3", 2), ("None", 2)]
     assert len(read) == 5 + 30
     assert round_trip(spark, df.limit(0), 1024, 8)[1] == []
+
+
+def test_wide_vocabulary_keeps_its_ids(spark, tmp_path):
+    words = {f"w{i}": i for i in range(70_000)} | {"[UNK]": 70_000}
+    tokenizer = Tokenizer(models.WordLevel(words, unk_token="[UNK]"))
+    tokenizer.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    tokenizer.save(str(tmp_path / "wide.json"))
+    df = spark.createDataFrame([(1, "w3 w65536 w69999"), (2, "w65535")], "doc_id long, text string")
+    binary.materialise(df, str(tmp_path / "out"), str(tmp_path / "wide.json"), size=8, end=5)
+    rows = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert {r["width"] for r in rows} == {4} and {r["stride"] for r in rows} == {32}
+    assert sorted(ids.tolist() for _, ids in binary.read_shards(rows)) == [[3, 65536, 69999, 5], [65535, 5]]
+    found = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in binary.read_from(spark, str(tmp_path / "out")).collect()}
+    assert found == {1: [3, 65536, 69999, 5], 2: [65535, 5]}
+
+
+def test_later_slots_skip_earlier_shards(spark):
+    docs = spark.range(300).select(F.col("id").alias("doc_id"), F.lit("a few words").alias("text"))
+    path, rows, read = round_trip(spark, docs, 64, 8)
+    found = binary.read_from(spark, path, 100)
+    scan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters" in scan and "GreaterThan(first_slot,92)" in scan
+    assert sorted(r.slot for r in found.collect()) == list(range(100, len(read)))
