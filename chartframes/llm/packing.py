@@ -12,13 +12,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from chartframes.llm.common import pin, take
+from chartframes.llm.common import frugal, pin, take
 
 CAPACITY = 2048
 #: Parts of texts whose tokens a worker remembers, in each of two generations.
 CACHE_PARTS = 150_000
-#: Numbers of pieces of one length are dealt in this many parts, so that no task numbers a whole length.
-PARTS = 64
+#: Pieces of one length are numbered in parts of about so many, so that no task numbers a whole length.
+PART_ROWS = 100_000
 
 #: A word of Latin-1 letters with or without stops after it. These letters have one form each in NFC.
 _PLAIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,]*)")
@@ -125,7 +125,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end:
             frame["doc_id"] = frame["doc_id"].astype(f["doc_id"].dtype)
             yield frame
 
-    return docs.mapInPandas(cut, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, ids binary")
+    return docs.mapInPandas(frugal(cut), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, ids binary")
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
@@ -219,12 +219,14 @@ def places(patterns: list[tuple[tuple[int, ...], int]]) -> dict[int, np.ndarray]
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """``pieces`` (a pinned table with doc_id, piece, length) with columns sequence_id and offset.
 
-    Only the counts of the lengths, at most ``capacity`` numbers, reach the driver, and so does the plan. Pieces of
-    a length are numbered in ``PARTS`` parts by hash, each from where the parts before it end.
+    Only the counts of the lengths, at most ``capacity`` numbers, and of their parts reach the driver, and so does the plan.
+    A length has as many parts by hash as its count asks for; its pieces are numbered in each from where the parts before it end.
     """
-    part = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(PARTS)).cast("int")
+    total = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
+    parts = F.lit([max(-(-total.get(x, 0) // PART_ROWS), 1) for x in range(capacity + 1)])
+    part = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.element_at(parts, (F.col("length") + 1).cast("int"))).cast("int")
     pieces = pieces.withColumn("__part", part)
-    found = pieces.groupBy("length", "__part").count().collect()  # capacity * PARTS rows at most
+    found = pieces.groupBy("length", "__part").count().collect()  # rows / PART_ROWS + capacity rows at most
     counts: dict[int, int] = {}
     base: dict[tuple[int, int], int] = {}
     for r in sorted(found, key=lambda r: (r["length"], r["__part"])):

@@ -51,6 +51,14 @@ def test_odd_rows(spark):
     assert packing.pack_documents(df.limit(0), PATH).collect() == []
 
 
+def test_lengths_are_numbered_in_as_many_parts_as_they_need(spark, monkeypatch):
+    monkeypatch.setattr(packing, "PART_ROWS", 3)
+    rows = [(i, "one two" if i % 3 else "w " * (i + 1)) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    used, least = check(packing.pack_documents(df, PATH, 64).collect(), rows, 64)
+    assert used <= least + 1
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.dictionaries(st.integers(1, 64), st.integers(1, 500), max_size=25))
 def test_plan_uses_every_piece_once(counts):
