@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chartframes.llm.common import join_small, pin, take
+from chartframes.llm.common import frugal, join_small, pin, take
 from chartframes.llm.packing import BYTE_LETTERS
 
 #: Bytes of text that are aligned together; a longer text is aligned alone.
@@ -256,7 +256,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, id_column: str = "doc_id",
                 yield pa.RecordBatch.from_pydict({"doc_id": ids} | {c: found[c] for c in [*numbers, "groups_sha256", *lists]})
 
     schema = ", ".join([f"doc_id {kind}", *[f"{c} long" for c in numbers], "groups_sha256 string", *[f"{c} array<long>" for c in lists]])
-    return plain.mapInArrow(run, schema)
+    return plain.mapInArrow(frugal(run), schema)
 
 
 def pair_counts(aligned: DataFrame, size_b: int) -> DataFrame:

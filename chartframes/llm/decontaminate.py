@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chartframes.llm.common import pin, take, without_rows
+from chartframes.llm.common import frugal, pin, take, without_rows
 
 WINDOW = 10
 SHINGLE = 3
@@ -148,7 +148,7 @@ def shingle_counts(docs: DataFrame, found: DataFrame) -> DataFrame:
                 seen = total[size] > 0
                 yield pd.DataFrame({"shingle": [x for x, s in zip(label, seen, strict=True) if s], "n": total[size][seen]})
 
-        part = docs.select("text").mapInPandas(count, "shingle binary, n long")
+        part = docs.select("text").mapInPandas(frugal(count), "shingle binary, n long")
         counts = part if counts is None else counts.unionByName(part)
     if counts is None:
         return shingles.select("shingle", F.lit(0).cast("long").alias("n"))
@@ -206,7 +206,7 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> li
                 found_ = pd.DataFrame(digests, columns=_DIGEST_NAMES) if alone else pd.DataFrame({"runs": runs, "items": items})
                 yield pd.concat([f[["key"]].reset_index(drop=True), pd.DataFrame({"n_words": n}), found_], axis=1)
 
-        out.append(docs.mapInPandas(search, f"key {kind}, n_words long, {_DIGEST if alone else 'runs binary, items array<long>'}"))
+        out.append(docs.mapInPandas(frugal(search), f"key {kind}, n_words long, {_DIGEST if alone else 'runs binary, items array<long>'}"))
     if out:
         return out
 

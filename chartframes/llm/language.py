@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chartframes.llm.common import labelled_sample, take
+from chartframes.llm.common import give_back, labelled_sample, take
 
 #: Families of languages that are close to each other; any other language is a family of its own.
 FAMILIES = {
@@ -160,7 +160,9 @@ def predictor(docs: DataFrame, model: Model):
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([shared.value.predict(t) for t in texts], columns=["lang_pred", "score"])
+        out = pd.DataFrame([shared.value.predict(t) for t in texts], columns=["lang_pred", "score"])
+        give_back()
+        return out
 
     return predict
 

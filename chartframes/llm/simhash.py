@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chartframes.llm.common import components, pin, take, without_rows
+from chartframes.llm.common import components, give_back, pin, take, without_rows
 
 BITS = 64
 SEED = 42
@@ -20,7 +20,9 @@ STEP = 4
 #: A pair of nodes with no more fingerprints than this is finished inside one task.
 NODE_PAIR_ROWS = 65_536
 #: Node pairs that a task walks at once; beyond it the walk goes depth first.
-FRONTIER = 1 << 19
+FRONTIER = 1 << 17
+#: Pairs of fingerprints that a task compares at once.
+COMPARED = 1 << 20
 
 
 def fingerprint(text: str | None, size: int = 3) -> int:
@@ -52,7 +54,27 @@ def fingerprint(text: str | None, size: int = 3) -> int:
 
 @F.pandas_udf(T.LongType())
 def text_fingerprint(texts: pd.Series) -> pd.Series:
-    return pd.Series([fingerprint(x) for x in texts], dtype="int64")
+    out = pd.Series([fingerprint(x) for x in texts], dtype="int64")
+    give_back()
+    return out
+
+
+def _compare(left, right, a0, a1, b0, b1, budget: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Near pairs between the ranges of small nodes, portion by portion; each range holds few fingerprints."""
+    sizes = (a1 - a0) * (b1 - b0)
+    upto = np.cumsum(sizes)
+    cuts = np.unique(np.searchsorted(upto, np.arange(COMPARED, upto[-1], COMPARED)))
+    for own in np.split(np.arange(len(sizes)), cuts):
+        size = sizes[own]
+        which = np.repeat(own, size)
+        nth = np.arange(len(which)) - np.repeat(np.cumsum(size) - size, size)
+        width = (b1 - b0)[which]
+        i, j = a0[which] + nth // width, b0[which] + nth % width
+        near = np.bitwise_count(left[i] ^ right[j]) <= budget
+        if left is right:
+            near &= i < j
+        if near.any():
+            yield i[near], j[near]
 
 
 def walk(left: np.ndarray, right: np.ndarray, depth: int, used: int, budget: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -72,17 +94,7 @@ def walk(left: np.ndarray, right: np.ndarray, depth: int, used: int, budget: int
         a0, a1, b0, b1, used_ = node
         small = ((a1 - a0) * (b1 - b0) <= 64) | (depth == BITS)
         if small.any():
-            s0, s1, t0, t1 = (x[small] for x in (a0, a1, b0, b1))
-            sizes = (s1 - s0) * (t1 - t0)
-            which = np.repeat(np.arange(len(sizes)), sizes)
-            nth = np.arange(len(which)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            width = (t1 - t0)[which]
-            i, j = s0[which] + nth // width, t0[which] + nth % width
-            near = np.bitwise_count(left[i] ^ right[j]) <= budget
-            if same:
-                near &= i < j
-            if near.any():
-                yield i[near], j[near]
+            yield from _compare(left, right, *(x[small] for x in (a0, a1, b0, b1)), budget)
             a0, a1, b0, b1, used_ = node[:, ~small]
         if not len(a0):
             continue
@@ -130,6 +142,7 @@ def _forest(rows: pd.DataFrame, budget: int) -> pd.DataFrame:
                 kept.append((a, b))
     ends = np.array(kept, np.int64).reshape(-1, 2)
     found = names.view(np.int64)[ends]
+    give_back()
     return pd.DataFrame({"a": found[:, 0], "b": found[:, 1]})
 
 

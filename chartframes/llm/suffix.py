@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chartframes.llm.common import join_small, payload_bytes, pin
+from chartframes.llm.common import frugal, give_back, join_small, payload_bytes, pin
 
 SEED_BYTES = 16
 #: Text that a task ranks at once, and window starts per piece of a longer text.
@@ -328,12 +328,12 @@ def repeated_runs(docs: DataFrame, width: int = 50) -> DataFrame:
     sent = "rank long, side long, whole long, doc long, tie long, place long"
 
     def ranked(rows: DataFrame) -> DataFrame:
-        return rows.repartition("rank").sortWithinPartitions("rank", "whole", "doc").mapInArrow(_settle(width), _RUN)
+        return rows.repartition("rank").sortWithinPartitions("rank", "whole", "doc").mapInArrow(frugal(_settle(width)), _RUN)
 
-    settled = pin(ranked(docs.mapInArrow(_send_anchors(width), sent)))
+    settled = pin(ranked(docs.mapInArrow(frugal(_send_anchors(width)), sent)))
     open_ = pin(_blobs(settled.where("kind = 1").select("doc", "tie", "first", "stop")))
     left = join_small(docs, open_, ["doc", "tie"], payload_bytes(open_, "runs"), "inner")
-    again = ranked(left.mapInArrow(_send_windows(width), sent))
+    again = ranked(left.mapInArrow(frugal(_send_windows(width)), sent))
     runs = settled.unionByName(again).where("kind = 0").select("doc", "tie", "first", "stop")
     return pin(_blobs(runs))
 
@@ -370,6 +370,7 @@ def remove_repeats(
             kept = b"".join(parts)
             plain_text = "".join(p.decode("utf-8", "ignore") for p in parts)
             out.append((kept, plain_text, len(text), len(text) - len(kept), len(spans), hashlib.sha256(kept).hexdigest()))
+        give_back()
         return pd.DataFrame(out, columns=["kept", "kept_text", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     joined = join_small(keyed, runs, ["doc", "tie"], payload_bytes(runs, "runs"))
