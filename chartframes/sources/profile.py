@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from chartframes.columns import col
 from chartframes.operators.columns import pick
+from chartframes.operators.selection import Pick, refined_quantiles
 
 
 def profile(df: DataFrame) -> DataFrame:
@@ -43,6 +44,25 @@ def distinct_counts(df: DataFrame, names: list[str]) -> DataFrame:
     return values.groupBy("column").agg(F.count("*").alias("distinct"))
 
 
+def describe(df: DataFrame) -> DataFrame:
+    """``profile`` with exact quartiles, median and number of distinct values of each column.
+
+    Quartiles are elements (nearest rank), the median interpolates; they are there for numbers, without NaN. Ranks are found by
+    refinement and distinct values are counted in long form, so no task holds a column; ``sketches`` estimates both in one
+    pass. ``df`` is read several times.
+    """
+    numeric = pick(df, "numeric")
+    clean = df.select(*[F.when(~F.isnan(col(n).cast("double")), col(n)).alias(n) for n in numeric])
+    names = ("q1", "median", "q3")
+    picks = {f"{k}_{i}": Pick(n, q, m) for i, n in enumerate(numeric) for k, q, m in zip(names, (0.25, 0.5, 0.75), ("nearest", "linear", "nearest"), strict=True)}
+    out = profile(df).join(distinct_counts(df, [n for n, kind in df.dtypes if "<" not in kind]), "column", "left")
+    if not numeric:
+        return out.withColumns({n: F.lit(None).cast("double") for n in names})
+    found = refined_quantiles(clean, None, picks)
+    each = [F.struct(F.lit(n).alias("column"), *[col(f"{k}_{i}").cast("double").alias(k) for k in names]) for i, n in enumerate(numeric)]
+    return out.join(found.select(F.inline(F.array(*each))), "column", "left").withColumn("distinct", F.coalesce("distinct", F.lit(0)))
+
+
 def sample_n(df: DataFrame, n: int, key: str, seed: int = 0) -> DataFrame:
     """``n`` rows, or all if there are fewer: those with the smallest MD5 of seed and ``key``, which has to be unique.
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from chartframes.operators.fit import distribution, histogram, poly_eval, poly_fit
+from chartframes.operators.fit import density, distribution, histogram, histogram_dates, histogram_round, poly_eval, poly_fit
 from chartframes.operators.quantiles import iqr_fences
 from chartframes.plans import reference_means
 from chartframes.sources.tables import literal_table
@@ -46,10 +46,29 @@ def m01_quadratic(t):
     return out.withColumns(rounded("c0", "c1", "c2", digits=2))
 
 
-@check("m02_fit_degree_5")
+def _orthogonal(degree: int) -> str:
+    """The fit on a grid of 50 points, in SQL: each polynomial from the two before it, so that all are orthogonal over the data."""
+    out = """WITH e AS (SELECT min(l_quantity) AS lo, max(l_quantity) AS hi FROM lineitem),
+       d AS (SELECT (2 * l_quantity - lo - hi) / (hi - lo) AS t, count(*)::DOUBLE AS n, sum(l_extendedprice) AS sy, NULL::DOUBLE AS x FROM lineitem, e GROUP BY ALL
+         UNION ALL SELECT (2 * (lo + i * (hi - lo) / 49) - lo - hi) / (hi - lo), 0, 0, lo + i * (hi - lo) / 49 FROM e, range(50) AS g(i)),
+       s0 AS (SELECT *, 1::DOUBLE AS p, 0::DOUBLE AS before, 1::DOUBLE AS norm, 0::DOUBLE AS y FROM d)"""
+    for k in range(degree + 1):
+        out += f""",
+       m{k} AS (SELECT sum(n * t * p * p) / sum(n * p * p) AS a, sum(n * p * p) AS q, sum(sy * p) / sum(n * p * p) AS c FROM s{k}),
+       s{k + 1} AS (SELECT t, n, sy, x, (t - a) * p - {"0" if k == 0 else "q / norm"} * before AS p, p AS before, q AS norm, y + c * p AS y FROM s{k}, m{k})"""
+    return out + f" SELECT round(x, 6) AS x, round(y, 4) AS y FROM s{degree + 1} WHERE x IS NOT NULL"
+
+
+@check("m02_fit_degree_5", _orthogonal(5))
 def m02(t):
     fit = poly_fit(t.lineitem, "l_quantity", "l_extendedprice", 5)
-    return poly_eval(t.spark, fit, 50)
+    return poly_eval(t.spark, fit, 50).select(F.round("x", 6).alias("x"), F.round("y", 4).alias("y"))
+
+
+@check("m02_fit_degree_12", _orthogonal(12))
+def m02_steep(t):
+    fit = poly_fit(t.lineitem, "l_quantity", "l_extendedprice", 12)
+    return poly_eval(t.spark, fit, 50).select(F.round("x", 6).alias("x"), F.round("y", 4).alias("y"))
 
 
 @check(
@@ -112,6 +131,49 @@ def m04_outside(t):
     return histogram(t.orders, "o_totalprice", 100000.0, 300000.0, 4)
 
 
+@check(
+    "m04_histogram_round",
+    """WITH e AS (SELECT min(o_totalprice) AS lo, max(o_totalprice) AS hi FROM orders),
+       w AS (SELECT min(step) AS step FROM (SELECT unnest([1, 2, 5, 10, 20, 50, 100]) * pow(10, floor(log10((hi - lo) / 15))) AS step, lo, hi FROM e)
+         WHERE floor(hi / step) - floor(lo / step) + 1 <= 15),
+       c AS (SELECT CAST(floor(o_totalprice / step) AS BIGINT) AS place, count(*) AS n FROM orders, w GROUP BY 1)
+       SELECT p - CAST(floor(lo / step) AS BIGINT) AS bin, p * step AS low, (p + 1) * step AS high, coalesce(n, 0) AS n
+       FROM (SELECT unnest(range(CAST(floor(lo / step) AS BIGINT), CAST(floor(hi / step) AS BIGINT) + 1)) AS p, lo, step FROM e, w) LEFT JOIN c ON place = p""",
+)
+def m04_round(t):
+    return histogram_round(t.orders, "o_totalprice", 15)
+
+
+@check(
+    "m04_histogram_dates",
+    """WITH m AS (SELECT year(o_orderdate) * 12 + month(o_orderdate) - 1 AS month FROM orders),
+       e AS (SELECT min(month) AS lo, max(month) AS hi FROM m),
+       w AS (SELECT min(step) AS step FROM (SELECT unnest([1, 3, 6, 12, 24, 60, 120]) AS step, lo, hi FROM e) WHERE hi // step - lo // step + 1 <= 30),
+       c AS (SELECT month // step AS place, count(*) AS n FROM m, w GROUP BY 1)
+       SELECT CAST(make_date(p * step // 12, p * step % 12 + 1, 1) AS VARCHAR) AS low, CAST(make_date((p + 1) * step // 12, (p + 1) * step % 12 + 1, 1) AS VARCHAR) AS high, coalesce(n, 0) AS n
+       FROM (SELECT unnest(range(lo // step, hi // step + 1)) AS p, step FROM e, w) LEFT JOIN c ON place = p""",
+)
+def m04_dates(t):
+    return histogram_dates(t.orders, "o_orderdate", 30).withColumns({n: F.col(n).cast("string") for n in ("low", "high")})
+
+
+@check(
+    "m05_density",
+    """WITH s AS (SELECT o_orderpriority, min(o_totalprice) AS lo, max(o_totalprice) AS hi, count(*) AS n,
+         0.9 * least(stddev_samp(o_totalprice), (quantile_cont(o_totalprice, 0.75) - quantile_cont(o_totalprice, 0.25)) / 1.34) * pow(count(*), -0.2) AS bw FROM orders GROUP BY 1),
+       g AS (SELECT *, lo - 2 * bw AS start, (hi - lo + 4 * bw) / 127 AS step FROM s),
+       p AS (SELECT o_orderpriority, (o_totalprice - start) / step AS place FROM orders JOIN g USING (o_orderpriority)),
+       b AS (SELECT o_orderpriority, bin, sum(weight) AS weight FROM (
+         SELECT o_orderpriority, floor(place) AS bin, 1 - (place - floor(place)) AS weight FROM p UNION ALL SELECT o_orderpriority, floor(place) + 1, place - floor(place) FROM p) GROUP BY ALL)
+       SELECT o_orderpriority, point, round(start + point * step, 4) AS x, round(bw, 4) AS bandwidth,
+         round(sum(weight * exp(-pow((point - bin) * step / bw, 2) / 2)) / (n * bw * sqrt(2 * pi())), 12) AS density
+       FROM b JOIN g USING (o_orderpriority), range(128) AS r(point) GROUP BY o_orderpriority, point, start, step, n, bw""",
+)
+def m05_density(t):
+    curve = density(t.orders, "o_totalprice", "o_orderpriority")
+    return curve.withColumns(rounded("x", "bandwidth", digits=4) | rounded("density", digits=12))
+
+
 @check(
     "m05_distribution",
     """WITH r AS (SELECT p_type, p_retailprice, row_number() OVER (PARTITION BY p_type ORDER BY p_retailprice) AS rn,

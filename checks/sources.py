@@ -1,5 +1,6 @@
 """S: sources and sinks."""
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from chartframes.operators.aggregate import sums
@@ -7,6 +8,8 @@ from chartframes.operators.columns import pick
 from chartframes.session import scratch_path
 from chartframes.sources import (
     cached_source,
+    describe,
+    infer_types,
     mapping_table,
     profile,
     read_csv,
@@ -31,6 +34,51 @@ def s01(t):
     return read_csv(t.spark, path, t.customer.schema.simpleString()[len("struct<"):-1].replace(":", " "))
 
 
+@check(
+    "s01_infer_types",
+    """WITH k AS (SELECT MAP {'BIGINT': 'bigint', 'INTEGER': 'bigint', 'DOUBLE': 'double', 'VARCHAR': 'string', 'BOOLEAN': 'boolean', 'DATE': 'date', 'TIMESTAMP': 'timestamp'} AS m),
+       o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN o_custkey END AS gaps, o_totalprice, o_orderstatus, CAST(o_orderdate AS DATE) AS day,
+         CAST(o_orderdate AS TIMESTAMP) AS moment, o_totalprice > 100000 AS late, CASE WHEN o_orderkey = 7 THEN 'x' ELSE CAST(o_custkey AS VARCHAR) END AS mixed,
+         CASE WHEN false THEN 'x' END AS nothing, CASE WHEN o_orderkey % 2 = 0 THEN 1.5::DOUBLE ELSE 2 END AS either FROM orders)
+       SELECT 'o_orderkey' AS "column", any_value(m[typeof(o_orderkey)]) AS type, count(o_orderkey) AS cells, count(*) AS rows FROM o, k
+       UNION ALL SELECT 'gaps', any_value(m[typeof(gaps)]), count(gaps), count(*) FROM o, k
+       UNION ALL SELECT 'o_totalprice', any_value(m[typeof(o_totalprice)]), count(o_totalprice), count(*) FROM o, k
+       UNION ALL SELECT 'o_orderstatus', any_value(m[typeof(o_orderstatus)]), count(o_orderstatus), count(*) FROM o, k
+       UNION ALL SELECT 'day', any_value(m[typeof(day)]), count(day), count(*) FROM o, k
+       UNION ALL SELECT 'moment', any_value(m[typeof(moment)]), count(moment), count(*) FROM o, k
+       UNION ALL SELECT 'late', any_value(m[typeof(late)]), count(late), count(*) FROM o, k
+       UNION ALL SELECT 'mixed', any_value(m[typeof(mixed)]), count(mixed), count(*) FROM o, k
+       UNION ALL SELECT 'nothing', any_value(m[typeof(nothing)]), count(nothing), count(*) FROM o, k
+       UNION ALL SELECT 'either', any_value(m[typeof(either)]), count(either), count(*) FROM o, k""",
+)
+def s01_types(t):
+    key, price = F.col("o_orderkey"), F.col("o_totalprice")
+    columns = {
+        "o_orderkey": key, "gaps": F.when(key % 3 == 0, F.col("o_custkey")), "o_totalprice": price, "o_orderstatus": F.col("o_orderstatus"), "day": F.col("o_orderdate").cast("date"),
+        "moment": F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"), "late": price > 100000, "mixed": F.when(key == 7, "x").otherwise(F.col("o_custkey").cast("string")),
+        "nothing": F.lit(None).cast("string"), "either": F.when(key % 2 == 0, "1.5").otherwise("2"),
+    }
+    path = scratch_path(t.spark, "types")
+    write_csv(t.orders.select(*[c.alias(n) for n, c in columns.items()]), path)
+    return infer_types(read_csv(t.spark, path))
+
+
+@check(
+    "s02_lost_cells",
+    """SELECT 'price' AS "column", count(*) FILTER (o_orderpriority LIKE '1%' OR o_orderpriority LIKE '2%') AS lost, count(*) AS rows FROM orders
+       UNION ALL SELECT 'day', count(*) FILTER (o_orderstatus = 'F'), count(*) FROM orders""",
+)
+def s02_lost(t):
+    price = F.when(F.col("o_orderpriority").startswith("1"), "n/a").when(F.col("o_orderpriority").startswith("2"), "12 orders").otherwise(F.col("o_totalprice").cast("string"))
+    day = F.when(F.col("o_orderstatus") == "F", "soon").when(F.col("o_orderstatus") == "O", F.date_format("o_orderdate", "yyyy-MM-dd"))
+    path, lost = scratch_path(t.spark, "lost"), Observation()
+    write_csv(t.orders.select("o_orderkey", price.alias("price"), day.alias("day")), path)
+    kept = read_lenient(t.spark, path, {"price": "double", "day": "date"}, lost)
+    kept = cached_source(t.spark, scratch_path(t.spark, "kept"), lambda: kept)  # the one pass over the file
+    counts = mapping_table(t.spark, dict(lost.get), "column", "lost")
+    return counts.join(kept.agg(F.count("*").alias("rows")), how="cross")
+
+
 @check(
     "s02_read_lenient",
     """SELECT o_orderkey, TRY_CAST(CASE WHEN o_orderpriority LIKE '1%' THEN 'n/a' WHEN o_orderpriority LIKE '2%'
@@ -150,6 +198,23 @@ def s09(t):
     return out.withColumns(rounded("mean", "std", digits=4))
 
 
+@check(
+    "s09_describe",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", '{k}' AS type, count({c}) AS count, count(*) - count({c}) AS nulls, CAST(min({c}) AS VARCHAR) AS min, CAST(max({c}) AS VARCHAR) AS max,
+        {f'round(avg({c}), 4)' if n else 'NULL::DOUBLE'} AS mean, {f'round(stddev({c}), 4)' if n else 'NULL::DOUBLE'} AS std, count(DISTINCT {c}) AS "distinct",
+        {f'(SELECT max({c}) FILTER (rn = floor(0.25 * (n - 1) + 0.5) + 1) FROM (SELECT {c}, row_number() OVER (ORDER BY {c}) AS rn, count(*) OVER () AS n FROM p WHERE {c} IS NOT NULL))::DOUBLE' if n else 'NULL::DOUBLE'} AS q1,
+        {f'round(median({c}), 6)' if n else 'NULL::DOUBLE'} AS median,
+        {f'(SELECT max({c}) FILTER (rn = floor(0.75 * (n - 1) + 0.5) + 1) FROM (SELECT {c}, row_number() OVER (ORDER BY {c}) AS rn, count(*) OVER () AS n FROM p WHERE {c} IS NOT NULL))::DOUBLE' if n else 'NULL::DOUBLE'} AS q3
+        FROM p"""
+        for c, k, n in [("p_partkey", "bigint", True), ("p_type", "string", False), ("p_size", "int", True), ("p_retailprice", "double", True), ("rare", "int", True)]
+    ).join(["WITH p AS (SELECT p_partkey, p_type, p_size, p_retailprice, CASE WHEN p_size > 40 THEN p_size END AS rare FROM part) ", ""]),
+)
+def s09_describe(t):
+    part = t.part.select("p_partkey", "p_type", "p_size", "p_retailprice", F.when(F.col("p_size") > 40, F.col("p_size")).alias("rare"))
+    return describe(part).withColumns(rounded("mean", "std", digits=4) | rounded("median"))
+
+
 @check("s09_sample_n", "SELECT * FROM customer ORDER BY md5('42-' || c_custkey), c_custkey LIMIT 100")
 def s09_sample_n(t):
     return sample_n(t.customer, 100, "c_custkey", 42)

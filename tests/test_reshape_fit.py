@@ -1,5 +1,6 @@
 """Reshaping, column choice and fits."""
 
+import math
 import numpy as np
 import pytest
 from pyspark.errors import PySparkException
@@ -14,7 +15,8 @@ from chartframes.operators.columns import (
     rename,
     sort_columns,
 )
-from chartframes.operators.fit import distribution, histogram, poly_eval, poly_fit
+from chartframes.operators import fit as fits
+from chartframes.operators.fit import density, distribution, histogram, histogram_dates, histogram_round, poly_eval, poly_fit, round_step
 from chartframes.operators.reshape import pivot_count, pivot_strict, pivot_sum, pivot_values, transpose, unpivot
 from tests.conftest import rows
 
@@ -106,3 +108,65 @@ def test_distribution(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("a", None), ("b", 5.0)], "k string, v double")
     out = distribution(df, "v", "k").select("k", "n", "min", "median", "max", F.round("mean", 3))
     assert rows(out) == [("a", 2, 1.0, 2.0, 3.0, 2.0), ("b", 1, 5.0, 5.0, 5.0, 5.0)]
+
+
+def test_poly_fit_of_a_high_degree_keeps_its_digits(spark, monkeypatch):
+    monkeypatch.setattr(fits, "MERGED", 3)  # several rounds of merging
+    x = [1e6 + i / 7 for i in range(3000)]
+    t = (np.array(x) - (x[0] + x[-1]) / 2) / ((x[-1] - x[0]) / 2)
+    y = np.polynomial.chebyshev.chebval(t, [3, -1, 0.5, 0, 2, 0, 0, 1, 0, 0, 0, 0, 0, 0, 0, 0.25])
+    df = spark.createDataFrame([(a, float(b)) for a, b in zip(x, y, strict=True)] + [(None, 1.0), (2.0, None)], "x double, y double").repartition(20)
+    fit = poly_fit(df, "x", "y", 15)
+    back = [r.v for r in df.dropna().orderBy("x").select(fit.at("x").alias("v")).collect()]
+    assert np.abs(np.array(back) - y).max() < 1e-9
+
+
+def test_poly_fit_with_too_few_points_goes_through_them(spark):
+    df = spark.createDataFrame([(0.0, 1.0), (2.0, 5.0)], "x double, y double")
+    fit = poly_fit(df, "x", "y", 4)
+    assert [r.v for r in df.orderBy("x").select(fit.at("x").alias("v")).collect()] == pytest.approx([1.0, 5.0])
+
+
+@pytest.mark.parametrize("low, high, wanted, step", [(0, 99, 10, 10), (3, 97, 10, 10), (0, 100, 10, 20), (0.02, 0.31, 7, 0.05), (-5, 5, 3, 5), (-5, 5, 2, 10), (7, 7, 5, 1), (1e-9, 3e-9, 4, 1e-9), (0, 1e12, 6, 2e11)])
+def test_round_steps(low, high, wanted, step):
+    assert round_step(low, high, wanted) == pytest.approx(step)
+    assert math.floor(high / step) - math.floor(low / step) + 1 <= wanted
+
+
+def test_round_histogram_of_odd_values(spark):
+    df = spark.createDataFrame([(v,) for v in (-0.5, 0.0, 1.99, 2.0, 9.0, None, math.nan, math.inf)], "x double")
+    found = [(r.low, r.high, r.n) for r in histogram_round(df, "x", 6).orderBy("bin").collect()]
+    assert found == [(-2, 0, 1), (0, 2, 2), (2, 4, 1), (4, 6, 0), (6, 8, 0), (8, 10, 1)]
+    assert histogram_round(df.where("x IS NULL"), "x").collect() == [] == histogram_dates(df.selectExpr("cast(null AS date) AS x"), "x").collect()
+    assert [tuple(r) for r in histogram_round(df.where("x = 9"), "x").collect()] == [(0, 9.0, 10.0, 1)]
+
+
+@pytest.mark.parametrize("first, last, low, high", [
+    ("2024-01-01", "2024-01-05", "2024-01-01", "2024-01-02"), ("2024-01-01", "2024-02-20", "2024-01-01", "2024-01-08"), ("2024-01-31", "2024-11-02", "2024-01-01", "2024-02-01"),
+    ("2022-02-10", "2024-06-01", "2022-01-01", "2022-04-01"), ("1789-07-14", "1870-09-04", "1780-01-01", "1790-01-01"), ("1969-12-31", "1970-01-01", "1969-12-31", "1970-01-01"),
+])
+def test_date_bins(spark, first, last, low, high):
+    df = spark.createDataFrame([(first,), (last,), (None,)], "d string").select(F.to_date("d").alias("d"))
+    found = [tuple(map(str, r)) for r in histogram_dates(df, "d", 12).orderBy("low").collect()]
+    assert found[0] == (low, high, "1") and len(found) <= 12 and sum(int(r[2]) for r in found) == 2
+    assert all(a[1] == b[0] for a, b in zip(found, found[1:], strict=False)) and found[-1][0] <= last < found[-1][1]
+
+
+def test_density_is_near_the_kernel_over_all_values(spark):
+    rng = np.random.default_rng(3)
+    values = {"a": rng.normal(5, 2, 400), "b": rng.exponential(3, 300), None: np.r_[rng.normal(0, 1, 50), 30.0]}
+    rows = [(k, float(v)) for k, x in values.items() for v in x] + [("one", 4.0), ("flat", 1.0), ("flat", 1.0), ("none", None), ("none", math.nan), ("a", math.inf)]
+    found = {}
+    for r in density(spark.createDataFrame(rows, "k string, v double"), "v", "k").collect():
+        found.setdefault(r.k, []).append(r)
+    assert found.keys() == {"a", "b", None, "one", "flat"}
+    for k, x in values.items():
+        curve = sorted(found[k], key=lambda r: r.point)
+        q1, q3 = np.quantile(x, [0.25, 0.75])
+        width = 0.9 * min(x.std(ddof=1), (q3 - q1) / 1.34) * len(x) ** -0.2
+        at = np.array([r.x for r in curve])
+        exact = np.exp(-(((at[:, None] - x) / width) ** 2) / 2).sum(1) / (len(x) * width * math.sqrt(2 * math.pi))
+        assert len(curve) == 128 and curve[0].bandwidth == pytest.approx(width)
+        assert np.abs(np.array([r.density for r in curve]) - exact).max() < 0.02 * exact.max()
+        assert sum(r.density for r in curve) * (at[1] - at[0]) == pytest.approx(1, abs=0.03)
+    assert [(r.x, r.density) for r in found["one"]] == [(4.0, None)] and [(r.x, r.density) for r in found["flat"]] == [(1.0, None)]
