@@ -95,6 +95,25 @@ def running_sum(
     )
 
 
+def numbered_sum(
+    df: DataFrame, keys, order_by, value: Name, number: str = "row_number", total: str = "running_sum", limit: int | None = TASK_ROWS
+) -> DataFrame:
+    """``row_number`` and ``running_sum`` together, from one sort and one join of what precedes a segment."""
+    keys = cols(keys)
+    if fits_one_task(df, keys, limit):
+        return running_sum(row_number(df, keys, order_by, number, None), keys, order_by, value, total, None)
+    df = df.withColumn("__summand", col(value))
+    kind = df.select(F.sum("__summand")).schema[0].dataType
+    segments = _segments(df, keys, order_by)
+    before = _before(segments, keys, __rows_before=F.count("*"), __earlier=F.coalesce(F.sum("__summand"), F.lit(0)))
+    frame = _partition([*keys, "__seg"]).orderBy("__pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = segments.withColumn("__local", F.when(F.col("__summand").isNotNull(), F.sum("__summand").over(frame)))
+    out = attach(local, before, [*keys, "__seg"], "__seg_rows").withColumns(
+        {number: F.col("__pos") - F.col("__first") + F.col("__rows_before") + 1, total: (F.col("__local") + F.col("__earlier")).cast(kind)}
+    )
+    return out.drop("__summand", "__pos", "__seg", "__local", "__first", "__seg_rows", "__rows_before", "__earlier")
+
+
 def running_count(df: DataFrame, keys, order_by, value: Name, name: str = "running_count", **kw) -> DataFrame:
     """Number of non-null ``value`` up to this row."""
     seen = F.when(col(value).isNotNull(), F.lit(1)).otherwise(F.lit(0))

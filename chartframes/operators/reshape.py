@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartframes.columns import col, cols
+from chartframes.operators.ordered import row_number
+from chartframes.operators.skew import attach
 from chartframes.session import pin
 
 
@@ -84,3 +88,75 @@ def transpose(df: DataFrame, names: str, header: str = "column", labels: list |
     values = [c for c in df.columns if c != names]
     long = unpivot(df, names, values, header, "__cell")
     return pivot_strict(long, header, names, "__cell", labels)
+
+
+#: Columns of a sparse pivot that one row holds at most.
+BLOCK = 10_000
+
+
+@dataclass(frozen=True)
+class SparsePivot:
+    """A pivot with any number of columns: their dictionary, and rows of the cells that are there.
+
+    ``columns`` is (number, value): the pivot's columns in order, null last, numbered from 0. ``rows`` is the index, ``block``, and two
+    arrays of equal length, ``numbers`` in ascending order and ``cells``; block b has the columns from b * size up to
+    the next block, so no row outgrows ``size`` cells, however many columns there are.
+    """
+
+    columns: DataFrame
+    rows: DataFrame
+    index: tuple[str, ...]
+    on: str
+    size: int
+
+    def long(self, cell: str = "cell") -> DataFrame:
+        """One row (index, on, cell) per cell that is there."""
+        each = self.rows.select(*[col(i) for i in self.index], F.inline(F.arrays_zip("numbers", "cells")))
+        named = self.columns.select(F.col("number").alias("numbers"), F.col("value").alias(self.on))
+        return each.join(named, "numbers").select(*[col(i) for i in self.index], col(self.on), F.col("cells").alias(cell))
+
+    def wide(self, values: list) -> DataFrame:
+        """The index and a column for each of some values, null where there is no cell; only their blocks are read.
+
+        The values' numbers reach the driver. Index rows without any of these cells are left out.
+        """
+        same = self.columns.where(F.col("value").isin([v for v in values if v is not None]) | (F.col("value").isNull() if None in values else F.lit(False)))
+        number = {r["value"]: r["number"] for r in same.collect()}
+        missing = [v for v in values if v not in number]
+        if missing:
+            raise ValueError(f"no columns of {self.on}: {missing}")
+        near = self.rows.where(F.col("block").isin(sorted({n // self.size for n in number.values()})))
+        at = {v: F.array_position("numbers", F.lit(n)) for v, n in number.items()}
+        cell = lambda v: F.when(at[v] > 0, F.try_element_at("cells", at[v].cast("int")))
+        names = _names(values)
+        found = near.select(*[col(i) for i in self.index], *[cell(v).alias(n) for v, n in zip(values, names, strict=True)])
+        out = found.groupBy(*[col(i) for i in self.index]).agg(*[F.max(col(n)).alias(n) for n in names])
+        return out.dropna("all", subset=names)
+
+    def write(self, path: str) -> None:
+        """Rows as Parquet in a folder for each block, so that a reader of a few columns opens theirs only; the dictionary beside them."""
+        self.columns.write.parquet(f"{path.rstrip('/')}/columns")
+        self.rows.write.partitionBy("block").parquet(f"{path.rstrip('/')}/rows")
+
+    @staticmethod
+    def read(spark: SparkSession, path: str, index, on: str, size: int = BLOCK) -> SparsePivot:
+        rows = spark.read.parquet(f"{path.rstrip('/')}/rows")
+        return SparsePivot(spark.read.parquet(f"{path.rstrip('/')}/columns"), rows.withColumn("block", F.col("block").cast("bigint")), tuple(cols(index)), on, size)
+
+
+def pivot_sparse(df: DataFrame, index, on: str, value: str, size: int = BLOCK) -> SparsePivot:
+    """Sum per cell, for more columns than a table may have.
+
+    Cells are combined before the shuffle and pinned; the values of ``on`` are numbered in order and brought to the cells by
+    broadcast while they are few, else by a join that splits hot ones. Only the cells that are there are kept. Neither the
+    values nor anything else reaches the driver.
+    """
+    index = cols(index)
+    cells = pin(df.groupBy(*[col(i) for i in index], col(on).alias("__on")).agg(F.sum(col(value)).alias("__cell")))
+    values = cells.groupBy(F.col("__on").alias("__on")).agg(F.count("*").alias("__cells"))
+    numbered = pin(row_number(values, None, F.col("__on").asc_nulls_last(), "__number").withColumn("__number", F.col("__number") - 1))
+    placed = attach(cells, numbered, "__on", "__cells").withColumn("block", F.floor(F.col("__number") / size))
+    pairs = F.array_sort(F.collect_list(F.struct(F.col("__number").alias("n"), F.col("__cell").alias("c"))))
+    rows = placed.groupBy(*[col(i) for i in index], "block").agg(pairs.alias("__pairs"))
+    rows = rows.select(*[col(i) for i in index], "block", F.col("__pairs.n").alias("numbers"), F.col("__pairs.c").alias("cells"))
+    return SparsePivot(numbered.select(F.col("__number").alias("number"), F.col("__on").alias("value")), rows, tuple(index), on, size)

@@ -27,6 +27,28 @@ def stack_tagged(tables: dict[str, DataFrame], tag: str) -> DataFrame:
     return stack(*[table.withColumn(tag, F.lit(label)) for label, table in tables.items()])
 
 
+def align_frames(frames: dict[str, DataFrame], on: str | list[str]) -> DataFrame:
+    """Several tables side by side: one row per label ``on`` that any of them has, null being a label too.
+
+    The other columns are called ``frame column`` with the frame's name in ``frames``, and are null where the frame lacks the
+    label. A label that a frame has twice fails the job. The tables are stacked and aggregated by label, so that n tables
+    take one shuffle instead of n - 1 outer joins with its own each.
+    """
+    keys = cols(on)
+    parts, seen = [], {}
+    for i, (name, frame) in enumerate(frames.items()):
+        others = [c for c in frame.columns if c not in keys]
+        seen[i] = {c: f"{name} {c}" for c in others}
+        row = F.struct(F.lit(True).alias("there"), *[col(c) for c in others])
+        parts.append(frame.select(*[col(k) for k in keys], row.alias(f"__{i}")))
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    one = [F.first(f"__{i}", ignorenulls=True).alias(f"__{i}") for i in seen]
+    met = stacked.groupBy(*[col(k) for k in keys]).agg(*one, *[F.count(f"__{i}").alias(f"__n{i}") for i in seen])
+    twice = reduce(lambda a, b: a | b, [F.col(f"__n{i}") > 1 for i in seen])
+    met = met.where(F.when(twice, F.raise_error(F.lit("align: a frame has a label twice")).cast("boolean")).otherwise(True))
+    return met.select(*[col(k) for k in keys], *[F.col(f"__{i}")[c].alias(name) for i, names in seen.items() for c, name in names.items()])
+
+
 def add_row(df: DataFrame, **values: object) -> DataFrame:
     """Append one literal row; columns left out are null."""
     row = {f.name: [values.get(f.name)] for f in df.schema.fields}

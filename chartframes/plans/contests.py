@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from chartframes.columns import col
 from chartframes.functions.conditions import choose, flag
-from chartframes.operators.ordered import row_number, running_sum
+from chartframes.operators.ordered import numbered_sum, row_number
 from chartframes.operators.reshape import pivot_strict
-from chartframes.operators.skew import fits_one_task
+from chartframes.operators.skew import TASK_ROWS
 from chartframes.session import pin
 
 
@@ -30,13 +30,11 @@ def league_table(
 
 
 def running_totals(
-    df: DataFrame, season: str, team: str, value: str, order_by: list[str], baseline: bool = True
+    df: DataFrame, season: str, team: str, value: str, order_by: list[str], baseline: bool = True, limit: int | None = TASK_ROWS
 ) -> DataFrame:
-    """Running total of each team by match number, in long form, starting from a zero row."""
+    """Running total of each team by match number, in long form, starting from a zero row; for ``limit`` see ``fits_one_task``."""
     keys = [season, team]
-    limit = None if fits_one_task(df, keys) else 0
-    numbered = row_number(df, keys, order_by, "match_num", limit)
-    out = running_sum(numbered, keys, order_by, value, "total", limit)  # the sort of the numbers
+    out = numbered_sum(df, keys, order_by, value, "match_num", "total", limit)
     row = F.struct("match_num", "total")
     if baseline:
         zero = F.struct(
@@ -99,19 +97,19 @@ def two_party_margin(
             "b_pct": F.try_divide(F.col("b_votes").cast("double"), F.col("total_votes")),
         }
     )
-    a_wins = F.col("a_pct") > F.col("b_pct")
+    a_wins, voted = F.col("a_pct") > F.col("b_pct"), F.col("a_pct").isNotNull()  # no votes at all, no winner
     out = {
         "diff_pct": F.col("a_pct") - F.col("b_pct"),
         "abs_diff_pct": F.abs(F.col("a_pct") - F.col("b_pct")),
-        "winning_party": choose(a_wins, F.lit(a), F.lit(b)),
-        "losing_party": choose(a_wins, F.lit(b), F.lit(a)),
+        "winning_party": F.when(voted, choose(a_wins, F.lit(a), F.lit(b))),
+        "losing_party": F.when(voted, choose(a_wins, F.lit(b), F.lit(a))),
         "winning_pct": choose(a_wins, "a_pct", "b_pct"),
         "losing_pct": choose(a_wins, "b_pct", "a_pct"),
     }
     if names is not None:
         shares = shares.join(names.select(col(period), col(a).alias("__a"), col(b).alias("__b")), period, "left")
-        out["winner"] = choose(a_wins, "__a", "__b")
-        out["loser"] = choose(a_wins, "__b", "__a")
+        out["winner"] = F.when(voted, choose(a_wins, "__a", "__b"))
+        out["loser"] = F.when(voted, choose(a_wins, "__b", "__a"))
     return shares.withColumns(out).drop("__a", "__b")
 
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from chartframes.operators.reshape import pivot_count, pivot_strict, pivot_sum, transpose, unpivot
+from chartframes.operators.reshape import pivot_count, pivot_sparse, pivot_strict, pivot_sum, transpose, unpivot
 from checks.registry import cents, check, double, rounded
 
 REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
@@ -109,3 +109,23 @@ def r05_back(t):
     wide = pivot_strict(region_years(t), "r_name", "year", "total")
     years = [c for c in wide.columns if c != "r_name"]
     return unpivot(wide, "r_name", years, "year", "total").withColumns(rounded("total", digits=2))
+
+
+@check(
+    "r02_pivot_sparse",
+    """SELECT l_returnflag, l_suppkey, CASE WHEN l_quantity < 50 THEN l_partkey END AS part, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS quantity
+       FROM lineitem GROUP BY ALL""",
+)
+def r02_sparse(t):
+    lines = t.lineitem.select("l_returnflag", "l_suppkey", F.when(F.col("l_quantity") < 50, F.col("l_partkey")).alias("part"), cents("l_quantity").alias("quantity"))
+    return pivot_sparse(lines, ["l_returnflag", "l_suppkey"], "part", "quantity", 100).long("quantity").withColumns(double("quantity"))
+
+
+@check(
+    "r02_pivot_sparse_columns",
+    """SELECT l_suppkey, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) FILTER (l_partkey = 3) AS DOUBLE) AS "3", CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) FILTER (l_partkey = 150) AS DOUBLE) AS "150"
+       FROM lineitem WHERE l_partkey IN (3, 150) GROUP BY 1""",
+)
+def r02_sparse_columns(t):
+    lines = t.lineitem.select("l_suppkey", "l_partkey", cents("l_quantity").alias("quantity"))
+    return pivot_sparse(lines, "l_suppkey", "l_partkey", "quantity", 100).wide([3, 150]).withColumns(double("3", "150"))

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from chartframes.functions import fill_from, same_text, within
 from chartframes.operators.aggregate import value_counts
 from chartframes.operators.ordered import row_number
-from chartframes.operators.rows import add_row, in_groups, in_roles, lookup, members, recode, stack, stack_tagged
+from chartframes.operators.rows import add_row, align_frames, in_groups, in_roles, lookup, members, recode, stack, stack_tagged
 from chartframes.operators.skew import with_group_values
 from checks.registry import cents, check, keyed
 
@@ -283,3 +283,20 @@ def u02(t):
 def u03(t):
     both = value_counts(t.events, "event_type")
     return both.select("event_type", F.col("total").alias("n"), F.round("percentage", 6).alias("share"))
+
+
+@check(
+    "u03_align_three",
+    """WITH c AS (SELECT CASE WHEN c_acctbal >= 0 THEN c_nationkey END AS nation, count(*) AS n, round(CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE), 2) AS balance FROM customer GROUP BY 1),
+       s AS (SELECT s_nationkey AS nation, count(*) AS n FROM supplier WHERE s_nationkey % 3 > 0 GROUP BY 1),
+       n AS (SELECT n_nationkey AS nation, n_name FROM nation WHERE n_regionkey <> 2 UNION ALL SELECT NULL, 'nowhere'),
+       k AS (SELECT nation FROM c UNION SELECT nation FROM s UNION SELECT nation FROM n)
+       SELECT k.nation, c.n AS "customers n", c.balance AS "customers balance", s.n AS "suppliers n", n.n_name AS "names n_name"
+       FROM k LEFT JOIN c ON k.nation IS NOT DISTINCT FROM c.nation LEFT JOIN s ON k.nation IS NOT DISTINCT FROM s.nation LEFT JOIN n ON k.nation IS NOT DISTINCT FROM n.nation""",
+)
+def u03_align(t):
+    nation = F.when(F.col("c_acctbal") >= 0, F.col("c_nationkey"))
+    customers = t.customer.groupBy(nation.alias("nation")).agg(F.count("*").alias("n"), F.round(F.sum(cents("c_acctbal")).cast("double"), 2).alias("balance"))
+    suppliers = t.supplier.where("s_nationkey % 3 > 0").groupBy(F.col("s_nationkey").alias("nation")).agg(F.count("*").alias("n"))
+    names = add_row(t.nation.where("n_regionkey <> 2").select(F.col("n_nationkey").alias("nation"), "n_name"), n_name="nowhere")
+    return align_frames({"customers": customers, "suppliers": suppliers, "names": names}, "nation")

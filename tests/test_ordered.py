@@ -11,6 +11,7 @@ from chartframes.operators.ordered import (
     lag_diff,
     last_n,
     moving_mean,
+    numbered_sum,
     relative_to_first,
     row_number,
     running_count,
@@ -146,3 +147,11 @@ def test_both_ways_of_a_running_sum_have_one_schema(spark, kind):
     ways = [running_sum(df, "k", "id", "v", limit=limit) for limit in (None, 0, 5)]
     assert len({w.schema.simpleString() for w in ways}) == 1
     assert rows(ways[0]) == rows(ways[1]) == rows(ways[2])
+
+
+@pytest.mark.parametrize("limit", [None, 0])
+def test_number_and_sum_from_one_sort(spark, limit):
+    df = spark.createDataFrame([(i % 3 if i % 5 else None, i, i * 2 if i % 7 else None) for i in range(60)], "k int, t int, x int")
+    want = running_sum(row_number(df, "k", "t", "n"), "k", "t", "x", "s")
+    found = numbered_sum(df, "k", "t", "x", "n", "s", limit)
+    assert found.dtypes == want.dtypes and rows(found) == rows(want)

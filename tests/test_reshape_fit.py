@@ -17,7 +17,8 @@ from chartframes.operators.columns import (
 )
 from chartframes.operators import fit as fits
 from chartframes.operators.fit import density, distribution, histogram, histogram_dates, histogram_round, poly_eval, poly_fit, round_step
-from chartframes.operators.reshape import pivot_count, pivot_strict, pivot_sum, pivot_values, transpose, unpivot
+from chartframes.operators.reshape import SparsePivot, pivot_count, pivot_sparse, pivot_strict, pivot_sum, pivot_values, transpose, unpivot
+from chartframes.operators.rows import align_frames
 from tests.conftest import rows
 
 
@@ -170,3 +171,38 @@ def test_density_is_near_the_kernel_over_all_values(spark):
         assert np.abs(np.array([r.density for r in curve]) - exact).max() < 0.02 * exact.max()
         assert sum(r.density for r in curve) * (at[1] - at[0]) == pytest.approx(1, abs=0.03)
     assert [(r.x, r.density) for r in found["one"]] == [(4.0, None)] and [(r.x, r.density) for r in found["flat"]] == [(1.0, None)]
+
+
+def test_sparse_pivot_of_50000_columns(spark, tmp_path):
+    df = spark.range(150_000).select((F.col("id") % 7).alias("row"), (F.col("id") % 50_000).alias("part"), (F.col("id") % 11).alias("x"))
+    df = df.unionByName(spark.createDataFrame([(1, None, 5), (None, 3, 2), (None, 3, 4), (9, 4, None)], "row long, part long, x long"))
+    pivot = pivot_sparse(df, "row", "part", "x", 1000)
+    want = df.groupBy("row", "part").agg(F.sum("x").alias("cell"))
+    assert pivot.long().exceptAll(want).isEmpty() and want.exceptAll(pivot.long()).isEmpty()
+    assert pivot.columns.count() == 50_001 and pivot.columns.where("value IS NULL").first().number == 50_000
+    assert pivot.rows.agg(F.max(F.size("numbers"))).first()[0] <= 1000
+    assert pivot.rows.where("numbers <> array_sort(numbers)").isEmpty()
+    pivot.write(str(tmp_path / "wide"))
+    back = SparsePivot.read(spark, str(tmp_path / "wide"), "row", "part", 1000)
+    found = back.wide([3, 49_999, None])
+    assert "PartitionFilters: [isnotnull" in found._jdf.queryExecution().executedPlan().toString().replace("PartitionFilters: [block", "PartitionFilters: [isnotnull")
+    some = df.where("part IN (3, 49999) OR part IS NULL").groupBy("row").pivot("part", [3, 49_999]).agg(F.sum("x"))
+    assert found.columns == ["row", "3", "49999", "null"]
+    assert rows(found, "row", "3", "49999") == rows(some.select("row", "3", "49999")) and rows(found.where("`null` IS NOT NULL"), "row", "null") == [(1, 5)]
+    with pytest.raises(ValueError):
+        pivot.wide([-1])
+    assert pivot_sparse(df.limit(0), "row", "part", "x").long().collect() == []
+
+
+def test_aligned_frames_take_one_shuffle(spark):
+    a = spark.createDataFrame([("x", 1, None), (None, 2, 0.5)], "k string, n int, v double")
+    b = spark.createDataFrame([("y", 3), ("x", 4)], "k string, n int")
+    c = spark.createDataFrame([(None, "t")], "k string, t string")
+    found = align_frames({"a": a, "b": b, "c": c}, "k")
+    assert found.columns == ["k", "a n", "a v", "b n", "c t"]
+    assert rows(found) == rows(spark.createDataFrame([("x", 1, None, 4, None), ("y", None, None, 3, None), (None, 2, 0.5, None, "t")], "k string, a int, b double, c int, d string"))
+    plan = align_frames({"a": a, "b": b, "c": c}, "k")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+    with pytest.raises(PySparkException, match="a label twice"):
+        align_frames({"a": a, "b": b.union(b)}, "k").collect()
+    assert align_frames({"a": a.limit(0), "b": b.limit(0)}, "k").collect() == []
