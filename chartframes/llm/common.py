@@ -154,10 +154,10 @@ def labelled_sample(texts: DataFrame, labelled: DataFrame, rows: int) -> DataFra
 def without_rows(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """``docs`` without the rows named by ``gone`` (doc_id, text_hash), where text_hash is ``xxhash64(text)``.
 
-    A null doc_id matches a null one, so rows without an id are told apart by their texts.
+    Ids of any plain type are compared as text. A null doc_id matches a null one, so rows without an id are told apart by their
+    texts. Repeated rows go or stay together; columns of any other name come along.
     """
-    gone = pin(gone.distinct().select(F.coalesce("doc_id", F.lit(-1 << 63)).alias("__id"), F.col("doc_id").isNull().alias("__no_id"), F.col("text_hash").alias("__hash")))
-    keyed = docs.withColumns(
-        {"__id": F.coalesce("doc_id", F.lit(-1 << 63)), "__no_id": F.col("doc_id").isNull(), "__hash": F.xxhash64("text")}
-    )
-    return join_small(keyed, gone, ["__id", "__no_id", "__hash"], 32, "left_anti").select(docs.columns)
+    named = F.coalesce(F.concat(F.lit("="), F.col("doc_id").cast("string")), F.lit(""))
+    gone = pin(gone.select(named.alias("__id"), F.col("text_hash").alias("__hash")).distinct())
+    keyed = docs.withColumns({"__id": named, "__hash": F.xxhash64("text")})
+    return join_small(keyed, gone, ["__id", "__hash"], 64, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

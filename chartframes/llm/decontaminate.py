@@ -1,37 +1,114 @@
-"""Benchmark passages in documents, by a prefix-filtered join of word windows."""
+"""Benchmark passages in documents, by a prefix-filtered join of word windows.
+
+Documents and items become numbers of three-word shingles in tasks; shingles are counted and joined in Spark. A window
+that must be contained whole needs one prefix shingle only, its rarest one, so a document meets the few windows
+whose rarest shingle it has, at the place where it has it, and these are compared word by word.
+"""
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from chartframes.llm.common import frugal, pin, take, without_rows
+from chartframes.llm.common import frugal, join_small, pin, take, without_rows
 
 WINDOW = 10
 SHINGLE = 3
-#: Windows of the benchmark that are broadcast at once; a larger benchmark takes more passes over the documents.
-BLOCK_WINDOWS = 100_000
-#: Words that a task looks at in one go.
+#: Bytes of a text that a task hashes in one go; words are not cut.
 SLICE = 1 << 20
+#: What a row of the joined tables takes, with a window of ten words.
+ROW_BYTES = 160
 
 #: Everything but a-z, 0-9 and bytes of other characters becomes a blank, A-Z becomes a-z.
 _TABLE = bytes(
     c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256)
 )
+#: The same for Java's expressions, for counting.
+_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]++"
+_FACTOR, _MIX = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
+
+
+def _canonical(text: str | None) -> bytes:
+    return (text or "").encode("utf-8", "replace").translate(_TABLE)
 
 
 def words(text: str | None) -> list[bytes]:
     """Maximal runs of digits, letters and all characters beyond ASCII, A-Z in lower case, as UTF-8."""
-    return (text or "").encode("utf-8", "replace").translate(_TABLE).split()
+    return _canonical(text).split()
+
+
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number modulo 2^64, and of its inverse."""
+    if not _POWERS:
+        for factor in (_FACTOR, pow(_FACTOR, -1, 1 << 64)):
+            steps = np.full(SLICE + 1, factor, np.uint64)
+            steps[0] = 1
+            _POWERS.append(np.cumprod(steps, dtype=np.uint64))
+    return _POWERS[0], _POWERS[1]
+
+
+_POWERS: list[np.ndarray] = []
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ x >> np.uint64(32)) * np.uint64(_MIX)
+    return x ^ x >> np.uint64(29)
+
+
+def word_hashes(data: bytes) -> np.ndarray:
+    """A 64-bit hash of each word of a canonical text: a polynomial of its bytes, from differences of running sums."""
+    found = [np.zeros(0, np.uint64)]
+    up, down = _powers()
+    start = 0
+    while start < len(data):
+        stop = min(start + SLICE, len(data))
+        if stop < len(data):
+            stop = data.rfind(b" ", start, stop) + 1 or stop
+            if stop == start + SLICE and data[stop - 1] != 32:  # one word fills the slice: it is taken apart from the others
+                end = data.find(b" ", stop)
+                stop = len(data) if end < 0 else end
+                found.append(np.array([_long_word(data[start:stop])], np.uint64))
+                start = stop
+                continue
+        part = np.frombuffer(data, np.uint8, stop - start, start)
+        full = np.r_[False, part != 32, False]
+        edges = np.flatnonzero(full[1:] != full[:-1])
+        first, last = edges[::2], edges[1::2]
+        sums = np.r_[np.uint64(0), np.cumsum((part.astype(np.uint64) + np.uint64(1)) * up[: len(part)], dtype=np.uint64)]
+        found.append(_mixed((sums[last] - sums[first]) * down[first]))
+        start = stop
+    return np.concatenate(found)
+
+
+def _long_word(word: bytes) -> int:
+    """The hash of a word that may be longer than a slice, which may begin in the slice with other words before it."""
+    total, shift = 0, 1
+    for at in range(0, len(word), SLICE):
+        part = np.frombuffer(word, np.uint8, min(SLICE, len(word) - at), at).astype(np.uint64) + np.uint64(1)
+        total = (total + int(np.sum(part * _powers()[0][: len(part)], dtype=np.uint64)) * shift) % (1 << 64)
+        shift = shift * int(pow(_FACTOR, len(part), 1 << 64)) % (1 << 64)
+    return int(_mixed(np.array([total], np.uint64))[0])
+
+
+def shingle_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
+    """A hash of every ``size`` words in a row; sizes do not meet."""
+    n = len(hashes) - size + 1
+    if n <= 0:
+        return np.zeros(0, np.int64)
+    out = np.full(n, size, np.uint64)
+    for i in range(size):
+        out = _mixed(out * np.uint64(_FACTOR) + hashes[i : i + n])
+    return out.view(np.int64)
 
 
 def windows(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
-    """Distinct windows (window, n, items) of (item_id, text): words joined by blanks, and the items that have it."""
+    """Rows (item_id, window): the distinct windows of each (item_id, text), as words joined by blanks."""
 
     @F.pandas_udf("array<binary>")
     def cut(texts: pd.Series) -> pd.Series:
@@ -41,181 +118,86 @@ def windows(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
             out.append([b" ".join(w[i : i + size]) for i in range(max(len(w) - size, 0) + 1)] if w else [])
         return pd.Series(out)
 
-    found = benchmark.select("item_id", F.explode(cut("text")).alias("window")).distinct()
-    return found.groupBy("window").agg(F.collect_set("item_id").alias("items"))
-
-
-class Vocabulary:
-    """Numbers for the words of a block of phrases, and keys for runs of them."""
-
-    def __init__(self, phrases: list[list[bytes]]):
-        self.ids = {w: i for i, w in enumerate(sorted({w for p in phrases for w in p}))}
-        self.base = np.uint64(len(self.ids) + 1)
-
-    def numbers(self, run: list[bytes]) -> np.ndarray:
-        get = self.ids.get
-        return np.fromiter((get(w, -1) for w in run), np.int64, len(run))
-
-    def keys(self, numbers: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """Places at which ``size`` known words follow each other, and the key of these words.
-
-        Up to three words of a block have exact keys, as its vocabulary is below two million words.
-        """
-        count = len(numbers) - size + 1
-        if count <= 0:
-            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-        known = np.ones(count, bool)
-        for i in range(size):
-            known &= numbers[i : i + count] >= 0
-        at = np.flatnonzero(known)
-        key = np.zeros(len(at), np.uint64)
-        for i in range(size):
-            key = key * self.base + numbers[at + i].astype(np.uint64)
-        return at, key
-
-
-class Block:
-    """A block of windows by their prefix shingle: at most ``BLOCK_WINDOWS`` of them."""
-
-    def __init__(self, rows: list):
-        self.windows = [bytes(r.window).split() for r in rows]
-        self.items = [r.items for r in rows]
-        self.vocabulary = Vocabulary(self.windows)
-        #: by shingle size: sorted shingle keys, and the windows and places of the shingle for each
-        self.sizes: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
-        self.numbers = [self.vocabulary.numbers(w) for w in self.windows]
-        for size in sorted({min(SHINGLE, len(w)) for w in self.windows}):
-            own = [i for i, w in enumerate(self.windows) if min(SHINGLE, len(w)) == size]
-            at = np.array([rows[i].at for i in own], np.int64)
-            keys = np.concatenate([self.vocabulary.keys(self.numbers[i][rows[i].at :][:size], size)[1] for i in own])
-            order = np.argsort(keys, kind="stable")
-            self.sizes[size] = keys[order], np.array(own, np.int64)[order], at[order]
-
-    def search(self, run: list[bytes]) -> Iterator[tuple[int, int, int]]:
-        """(window, first word, end) of every occurrence in the words of a text."""
-        numbers = self.vocabulary.numbers(run)
-        for size, (keys, which, place) in self.sizes.items():
-            at, key = self.vocabulary.keys(numbers, size)
-            low, high = np.searchsorted(keys, key), np.searchsorted(keys, key, side="right")
-            count = high - low
-            entry = np.repeat(low - np.cumsum(count) + count, count) + np.arange(count.sum())
-            start = np.repeat(at, count) - place[entry]
-            for w, s in zip(which[entry].tolist(), start.tolist(), strict=True):
-                mine = self.numbers[w]
-                # positional bound, length bound, then the exact comparison
-                if s >= 0 and s + len(mine) <= len(numbers) and np.array_equal(numbers[s : s + len(mine)], mine):
-                    yield w, s, s + len(mine)
-
-
-def shingle_counts(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """(shingle, n): occurrences in all documents of each shingle of the windows; absent ones have no row."""
+    return benchmark.select("item_id", F.explode(cut("text")).alias("window")).distinct()
 
-    @F.pandas_udf("array<binary>")
-    def cut(phrases: pd.Series) -> pd.Series:
-        out = []
-        for p in phrases:
-            w = bytes(p).split()
-            size = min(SHINGLE, len(w))
-            out.append([b" ".join(w[i : i + size]) for i in range(len(w) - size + 1)])
-        return pd.Series(out)
 
-    shingles = pin(found.select(F.explode(cut("window")).alias("shingle")).distinct())
-    counts = None
-    for rows in _blocks(shingles, "shingle"):
-        phrases = [bytes(r.shingle).split() for r in rows]
-        shared = docs.sparkSession.sparkContext.broadcast(phrases)
-
-        def count(frames, shared=shared):
-            vocabulary = Vocabulary(shared.value)
-            names: dict[int, tuple[np.ndarray, list[bytes]]] = {}
-            total: dict[int, np.ndarray] = {}
-            for size in {len(p) for p in shared.value}:
-                own = [p for p in shared.value if len(p) == size]
-                keys = np.concatenate([vocabulary.keys(vocabulary.numbers(p), size)[1] for p in own])
-                order = np.argsort(keys)
-                names[size] = keys[order], [b" ".join(own[i]) for i in order]
-                total[size] = np.zeros(len(own), np.int64)
-            for f in frames:
-                for text in f["text"]:
-                    run = words(text)
-                    for i in range(0, len(run), SLICE):
-                        numbers = vocabulary.numbers(run[i : i + SLICE + SHINGLE - 1])
-                        for size, (keys, _) in names.items():
-                            key = vocabulary.keys(numbers, size)[1]
-                            place = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-                            total[size] += np.bincount(place[keys[place] == key], minlength=len(keys))
-            for size, (_, label) in names.items():
-                seen = total[size] > 0
-                yield pd.DataFrame({"shingle": [x for x, s in zip(label, seen, strict=True) if s], "n": total[size][seen]})
-
-        part = docs.select("text").mapInPandas(frugal(count), "shingle binary, n long")
-        counts = part if counts is None else counts.unionByName(part)
-    if counts is None:
-        return shingles.select("shingle", F.lit(0).cast("long").alias("n"))
-    return pin(counts.groupBy("shingle").agg(F.sum("n").alias("n")))
-
-
-def _blocks(df: DataFrame, key: str) -> Iterator[list]:
-    """Rows of a pinned table in blocks of about ``BLOCK_WINDOWS``, by hash of the key."""
-    parts = -(-df.count() // BLOCK_WINDOWS)
-    for i in range(parts):
-        yield df.where(F.pmod(F.xxhash64(key), F.lit(parts)) == i).orderBy(key).collect()
-
-
-def occurrences(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> list[DataFrame]:
-    """For each block of windows, rows (key, n_words, runs, items): hit runs of a document's words, and items with hits.
-
-    If there is one block only, its rows are the whole of a document: (key, n_words) and its digest.
-    """
-    found = pin(windows(benchmark, size))
-    counts = shingle_counts(docs, found)
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def _window_shingles(phrases: pd.Series) -> pd.Series:
+    """Shingle hashes of a window in the order of their places; a window of fewer words is one shingle."""
+    out = []
+    for p in phrases:
+        hashes = word_hashes(bytes(p))
+        out.append(shingle_hashes(hashes, min(SHINGLE, len(hashes))))
+    return pd.Series(out)
 
-    @F.pandas_udf("array<struct<shingle: binary, at: int>>")
-    def places(phrases: pd.Series) -> pd.Series:
-        out = []
-        for p in phrases:
-            w = bytes(p).split()
-            size_ = min(SHINGLE, len(w))
-            out.append([{"shingle": b" ".join(w[i : i + size_]), "at": i} for i in range(len(w) - size_ + 1)])
-        return pd.Series(out)
 
-    # the prefix of a window that must be contained whole is one shingle: its rarest; absent ones rule it out
-    ranked = found.select("window", F.explode(places("window")).alias("p")).select("window", "p.shingle", "p.at")
-    ranked = ranked.join(counts, "shingle", "left").groupBy("window").agg(
-        F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "shingle", "at")).alias("rarest")
-    )
-    prefixed = pin(found.join(ranked, "window").where("rarest.n > 0").select("window", "items", "rarest.at"))
-    kind = dict(docs.dtypes)["key"]
-    alone = prefixed.count() <= BLOCK_WINDOWS
-    out = []
-    for rows in _blocks(prefixed, "window"):
-        shared = docs.sparkSession.sparkContext.broadcast(rows)
-
-        def search(frames, shared=shared):
-            block = Block(shared.value)
-            for f in frames:
-                n, runs, items, digests = [], [], [], []
-                for text in f["text"]:
-                    run = words(text)
-                    hits = list(block.search(run))
-                    n.append(len(run))
-                    runs.append(_merged(np.array([h[1:] for h in hits], np.int64).reshape(-1, 2)).tobytes())
-                    items.append(sorted({i for w in {h[0] for h in hits} for i in block.items[w]}))
-                    if alone:
-                        digests.append(_digest([runs.pop()], [items.pop()]))
-                found_ = pd.DataFrame(digests, columns=_DIGEST_NAMES) if alone else pd.DataFrame({"runs": runs, "items": items})
-                yield pd.concat([f[["key"]].reset_index(drop=True), pd.DataFrame({"n_words": n}), found_], axis=1)
-
-        out.append(docs.mapInPandas(frugal(search), f"key {kind}, n_words long, {_DIGEST if alone else 'runs binary, items array<long>'}"))
-    if out:
-        return out
-
-    @F.pandas_udf("long")
-    def length(texts: pd.Series) -> pd.Series:
-        return pd.Series([len(words(t)) for t in texts], dtype="int64")
-
-    none = F.lit(0).cast("long").alias("n_hit"), F.array().cast("array<long>").alias("items"), F.sha2(F.lit(""), 256).alias("items_sha256")
-    return [docs.select("key", length("text").alias("n_words"), *none)]
+def document_shingles(docs: DataFrame, sizes: list[int]) -> DataFrame:
+    """Rows (k1, k2, place, shingle): every shingle of every document (k1, k2, text), with its first word's place."""
+
+    def cut(batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, own = batch.column("text").to_pylist(), []
+            for n, text in enumerate(texts):
+                hashes = word_hashes(_canonical(text))
+                own += [(n, s, shingle_hashes(hashes, s)) for s in sizes]
+            rows = pa.array([n for n, _, _ in own], pa.int32())
+            ends = np.cumsum([0, *(len(h) for _, _, h in own)])
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([h for _, _, h in own]) if own else np.zeros(0, np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column("k1").take(rows), batch.column("k2").take(rows), lists], ["k1", "k2", "shingles"])
+
+    found = docs.mapInArrow(frugal(cut), "k1 long, k2 long, shingles array<long>")
+    return found.select("k1", "k2", F.posexplode("shingles").alias("place", "shingle"))
+
+
+def _keys(id_: Column, text: Column) -> list[Column]:
+    """Two hashes that tell documents apart by id and text, whatever the type of the id; null is an id of its own."""
+    named = F.coalesce(F.concat(F.lit("="), id_.cast("string")), F.lit(""))
+    return [F.xxhash64(named, text).alias("k1"), F.xxhash64(F.lit(1), text, named).alias("k2")]
+
+
+def occurrences(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> tuple[DataFrame, DataFrame]:
+    """Hit words and items of the documents that have any: (k1, k2, n_hit) and (k1, k2, item_id).
+
+    ``docs`` is (k1, k2, text), ``benchmark`` (item_id, text). Shingles of windows are counted over all documents, and
+    each window is joined by its rarest one; windows with an absent one have no part in it. Joined tables are broadcast while
+    they are counted to be small, else both sides are shuffled, and AQE splits a hot shingle.
+    """
+    named = pin(windows(benchmark, size))
+    found = pin(named.select("window").distinct().withColumn("w", F.monotonically_increasing_id()))
+    placed = pin(found.select("w", F.posexplode(_window_shingles("window")).alias("at", "shingle"), F.size(F.split(F.decode("window", "UTF-8"), " ")).alias("words")))
+    sizes = [r.s for r in placed.select(F.least("words", F.lit(SHINGLE)).alias("s")).distinct().orderBy("s").collect()]  # 1 to SHINGLE
+    shingles = pin(placed.select("shingle").distinct())
+    each = document_shingles(docs, sizes)
+    counts = pin(join_small(each.select("shingle"), shingles, ["shingle"], 16, "inner").groupBy("shingle").agg(F.count(F.lit(1)).alias("n")))
+    ranked = placed.join(counts, "shingle", "left").groupBy("w").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "shingle", "at")).alias("rarest"))
+    prefixed = pin(ranked.where("rarest.n > 0").join(found, "w").select("rarest.shingle", "rarest.at", "w", "window"))
+    met = join_small(each, prefixed, ["shingle"], ROW_BYTES, "inner").where("place >= at")  # positional bound
+    candidates = met.select("k1", "k2", (F.col("place") - F.col("at")).alias("start"), "w", "window").distinct()
+    asked = pin(candidates.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "w", "window")).alias("asked")))
+    size_ = asked.agg(F.sum(F.size("asked"))).first()[0] or 0
+    texts = join_small(docs, asked, ["k1", "k2"], -(-size_ * ROW_BYTES // max(asked.count(), 1)) + 32, "inner")
+
+    @F.pandas_udf("n_hit long, ws array<long>")
+    def verify(texts: pd.Series, asked: pd.Series) -> pd.DataFrame:
+        out = []
+        for text, wanted in zip(texts, asked, strict=True):
+            run = words(text)
+            hits, ws = [], set()
+            for one in wanted:
+                window = bytes(one["window"]).split()
+                stop = one["start"] + len(window)
+                if stop <= len(run) and run[one["start"] : stop] == window:  # length bound, then word by word
+                    hits.append((one["start"], stop))
+                    ws.add(one["w"])
+            runs = _merged(np.array(hits, np.int64).reshape(-1, 2))
+            out.append((int((runs[:, 1] - runs[:, 0]).sum()), sorted(ws)))
+        return pd.DataFrame(out, columns=["n_hit", "ws"])
+
+    verified = texts.select("k1", "k2", verify("text", "asked").alias("v")).select("k1", "k2", "v.*").where("n_hit > 0")
+    verified = pin(verified.dropDuplicates(["k1", "k2"]))
+    items = named.join(found, "window").select("w", "item_id")
+    hit = verified.select("k1", "k2", F.explode("ws").alias("w")).join(items, "w").select("k1", "k2", "item_id").distinct()
+    return verified.select("k1", "k2", "n_hit"), hit
 
 
 def _merged(runs: np.ndarray) -> np.ndarray:
@@ -232,54 +214,31 @@ def contamination(
     docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     item_column: str = "item_id", item_text_column: str = "text", size: int = WINDOW,
 ) -> DataFrame:
-    """One row per document: doc_id, n_words, n_hit, n_items, items (sorted as strings), items_sha256, contaminated,
+    """One row per document: doc_id, n_words, n_hit, n_items, items (ids as text, sorted), items_sha256, contaminated,
     text_hash.
 
     A window is ``size`` consecutive words of an item, or all words of an item with fewer. A document word
     inside any occurrence of a window is hit. Null and empty texts have no words; items without words or without
-    an id are left out. Repeated documents come out once each, repeated items count once, an empty benchmark
-    hits nothing, an empty document table gives no rows, other columns are not read.
-
-    Windows are broadcast in blocks of bounded size. With more than one block a document's parts are put together by
-    its id and text.
+    an id are left out. Ids of documents and items may be of any plain type. Repeated documents come out once each, repeated
+    items count once, texts of any length are looked at whole, an empty benchmark hits nothing, an empty document table
+    gives no rows, other columns are not read.
     """
     plain = take(docs, doc_id=id_column, text=text_column)
     items = take(benchmark, item_id=item_column, text=item_text_column).where("item_id IS NOT NULL")
-    keyed = plain.select(F.struct("doc_id", F.xxhash64("text").alias("tie")).alias("key"), "text")
-    parts = occurrences(keyed, items.select(F.col("item_id").cast("long"), "text"), size)
-    if len(parts) == 1:
-        return _named(parts[0])
-    together = parts[0]
-    for part in parts[1:]:
-        together = together.unionByName(part)
-    whole = together.groupBy("key", "n_words").agg(
-        F.collect_set("runs").alias("runs"), F.collect_set("items").alias("items"), F.count(F.lit(1)).alias("rows")
+    keyed = plain.select("doc_id", "text", *_keys(F.col("doc_id"), F.col("text")))
+    hits, hit_items = occurrences(keyed.select("k1", "k2", "text"), items.select(F.col("item_id").cast("string"), "text"), size)
+    listed = hit_items.groupBy("k1", "k2").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
+    found = pin(hits.join(listed, ["k1", "k2"]))
+    counted = keyed.select(
+        "doc_id", "k1", "k2", F.coalesce(F.regexp_count("text", F.lit(_WORD)), F.lit(0)).cast("long").alias("n_words"), F.xxhash64("text").alias("text_hash")
     )
-    copies = F.sequence(F.lit(1), (F.col("rows") / len(parts)).cast("int"))  # every row is in each part once
-    whole = whole.withColumn("copy", F.explode(copies)).drop("copy", "rows")
-
-    @F.pandas_udf(_DIGEST)
-    def digest(runs: pd.Series, items: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([_digest(r, i) for r, i in zip(runs, items, strict=True)], columns=_DIGEST_NAMES)
-
-    return _named(whole.select("key", "n_words", digest("runs", "items").alias("d")).select("key", "n_words", "d.*"))
-
-
-_DIGEST = "n_hit long, items array<long>, items_sha256 string"
-_DIGEST_NAMES = ["n_hit", "items", "items_sha256"]
-
-
-def _digest(runs, items) -> tuple[int, list[int], str]:
-    """Hit words, items and their hash, from the runs and items of each block."""
-    merged = _merged(np.concatenate([np.frombuffer(x, np.int64).reshape(-1, 2) for x in runs]))
-    ids = sorted({int(i) for x in items for i in x}, key=str)
-    return int((merged[:, 1] - merged[:, 0]).sum()), ids, hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
-
-
-def _named(found: DataFrame) -> DataFrame:
-    return found.select(
-        F.col("key.doc_id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items", "items_sha256",
-        (F.col("n_hit") > 0).alias("contaminated"), F.col("key.tie").alias("text_hash"),
+    total = found.agg(F.sum(F.size("items"))).first()[0] or 0
+    both = join_small(counted, found, ["k1", "k2"], -(-total * 32 // max(found.count(), 1)) + 48)
+    none = F.array().cast("array<string>")
+    return both.select(
+        "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"), F.size(F.coalesce("items", none)).cast("long").alias("n_items"),
+        F.coalesce("items", none).alias("items"), F.sha2(F.coalesce(F.array_join("items", ","), F.lit("")), 256).alias("items_sha256"),
+        (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"), "text_hash",
     )
 
 

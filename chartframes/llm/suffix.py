@@ -352,6 +352,8 @@ def remove_repeats(
     """
     if width < SEED_BYTES + 33:
         raise ValueError("width must be 49 or more, for a window to hold 33 bytes to one side of its anchor")
+    if dict(docs.dtypes)[id_column] not in ("tinyint", "smallint", "int", "bigint"):
+        raise TypeError(f"{id_column} must be a whole number, as the smaller document keeps a passage")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]) if carry else F.lit(0)
     plain = docs.select(F.col(f"`{id_column}`").alias("doc_id"), F.col(f"`{text_column}`").alias("text"), row.alias("row"))
     ids = plain.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL")
