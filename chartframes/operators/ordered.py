@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chartframes.columns import Name, col, cols, ordering
-from chartframes.operators.skew import TASK_ROWS, attach, fits_one_task
+from chartframes.operators.skew import TASK_ROWS, attach, sized
 from chartframes.session import pin
 
 #: bits of ``monotonically_increasing_id`` that number the rows inside a partition
@@ -56,7 +56,8 @@ def row_number(
 ) -> DataFrame:
     """Number the rows of each group from 1; for ``limit`` see ``fits_one_task``."""
     keys = cols(keys)
-    if fits_one_task(df, keys, limit):
+    df, fits = sized(df, keys, limit)
+    if fits:
         number = F.row_number().over(_partition(keys).orderBy(*ordering(order_by)))
         return df.withColumn(name, number.cast("bigint"))
     segments = _segments(df, keys, order_by)
@@ -80,7 +81,8 @@ def running_sum(
     df = df.withColumn("__summand", col(value))
     kind = df.select(F.sum("__summand")).schema[0].dataType  # of either way
     upto = (Window.unboundedPreceding, Window.currentRow)
-    if fits_one_task(df, keys, limit):
+    df, fits = sized(df, keys, limit)
+    if fits:
         frame = _partition(keys).orderBy(*ordering(order_by)).rowsBetween(*upto)
         total = F.when(F.col("__summand").isNotNull(), F.sum("__summand").over(frame))
         return df.withColumn(name, total.cast(kind)).drop("__summand")
@@ -100,7 +102,8 @@ def numbered_sum(
 ) -> DataFrame:
     """``row_number`` and ``running_sum`` together, from one sort and one join of what precedes a segment."""
     keys = cols(keys)
-    if fits_one_task(df, keys, limit):
+    df, fits = sized(df, keys, limit)
+    if fits:
         return running_sum(row_number(df, keys, order_by, number, None), keys, order_by, value, total, None)
     df = df.withColumn("__summand", col(value))
     kind = df.select(F.sum("__summand")).schema[0].dataType
@@ -126,7 +129,8 @@ def _over_recent(df: DataFrame, keys: list[str], order_by, reach: int, limit: in
     A large group is numbered and cut into blocks; the last ``reach`` rows of a block are also copied
     into the next one, so that every block can be windowed alone.
     """
-    if fits_one_task(df, keys, limit):
+    df, fits = sized(df, keys, limit)
+    if fits:
         return df.withColumns(build(_partition(keys).orderBy(*ordering(order_by))))
     size = max(limit or TASK_ROWS, reach + 1)
     numbered = row_number(df, keys, order_by, "__n", 0)

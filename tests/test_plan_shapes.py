@@ -67,4 +67,4 @@ def test_entry_and_contract(spark):
     assert entry.entry(spark).columns == ["n_name", "total", "cum_pct"]
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert set(registry.queries()) <= set(entry.queries())
-    assert set(registry.queries()) - set(registry.oracles()) == {"m02_fit_degree_5"}
+    assert set(registry.queries()) - set(registry.oracles()) == set()

@@ -110,3 +110,40 @@ def test_sizes_of_nested_rows(spark):
 def test_join_split_refuses_other_kinds(spark, skewed):
     with pytest.raises(ValueError):
         skew.join_split(skewed, skewed, "k", "full")
+
+
+def test_a_table_is_computed_once_for_sizes_and_window(spark):
+    from chartframes.operators.ordered import row_number, running_sum
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(frames):
+        for f in frames:
+            seen.add(len(f))
+            yield f
+
+    df = spark.range(0, 5000, 1, 4).select("id", (F.col("id") % 7).alias("k"), F.when(F.col("id") % 5 > 0, F.col("id")).alias("x")).mapInPandas(count, "id long, k long, x double")
+    for limit in (skew.TASK_ROWS, 100):  # the window, and the sort
+        seen.value = 0
+        found = running_sum(row_number(df, "k", "id", "n", limit), "k", "id", "x", "s", None)
+        assert found.agg(F.max("n"), F.count("*")).first() == (715, 5000)
+        assert seen.value == 5000
+
+
+def test_sizes_of_a_plain_scan_come_from_its_keys(spark, tables, monkeypatch):
+    scans = []
+    whole = skew._row_bytes
+    monkeypatch.setattr(skew, "_row_bytes", lambda df: scans.append(df) or whole(df))
+    rows, size = skew.largest_group(tables.orders, ["o_orderstatus"])
+    assert rows == tables.orders.groupBy("o_orderstatus").count().agg(F.max("count")).first()[0] and size > 0 and not scans
+    df, fits = skew.sized(tables.orders.where("o_orderkey > 3"), ["o_orderstatus"])
+    assert fits and not scans and skew._is_plain(df)
+
+
+def test_observed_sizes_hold_null_keys_and_empty_tables(spark):
+    base = spark.range(3000).select(F.when(F.col("id") % 3 > 0, F.col("id") % 50).alias("k"), "id").repartition(3)
+    for df, limit, fits in [(base, 1100, True), (base, 900, False), (base.where("false"), 1, True), (base, None, True), (base, 0, False)]:
+        assert skew.sized(df, ["k"], limit)[1] is fits
+    wide = base.withColumn("t", F.repeat(F.lit("x"), 200_000))
+    assert skew.sized(wide, [], 10_000_000)[1] is False
+    assert skew.sized(wide.limit(100), [], 10_000_000)[1] is True
