@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chartframes.llm.common import frugal, join_small, pin, take, without_rows
+from chartframes.llm.common import frugal, give_back, join_small, pin, take, without_rows
 
 WINDOW = 10
 SHINGLE = 3
@@ -29,8 +29,6 @@ ROW_BYTES = 160
 _TABLE = bytes(
     c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256)
 )
-#: The same for Java's expressions, for counting.
-_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]++"
 _FACTOR, _MIX = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 
 
@@ -107,6 +105,17 @@ def shingle_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
     return out.view(np.int64)
 
 
+@F.pandas_udf(T.LongType())
+def word_count(texts: pd.Series) -> pd.Series:
+    """Number of words; null texts have none."""
+    out = []
+    for t in texts:
+        full = np.r_[False, np.frombuffer(_canonical(t), np.uint8) != 32]
+        out.append(np.count_nonzero(full[1:] & ~full[:-1]))
+    give_back()
+    return pd.Series(out, dtype="int64")
+
+
 def windows(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
     """Rows (item_id, window): the distinct windows of each (item_id, text), as words joined by blanks."""
 
@@ -230,7 +239,7 @@ def contamination(
     listed = hit_items.groupBy("k1", "k2").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
     found = pin(hits.join(listed, ["k1", "k2"]))
     counted = keyed.select(
-        "doc_id", "k1", "k2", F.coalesce(F.regexp_count("text", F.lit(_WORD)), F.lit(0)).cast("long").alias("n_words"), F.xxhash64("text").alias("text_hash")
+        "doc_id", "k1", "k2", word_count("text").alias("n_words"), F.xxhash64("text").alias("text_hash")
     )
     total = found.agg(F.sum(F.size("items"))).first()[0] or 0
     both = join_small(counted, found, ["k1", "k2"], -(-total * 32 // max(found.count(), 1)) + 48)
