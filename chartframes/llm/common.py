@@ -17,13 +17,13 @@ BROADCAST_BYTES = 32 << 20
 
 
 def text_batches(spark: SparkSession) -> None:
-    """Let Arrow batches of texts take 8 MiB instead of Spark's default, if the session has no size of its own.
+    """Let Arrow batches of texts take 4 MiB instead of Spark's default, if the session has no size of its own.
 
     A Python worker holds a batch several times over: as Arrow data, as strings and as what is made of them.
     """
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     if spark.conf.get(key) in ("64MB", "67108864b", "67108864"):
-        spark.conf.set(key, "8388608b")
+        spark.conf.set(key, "4194304b")
 
 
 def give_back() -> None:

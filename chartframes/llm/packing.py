@@ -54,7 +54,7 @@ class WordEncoder(dict):
         self.direct = True
         probes = [b"the", b"within", b"\xc3\xa9t\xc3\xa9", b"stra\xc3\x9fe,", b"a.,"]
         self.direct = [self._ids(p) for p in probes] == [self._whole(p.decode()) for p in probes]
-        self.clear()
+        self.forget()
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -89,6 +89,10 @@ class WordEncoder(dict):
         self[part] = ids
         return ids
 
+    def forget(self) -> None:
+        self.older = {}
+        self.clear()
+
     def __call__(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit numbers."""
         data = text.encode("utf-8", "replace")
@@ -113,6 +117,12 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end:
 
     def cut(frames):
         encode = word_encoder(tokenizer)
+        try:
+            yield from pieces(frames, encode)
+        finally:
+            encode.forget()  # the worker is kept for stages that have no use of it
+
+    def pieces(frames, encode):
         tail = np.array([end], "<u4").tobytes()
         for f in frames:
             out = []

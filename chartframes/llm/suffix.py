@@ -32,7 +32,7 @@ from chartframes.llm.common import frugal, give_back, join_small, payload_bytes,
 
 SEED_BYTES = 16
 #: Text that a task ranks at once, and window starts per piece of a longer text.
-TEXT_BYTES = 2 << 20
+TEXT_BYTES = 1 << 20
 PIECE = 1 << 18
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
