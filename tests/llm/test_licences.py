@@ -12,8 +12,8 @@ def test_query_equals_duckdb(spark):
 
 
 def test_canonical_forms(spark):
-    mit = dict(licences.LICENCES)["MIT"]
-    other = "The MIT text\n".join([""]) + "Copyright (c) 2020 Somebody\n(c) 2021 Else\n# All rights reserved.\n\n" + mit.upper().replace(" ", "  ").replace("\n", "\r\n").replace("SUBLICENSE", "sub-licence")
+    mit = next(t for n, t in licences.LICENCES if n == "MIT")  # without a title
+    other = "MIT License\n\n" + "Copyright (c) 2020 Somebody\n(c) 2021 Else\n# All rights reserved.\n\n" + mit.upper().replace(" ", "  ").replace("\n", "\r\n").replace("SUBLICENSE", "sub-licence")
     rows = [
         (1, other, "x"), (2, mit + " more", "x"), (3, None, None), (4, "", "x"), (5, "Copyright 2020 A\n", "x"), (6, "word\nReleased under the M.I.T. Licence\n * Released under the “MIT” License —\n", "x"),
         (7, "released under the mit license", "x"), (7, "released under the mit license", "x"), (None, "Released under the MIT License.", "x"), (8, "Copyright notice here\nlicence " * 40_000, "x"),
