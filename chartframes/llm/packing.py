@@ -17,6 +17,8 @@ from chartframes.llm.common import frugal, pin, take
 CAPACITY = 2048
 #: Parts of texts whose tokens a worker remembers, in each of two generations.
 CACHE_PARTS = 150_000
+#: The same for packing, which is one of several stages that share their workers' memory.
+PACKING_PARTS = 40_000
 #: Pieces of one length are numbered in parts of about so many, so that no task numbers a whole length.
 PART_ROWS = 100_000
 
@@ -43,10 +45,11 @@ class WordEncoder(dict):
     the tokenizer's merges directly, without normaliser and splitting; it is tried out whether that gives the same.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, parts: int | None = None):
         from tokenizers import Tokenizer
 
         super().__init__()
+        self.parts = parts or CACHE_PARTS
         self.tokenizer = Tokenizer.from_file(path)
         self.older: dict[bytes, bytes] = {}
         self.packed = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
@@ -83,7 +86,7 @@ class WordEncoder(dict):
         ids = self.older.get(part)
         if ids is None:
             ids = self._ids(part)
-        if len(self) >= CACHE_PARTS:
+        if len(self) >= self.parts:
             self.older = dict(self)
             self.clear()
         self[part] = ids
@@ -101,14 +104,14 @@ class WordEncoder(dict):
         return b"".join(map(self.__getitem__, data.split()))
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
+_ENCODERS: dict[tuple[str, int | None], WordEncoder] = {}
 
 
-def word_encoder(path: str) -> Callable[[str], bytes]:
+def word_encoder(path: str, parts: int | None = None) -> Callable[[str], bytes]:
     """The worker's encoder for a tokenizer file, kept between tasks."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+    if (path, parts) not in _ENCODERS:
+        _ENCODERS[path, parts] = WordEncoder(path, parts)
+    return _ENCODERS[path, parts]
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int = 0) -> DataFrame:
@@ -116,7 +119,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end:
     kind = dict(docs.dtypes)["doc_id"]
 
     def cut(frames):
-        encode = word_encoder(tokenizer)
+        encode = word_encoder(tokenizer, PACKING_PARTS)
         try:
             yield from pieces(frames, encode)
         finally:
