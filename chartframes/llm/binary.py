@@ -55,11 +55,12 @@ def records(docs: DataFrame, tokenizer: str, size: int, end: int) -> DataFrame:
 
     def cut(frames):
         encode = word_encoder(tokenizer)
+        tail, step = np.array([end], "<u4").tobytes(), size * np.dtype(numbers).itemsize
         for f in frames:
             out = []
             for doc, text in zip(f["doc_id"], f["text"], strict=True):
-                ids = np.r_[np.frombuffer(encode(text or ""), "<u4"), np.uint32(end)].astype(numbers)
-                out += [(doc, piece, ids[at : at + size].tobytes()) for piece, at in enumerate(range(0, len(ids), size))]
+                ids = np.frombuffer(encode(text or "") + tail, "<u4").astype(numbers).tobytes()
+                out += [(doc, piece, ids[at : at + step]) for piece, at in enumerate(range(0, len(ids), step))]
             frame = pd.DataFrame(out, columns=["doc_id", "piece", "ids"])
             frame["doc_id"] = frame["doc_id"].astype(f["doc_id"].dtype)
             yield frame
