@@ -85,7 +85,7 @@ def sized(df: DataFrame, keys: list[str], limit: int | None = TASK_ROWS) -> tupl
 
     A plain scan is counted by its keys. Anything else is pinned, and while it is written a sketch of its most
     frequent keys and its bytes are observed, so there is no second pass. The sketch never counts too few, and too many
-    by less than a thousandth of the rows.
+    by less than a thousandth of the rows. It names no key at all if none stands out from its error; each then has less than that.
     """
     if not limit or getattr(df, "_pinned", False) or _is_plain(df):
         return df, fits_one_task(df, keys, limit)
@@ -96,7 +96,8 @@ def sized(df: DataFrame, keys: list[str], limit: int | None = TASK_ROWS) -> tupl
     marked = df.withColumn("__key", key).observe(seen, top.alias("top"), widest.alias("widest"), F.count(F.lit(1)).alias("rows"))
     pinned = pin(marked.drop("__key"))
     found = seen.get
-    rows = min(found["top"][0]["count"] + found["rows"] // HOT_SHARE, found["rows"]) if found["rows"] else 0
+    most = found["top"][0]["count"] if found["top"] else 0
+    rows = min(most + found["rows"] // HOT_SHARE, found["rows"])
     # a group of the widest rows is no larger than this; beyond it the groups are measured
     if rows * (found["widest"] or 0) <= TASK_BYTES:
         return pinned, _fit(rows, 0, keys, limit)

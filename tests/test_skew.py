@@ -147,3 +147,16 @@ def test_observed_sizes_hold_null_keys_and_empty_tables(spark):
     wide = base.withColumn("t", F.repeat(F.lit("x"), 200_000))
     assert skew.sized(wide, [], 10_000_000)[1] is False
     assert skew.sized(wide.limit(100), [], 10_000_000)[1] is True
+
+
+def test_observed_sizes_of_many_even_keys(spark):
+    """The sketch holds some 12,000 keys; of more that are all alike it names none."""
+    from chartframes.operators.ordered import row_number, running_count
+
+    base = spark.range(60_000).select((F.col("id") % 20_000).alias("k"), "id").repartition(3)
+    assert skew.sized(base, ["k"], 60)[1] is True
+    assert skew.sized(base, ["k"], 2)[1] is False
+    hot = base.withColumn("k", F.when(F.col("id") >= 59_000, -1).otherwise(F.col("k")))
+    assert skew.sized(hot, ["k"], 900)[1] is False
+    numbered = running_count(row_number(base, "k", "id", "n"), "k", "id", F.when(F.col("id") < 30_000, 1), "seen")
+    assert numbered.groupBy("n").agg(F.count("*"), F.sum("seen")).orderBy("n").collect() == [(1, 20_000, 20_000), (2, 20_000, 30_000), (3, 20_000, 30_000)]
