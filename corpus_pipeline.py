@@ -41,8 +41,8 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces with the sequence and place they are packed to."""
-    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+    """Token pieces with the sequence and place they are packed to; the encoder that takes less memory."""
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), together=False)
 
 
 def _stage(function):

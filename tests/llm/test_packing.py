@@ -96,3 +96,43 @@ def test_encoder_forgets_and_goes_on(monkeypatch):
     text = "one two three four five one, two. six"
     want = np.array(Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids, "<u4").tobytes()
     assert encode(text) == want == encode(text)
+
+
+def whole(texts):
+    tokenizer = Tokenizer.from_file(PATH)
+    return [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(st.sampled_from("abEÉéßÿ÷×.,'’ \t\n\x01\x0b\x85\u0301ΣσİǅΩ中\U0001f600<|>5²_-sdlvreтм"), max_size=30), max_size=6))
+def test_texts_together_equal_the_tokenizer(texts):
+    if not TOGETHER:
+        TOGETHER.append(packing.WordEncoder(PATH, together=True))
+        assert TOGETHER[0].words
+    assert list(TOGETHER[0].each(texts)) == whole(texts)
+
+
+TOGETHER = []
+
+
+def test_words_of_pieces_together_equal_the_tokenizer(monkeypatch):
+    """Every token that ends a word is met, and 30,000 words of up to four tokens, in portions of any size."""
+    encode = packing.WordEncoder(PATH, together=True)
+    calls = []
+    monkeypatch.setattr(encode, "_ids", lambda part: calls.append(part) or packing.WordEncoder._ids(encode, part))
+    tokens = [t for t in Tokenizer.from_file(PATH).get_vocab() if t.isascii() and "|" not in t]
+    words = [t.removesuffix("</w>") for t in tokens if t.endswith("</w>")]
+    rng = np.random.default_rng(1)
+    words += ["".join(tokens[i].removesuffix("</w>") for i in rng.integers(len(tokens), size=rng.integers(2, 5))) for _ in range(30_000)]
+    texts = [" ".join(words[i : i + 500]) for i in range(0, len(words), 500)] + ["", "<|endoftext|> It's", "x" * 5000]
+    want = whole(texts)
+    for portion in (1, 10_000, 4 << 20):
+        monkeypatch.setattr(packing, "PORTION", portion)
+        assert list(encode.each(texts)) == want
+    assert len(calls) < 1000  # nearly all words are encoded together
+
+
+def test_one_by_one_gives_the_same_pieces_and_ids(spark):
+    df = spark.createDataFrame([(1, "One two, three."), (2, None), (3, "w " * 100 + "中 é")], "doc_id long, text string")
+    found = [packing.pack_documents(df, PATH, 64, with_ids=True, together=t).drop("sequence_id", "offset").collect() for t in (True, False)]
+    assert sorted(found[0]) == sorted(found[1]) and all(zlib.crc32(r.ids) == r.ids_crc32 for r in found[0])
