@@ -54,12 +54,12 @@ def records(docs: DataFrame, tokenizer: str, size: int, end: int) -> DataFrame:
     kind, numbers = dict(docs.dtypes)["doc_id"], id_type(tokenizer, end)
 
     def cut(frames):
-        encode = word_encoder(tokenizer)
+        encode = word_encoder(tokenizer, together=True)
         tail, step = np.array([end], "<u4").tobytes(), size * np.dtype(numbers).itemsize
         for f in frames:
             out = []
-            for doc, text in zip(f["doc_id"], f["text"], strict=True):
-                ids = np.frombuffer(encode(text or "") + tail, "<u4").astype(numbers).tobytes()
+            for doc, ids in zip(f["doc_id"], encode.each(t or "" for t in f["text"]), strict=True):
+                ids = np.frombuffer(ids + tail, "<u4").astype(numbers).tobytes()
                 out += [(doc, piece, ids[at : at + step]) for piece, at in enumerate(range(0, len(ids), step))]
             frame = pd.DataFrame(out, columns=["doc_id", "piece", "ids"])
             frame["doc_id"] = frame["doc_id"].astype(f["doc_id"].dtype)

@@ -3,7 +3,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models, pre_tokenizers
 
-from chartframes.llm import binary, queries
+from chartframes.llm import binary, packing, queries
 from chartframes.llm.common import scratch_folder
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -80,6 +80,34 @@ def test_wide_vocabulary_keeps_its_ids(spark, tmp_path):
     assert found == {1: [3, 65536, 69999, 5], 2: [65535, 5]}
 
 
+def test_words_are_encoded_together(spark, monkeypatch):
+    """No plain word goes to the tokenizer by itself; of a table with nulls, repeats, odd and long texts nothing is lost."""
+
+    def strict(path, **settings):
+        encode = packing.WordEncoder(path, **settings)  # not the one that the worker keeps for other tests
+        by_itself = encode._ids
+
+        def ids(part):
+            assert not part.isalpha(), part
+            return by_itself(part)
+
+        encode._ids = ids
+        return encode
+
+    monkeypatch.setattr(binary, "word_encoder", strict)
+    words = [chr(97 + i % 26) + chr(97 + i // 26 % 26) + "ing" for i in range(600)]
+    texts = [" ".join(words[:300]), None, "", " ".join(words[250:]) * 3, "\u4e2d\u00c9t\u00e9 <|endoftext|> It's", "It's", "It's"]
+    docs = spark.createDataFrame([(i if i < 5 else 5, t) for i, t in enumerate(texts)] + [(None, "It's")], "doc_id long, text string")
+    _, rows, read = round_trip(spark, docs, 100, 4)
+    t = Tokenizer.from_file(PATH)
+    want = []
+    for d in docs.collect():
+        ids = t.encode(d.text or "", add_special_tokens=False).ids + [49407]
+        want += [(d.doc_id, p, ids[at : at + 100]) for p, at in enumerate(range(0, len(ids), 100))]
+    names = {r["first_slot"] + i: key for r in rows for i, key in enumerate(zip(r["doc_ids"], r["pieces"], strict=True))}
+    assert sorted(((*names[s], ids.tolist()) for s, ids in read.items()), key=str) == sorted(want, key=str)
+
+
 def test_later_slots_skip_earlier_shards(spark):
     docs = spark.range(300).select(F.col("id").alias("doc_id"), F.lit("a few words").alias("text"))
     path, rows, read = round_trip(spark, docs, 64, 8)
