@@ -52,14 +52,23 @@ def take(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{source}`").alias(name) for name, source in columns.items()])
 
 
-def pin(df: DataFrame, compression: str = "snappy") -> DataFrame:
+def pin(df: DataFrame, compression: str = "snappy", shuffles: bool = True) -> DataFrame:
     """``df`` as a Parquet table in the shared checkpoint folder, computed once and read back.
 
-    The folder goes when the session ends. Parquet is several times smaller than a checkpoint of rows.
+    The folder goes when the session ends. Parquet is several times smaller than a checkpoint of rows. Without ``shuffles`` the
+    shuffle files of the write go with its end, instead of staying until the driver happens to collect its garbage.
     """
     spark = df.sparkSession
     path = scratch_folder(spark)
-    df.write.option("compression", compression).parquet(path)
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    if not shuffles:
+        spark.conf.set(key, "true")
+    try:
+        df.write.option("compression", compression).parquet(path)
+    finally:
+        if not shuffles:
+            spark.conf.unset(key) if before is None else spark.conf.set(key, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
