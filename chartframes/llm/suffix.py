@@ -500,6 +500,8 @@ def remove_repeats(
         give_back()
         return pd.DataFrame(out, columns=["kept", "kept_text", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    joined = join_small(keyed, runs, ["doc", "tie"], payload_bytes(runs, "runs"))
-    found = joined.select("doc_id", *(["row"] if carry else []), cut("text", "runs").alias("c"))
+    whole = keyed.drop("text") if carry else keyed  # a row has its text
+    text = F.col(f"row.`{text_column}`" if carry else "text")
+    joined = join_small(whole, runs, ["doc", "tie"], payload_bytes(runs, "runs"))
+    found = joined.select("doc_id", *(["row"] if carry else []), cut(text, "runs").alias("c"))
     return found.select("doc_id", *(["row"] if carry else []), "c.*")

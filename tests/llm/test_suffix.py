@@ -101,6 +101,16 @@ def test_shuffled_joins_and_files(spark, monkeypatch):
     assert sorted((r.row.doc_id, r.row.text) for r in got) == sorted(rows)
 
 
+def test_carried_text_is_shuffled_once(spark, monkeypatch):
+    monkeypatch.setattr(common, "BROADCAST_BYTES", -1)
+    df = spark.createDataFrame([(1, "a" * 80), (2, "a" * 90)], "doc_id long, text string")
+    plan = suffix.remove_repeats(df, carry=True)._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() != "Join":
+        plan = plan.children().apply(0)
+    names = plan.left().output().mkString(" ")
+    assert "row#" in names and "text#" not in names
+
+
 def test_windows_go_together():
     """An anchor's 35 windows take four rows past the threshold, and each is told from its neighbours."""
     rng = np.random.default_rng(2)
